@@ -58,6 +58,9 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # Plans here are built from many small DataFrame calls; recording the
+        # Python call site of each one costs more than running small queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
