@@ -39,7 +39,9 @@ LDENSE = "_cp_ldense"
 _ORD = "_cp_ord"
 
 
-def _local_scan_fn(group: list[str], carry: list[str], rank_value: str | None):
+def _local_scan_fn(
+    group: list[str], carry: list[str], rank_value: str | None, last_valid: list[str]
+):
     """Build the per-partition scan used by ``mapInArrow``."""
 
     def scan(batches):
@@ -100,6 +102,28 @@ def _local_scan_fn(group: list[str], carry: list[str], rank_value: str | None):
                 prevs[c] = p
                 nexts[c] = pc.take(col, next_idx)
 
+            # last non-NULL value before each row ("lag ignoring nulls"); rows of
+            # the partition's first run that have none yet are "open" and get
+            # their value from earlier partitions in the patch step.
+            first_run = pending["first_run"] if anchored else True
+            lvs, opens = {}, {}
+            for c in last_valid:
+                col = t.column(c)
+                col = col.chunk(0) if col.num_chunks else col
+                valid = np.asarray(pc.is_valid(col), dtype=bool)
+                lvi = np.maximum.accumulate(np.where(valid, idx, -1))
+                cand = np.empty(m, dtype=np.int64)
+                cand[0] = -1
+                cand[1:] = lvi[:-1]
+                in_run = cand >= run_start
+                carried = (run_start == 0) & anchored
+                head = pending["lv"][c] if anchored else pa.nulls(1, type=col.type)
+                ext = pa.concat_arrays([head, col])
+                take = np.where(in_run, cand + 1, 0)
+                lvs[c] = pc.take(ext, pa.array(take, mask=~(in_run | carried)))
+                open_before = pending["open"][c] if anchored else True
+                opens[c] = (run_start == 0) & first_run & ~in_run & open_before
+
             first_flag = np.zeros(m, dtype=bool)
             first_flag[0] = pending["first"] if anchored else True
 
@@ -113,6 +137,11 @@ def _local_scan_fn(group: list[str], carry: list[str], rank_value: str | None):
                 for c in carry:
                     arrays.append(nexts[c])
                     names.append(f"_cp_next_{c}")
+                for c in last_valid:
+                    arrays.append(lvs[c].slice(0, m - 1))
+                    names.append(f"_cp_lv_{c}")
+                    arrays.append(pa.array(opens[c][:-1]))
+                    names.append(f"_cp_open_{c}")
                 arrays += [
                     pa.array(seq[:-1], type=pa.int64()),
                     pa.array(dense[:-1], type=pa.int64()),
@@ -125,6 +154,9 @@ def _local_scan_fn(group: list[str], carry: list[str], rank_value: str | None):
             pending = {
                 "row": t.slice(m - 1, 1),
                 "prev": {c: prevs[c].slice(m - 1, 1) for c in carry},
+                "lv": {c: lvs[c].slice(m - 1, 1) for c in last_valid},
+                "open": {c: bool(opens[c][m - 1]) for c in last_valid},
+                "first_run": bool(first_run and run_start[m - 1] == 0),
                 "seq": int(seq[m - 1]),
                 "dense": int(dense[m - 1]),
                 "first": bool(first_flag[m - 1]),
@@ -140,6 +172,11 @@ def _local_scan_fn(group: list[str], carry: list[str], rank_value: str | None):
             for c in carry:
                 arrays.append(pa.nulls(1, type=t.column(c).type))
                 names.append(f"_cp_next_{c}")
+            for c in last_valid:
+                arrays.append(pending["lv"][c])
+                names.append(f"_cp_lv_{c}")
+                arrays.append(pa.array([pending["open"][c]]))
+                names.append(f"_cp_open_{c}")
             arrays += [
                 pa.array([pending["seq"]], type=pa.int64()),
                 pa.array([pending["dense"]], type=pa.int64()),
@@ -152,7 +189,9 @@ def _local_scan_fn(group: list[str], carry: list[str], rank_value: str | None):
     return scan
 
 
-def _edge_table(bounds_f: DataFrame, bounds_l: DataFrame, group, carry, rank_value):
+def _edge_table(
+    bounds_f: DataFrame, bounds_l: DataFrame, group, carry, rank_value, last_valid=()
+):
     """Per-partition patch rows from first/last rows of each partition.
 
     ``bounds_f`` / ``bounds_l`` hold one row per non-empty partition:
@@ -178,6 +217,12 @@ def _edge_table(bounds_f: DataFrame, bounds_l: DataFrame, group, carry, rank_val
     for c in carry:
         exprs.append(F.when(cont_in, F.lag(c).over(w)).alias(f"_pt_prev_{c}"))
         exprs.append(F.when(cont_out, F.lead(c).over(w)).alias(f"_pt_next_{c}"))
+    for c in last_valid:
+        # L rows carry the last non-NULL value of their partition's last run;
+        # an open F row takes the latest such value of an earlier partition.
+        exprs.append(
+            F.when(is_f, F.last(f"_lvx_{c}", ignorenulls=True).over(before)).alias(f"_pt_lv_{c}")
+        )
     has_seq = LSEQ in bounds_l.columns
     if has_seq:
         exprs.append(
@@ -199,7 +244,7 @@ def _edge_table(bounds_f: DataFrame, bounds_l: DataFrame, group, carry, rank_val
     elif has_seq:
         runs = runs.withColumn("_pt_dense_off", F.col("_pt_dense_base"))
 
-    f_cols = [f"_pt_prev_{c}" for c in carry]
+    f_cols = [f"_pt_prev_{c}" for c in carry] + [f"_pt_lv_{c}" for c in last_valid]
     l_cols = [f"_pt_next_{c}" for c in carry]
     if has_seq:
         f_cols += ["_pt_seq_off", "_pt_dense_off"]
@@ -222,6 +267,7 @@ def ordered_scan(
     order: Sequence[str],
     carry: Sequence[str] = (),
     *,
+    last_valid: Sequence[str] = (),
     seq_col: str | None = None,
     dense_rank_col: str | None = None,
     rank_value: str | None = None,
@@ -234,9 +280,11 @@ def ordered_scan(
     For each ``c`` in ``carry``: ``prev_<c>`` / ``next_<c>`` (NULL at the
     group's edges) — ``lag``/``lead`` over the group window. ``seq_col``:
     1-based position (``row_number``). ``dense_rank_col``: ``dense_rank`` of
-    ``rank_value`` (which must be the first order column).
+    ``rank_value`` (which must be the first order column). For each ``c`` in
+    ``last_valid``: ``prev_<c>`` = the last non-NULL ``c`` before the row
+    (``lag`` ignoring NULLs, i.e. ``last(c, true)`` over the preceding rows).
     """
-    group, order, carry = list(group), list(order), list(carry)
+    group, order, carry, last_valid = list(group), list(order), list(carry), list(last_valid)
     spark = df.sparkSession
     n = num_partitions or default_partitions(spark)
     if dense_rank_col is not None:
@@ -258,6 +306,14 @@ def ordered_scan(
         in_fields
         + [T.StructField(f"_cp_prev_{c}", types[c], True) for c in carry]
         + [T.StructField(f"_cp_next_{c}", types[c], True) for c in carry]
+        + [
+            f
+            for c in last_valid
+            for f in (
+                T.StructField(f"_cp_lv_{c}", types[c], True),
+                T.StructField(f"_cp_open_{c}", T.BooleanType(), False),
+            )
+        ]
         + [
             T.StructField(LSEQ, T.LongType(), False),
             T.StructField(LDENSE, T.LongType(), False),
@@ -265,7 +321,7 @@ def ordered_scan(
             T.StructField(LAST, T.BooleanType(), False),
         ]
     )
-    local = r.mapInArrow(_local_scan_fn(group, carry, rank_value), out_schema)
+    local = r.mapInArrow(_local_scan_fn(group, carry, rank_value, last_valid), out_schema)
 
     # The edge rows must come from the very scan output that is patched:
     # a second read of ``r`` would be planned with pruned columns, get its own
@@ -274,9 +330,12 @@ def ordered_scan(
     local = local.persist()
     edge_cols = [PID, *group, *carry] + ([rank_value] if rank_value else [])
     bounds_f = local.where(F.col(FIRST)).select(*edge_cols)
-    bounds_l = local.where(F.col(LAST)).select(*edge_cols, LSEQ, LDENSE)
+    lv_last = [
+        F.coalesce(F.col(c), F.col(f"_cp_lv_{c}")).alias(f"_lvx_{c}") for c in last_valid
+    ]
+    bounds_l = local.where(F.col(LAST)).select(*edge_cols, *lv_last, LSEQ, LDENSE)
 
-    patch = _edge_table(bounds_f, bounds_l, group, carry, rank_value)
+    patch = _edge_table(bounds_f, bounds_l, group, carry, rank_value, last_valid)
     cond = F.col(PID) == F.col("_pt_pid")
     for g in group:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_pt_g_{g}"))
@@ -295,6 +354,12 @@ def ordered_scan(
             .otherwise(F.col(f"_cp_next_{c}"))
             .alias(f"{next_prefix}{c}")
         )
+    for c in last_valid:
+        outs.append(
+            F.when(F.col(f"_cp_open_{c}"), F.col(f"_pt_lv_{c}"))
+            .otherwise(F.col(f"_cp_lv_{c}"))
+            .alias(f"{prev_prefix}{c}")
+        )
     if seq_col is not None:
         outs.append((F.col(LSEQ) + F.coalesce(F.col("_pt_seq_off"), F.lit(0))).alias(seq_col))
     if dense_rank_col is not None:

@@ -26,7 +26,25 @@ def touch_transitions(
     journeys: DataFrame | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """``uid, start_state, end_state`` — one row per edge of every journey."""
+    """``uid, start_state, end_state`` — one row per edge of every journey.
+
+    When the touches already carry ``prev_touch`` (the previous touch of the
+    journey, e.g. from :func:`creditpath.sources.events.touches_from_events`)
+    no scan is needed.
+    """
+    summary = journeys if journeys is not None else journey_summary(touches)
+    ends = summary.select(
+        "uid",
+        F.col("last_interaction").alias("start_state"),
+        terminal_state("conversion").alias("end_state"),
+    )
+    if "prev_touch" in touches.columns:
+        inner = touches.select(
+            "uid",
+            F.coalesce(F.col("prev_touch"), F.lit(START_STATE)).alias("start_state"),
+            F.col("channel").alias("end_state"),
+        )
+        return inner.unionByName(ends)
     scanned = ordered_scan(
         touches.select("uid", "channel", *[c for c in order_columns(touches) if c != "channel"]),
         ["uid"],
@@ -39,12 +57,6 @@ def touch_transitions(
         F.coalesce(F.col("prev_channel"), F.lit(START_STATE)).alias("start_state"),
         F.col("channel").alias("end_state"),
     )
-    summary = journeys if journeys is not None else journey_summary(touches)
-    ends = summary.select(
-        "uid",
-        F.col("last_interaction").alias("start_state"),
-        terminal_state("conversion").alias("end_state"),
-    )
     return inner.unionByName(ends)
 
 

@@ -59,12 +59,17 @@ class AttributionPlan:
         return split_valid(self.raw_touches)
 
     @property
-    def touches(self) -> DataFrame:
+    def _touches_ext(self) -> DataFrame:
+        """Valid touches, with ``prev_touch`` when the source provides it."""
         return self._split[0]
 
+    @property
+    def touches(self) -> DataFrame:
+        return self._split[0].drop("prev_touch")
+
     @property
     def rejected(self) -> DataFrame:
-        return self._split[1]
+        return self._split[1].drop("prev_touch")
 
     @cached_property
     def visit_order(self) -> DataFrame:
@@ -94,7 +99,7 @@ class AttributionPlan:
     # -- transitions and matrix -------------------------------------------------
     @cached_property
     def edges(self) -> DataFrame:
-        return TR.touch_transitions(self.touches, self.journeys, self.num_partitions)
+        return TR.touch_transitions(self._touches_ext, self.journeys, self.num_partitions)
 
     @cached_property
     def path_transitions(self) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import table_path
 from ..operators.sequence import ordered_scan
+from ..operators.validate import reject_reason
 
 # Fixed value: the event type that marks a conversion.
 PURCHASE = "purchase"
@@ -24,10 +25,12 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def touches_from_events(
     events: DataFrame, conversion_event: str = PURCHASE, num_partitions: int | None = None
 ) -> DataFrame:
-    """``uid, channel, time, conversion, event_id`` — one row per non-purchase event.
+    """``uid, channel, time, conversion, event_id, prev_touch`` — one row per non-purchase event.
 
-    The next-event lookup is a skew-safe ordered scan, so one very active
-    user-day does not end up in a single task.
+    One skew-safe ordered scan of the events gives both the conversion flag
+    (the next event) and ``prev_touch``, the channel of the previous valid
+    touch of the same journey (purchases and rows that validation rejects
+    are skipped), so the transitions need no second pass over the touches.
     """
     ev = events.select(
         F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias(
@@ -37,8 +40,15 @@ def touches_from_events(
         F.col("ts").alias("time"),
         F.col("event_id"),
     )
+    is_touch = (F.col("channel") != conversion_event) & reject_reason().isNull()
+    ev = ev.withColumn("_touch", F.when(is_touch, F.col("channel")))
     scanned = ordered_scan(
-        ev, ["uid"], ["time", "event_id"], ["channel"], num_partitions=num_partitions
+        ev,
+        ["uid"],
+        ["time", "event_id"],
+        ["channel"],
+        last_valid=["_touch"],
+        num_partitions=num_partitions,
     )
     return scanned.where(F.col("channel") != conversion_event).select(
         "uid",
@@ -48,6 +58,7 @@ def touches_from_events(
             "conversion"
         ),
         "event_id",
+        F.col("prev__touch").alias("prev_touch"),
     )
 
 

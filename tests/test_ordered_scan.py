@@ -85,3 +85,39 @@ def test_random_against_pandas(spark, rows, nparts):
     got = {k: tuple(norm(x) for x in v) for k, v in got.items()}
     exp = {k: tuple(norm(x) for x in v) for k, v in exp.items()}
     assert got == exp
+
+
+@pytest.mark.parametrize("nparts", [1, 7, 40])
+def test_last_valid_matches_window(spark, nparts):
+    ev = spark.read.parquet(f"{SF0001}/events.parquet").withColumn(
+        "touch", F.when(F.col("event_type") != "purchase", F.col("event_type")))
+    # hot groups (5 event types would be trivial); use 3 coarse groups
+    ev = ev.withColumn("g", (F.col("user_id") % 3).cast("string"))
+    out = ordered_scan(ev, ["g"], ["ts", "event_id"], ["event_type"], last_valid=["touch"],
+                       num_partitions=nparts)
+    w = Window.partitionBy("g").orderBy("ts", "event_id")
+    ref = ev.select(
+        "*", F.lag("event_type").over(w).alias("prev_event_type"),
+        F.lead("event_type").over(w).alias("next_event_type"),
+        F.last("touch", ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, -1)).alias("prev_touch"))
+    assert _same(out.select(ref.columns), ref)
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["x", "y", None, None])),
+                  min_size=0, max_size=50),
+    nparts=st.integers(1, 12),
+)
+def test_last_valid_random(spark, rows, nparts):
+    data = [(g, v, i) for i, (g, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g string, v string, id long")
+    got = {r.id: r.prev_v for r in ordered_scan(
+        df, ["g"], ["id"], [], last_valid=["v"], num_partitions=nparts).collect()}
+    exp, last = {}, {}
+    for g, v, i in data:
+        exp[i] = last.get(g)
+        if v is not None:
+            last[g] = v
+    assert got == exp
