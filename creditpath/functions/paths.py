@@ -49,3 +49,20 @@ def split_transition(transition: Column | str, part: int) -> Column:
     """``trim(split(t, '>')[part])``: start (0) or end (1) state of ``'A > B'``."""
     t = F.col(transition) if isinstance(transition, str) else transition
     return F.trim(F.split(t, ">").getItem(part))
+
+
+def register_sql_functions(spark) -> None:
+    """Make ``transition_array(path)`` callable from SQL.
+
+    A SQL function whose body is built-in expressions, so Catalyst inlines it
+    and it stays in whole-stage code generation (no Python worker).
+    """
+    states = "transform(split(path, '>'), s -> trim(s))"
+    n = "size(split(path, '>'))"
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION transition_array(path STRING) "
+        "RETURNS ARRAY<STRING> RETURN "
+        f"zip_with(slice({states}, 1, greatest({n} - 1, 0)), "
+        f"slice({states}, 2, greatest({n} - 1, 1)), "
+        f"(a, b) -> concat(a, '{PATH_SEPARATOR}', b))"
+    )

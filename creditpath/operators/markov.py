@@ -177,13 +177,8 @@ def memo_walk_probability(graph: DataFrame) -> DataFrame:
 # policy: simple_path
 
 
-def _sized_for_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    n = df.count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
-
-
 def simple_path_probability(
-    graph: DataFrame, broadcast_max_rows: int = 1_000_000, checkpoint_every: int = 4
+    graph: DataFrame, broadcast_max_rows: int = 1_000_000, checkpoint_every: int = 8
 ) -> DataFrame:
     """Sum over walks from ``Start`` to ``Conversion`` that repeat no state."""
     checkpoint_root(graph.sparkSession)
@@ -196,8 +191,13 @@ def simple_path_probability(
         F.col("end_state").alias("_e"),
         F.col("transition_probability").alias("_p"),
     ).checkpoint(eager=True)
-    edges_j, _ = _sized_for_broadcast(edges, broadcast_max_rows)
-    n_states = edges.select("_s").distinct().count()
+    # One small job sizes the edge table (broadcast only below the bound, a
+    # shuffle join beyond it) and counts the states that bound the walk length.
+    stats = edges.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("_s").alias("k")
+    ).first()
+    edges_j = F.broadcast(edges) if stats["n"] <= broadcast_max_rows else edges
+    n_states = int(stats["k"])
 
     scen = edges.select(F.col("_r").alias(REMOVED)).distinct()
     frontier = scen.select(

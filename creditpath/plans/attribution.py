@@ -143,3 +143,24 @@ class AttributionPlan:
 
     def attribution_pivot(self, policy: str | None = None) -> DataFrame:
         return attribution_pivot(self.all_models(policy))
+
+
+def register_views(plan: AttributionPlan, prefix: str = "") -> list[str]:
+    """Expose the main stages as temp views for SQL users (names as in the gold layer)."""
+    from ..functions.paths import register_sql_functions
+
+    views = {
+        "bronze": plan.touches,
+        "user_journey_view": plan.user_journey,
+        "gold_user_journey": plan.user_journey,
+        "attribution_view": plan.touch_attribution,
+        "markov_state_transitions": plan.path_transitions,
+        "transition_matrix": plan.matrix,
+        "markov_chain_attribution_update": plan.markov_attribution(),
+    }
+    names = []
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    register_sql_functions(plan.raw_touches.sparkSession)
+    return names

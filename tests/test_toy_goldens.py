@@ -98,3 +98,17 @@ def test_user_journey_paths(toy_touches):
     assert list(uj["u3"].visiting_order) == [1, 2]
     pt = p.path_transitions.where(F.col("path") == uj["u3"].path).collect()
     assert sorted(r.transition for r in pt) == ["Social > Null", "Social > Social", "Start > Social"]
+
+
+def test_sql_views_and_function(spark, toy_touches):
+    from creditpath.plans.attribution import register_views
+
+    names = register_views(AttributionPlan(toy_touches), prefix="toy_")
+    assert "toy_transition_matrix" in names
+    rows = spark.sql(
+        "SELECT explode(ts) AS t FROM (SELECT transition_array(path) AS ts "
+        "FROM toy_gold_user_journey WHERE uid = 'u1')").collect()
+    assert sorted(r.t for r in rows) == ["Email > Conversion", "Social > Email", "Start > Social"]
+    total = spark.sql("SELECT round(sum(transition_probability), 6) AS s FROM toy_transition_matrix "
+                      "WHERE start_state = 'Start'").first().s
+    assert total == 1.0
