@@ -20,3 +20,20 @@ def read_touch_csv(
     """Batch read of raw touch CSV with a fixed schema, then the typing projection."""
     raw = spark.read.option("header", True).schema(schema).csv(path)
     return type_touch_columns(raw, fmt=fmt) if fmt else type_touch_columns(raw)
+
+
+# Fixed value: how the ingested bronze columns map onto touch columns.
+BRONZE_TO_TOUCH = {"uid": "user_id", "channel": "event_type", "time": "time",
+                   "conversion": "conversion"}
+
+
+def touches_from_bronze(bronze: DataFrame, mapping: dict[str, str] | None = None,
+                        fmt: str | None = None) -> DataFrame:
+    """Bronze rows (``time, conversion, ad_id, user_id, revenue, event_type``) -> touches.
+
+    Columns are renamed through ``mapping`` (touch name -> bronze name) and
+    typed with the same never-failing projection as the stream.
+    """
+    m = mapping or BRONZE_TO_TOUCH
+    touches = bronze.select(*[bronze[src].alias(dst) for dst, src in m.items()])
+    return type_touch_columns(touches, fmt=fmt) if fmt else type_touch_columns(touches)

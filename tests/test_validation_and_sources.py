@@ -63,3 +63,17 @@ def test_transition_array_edges(spark):
     assert got[0] == ["Start > a", "a > a", "a > Conversion"]
     assert got[1] == ["Start > Null"]
     assert got[2] is None
+
+
+def test_bronze_mapping(spark):
+    from creditpath.schemas import INGEST_SCHEMA
+    from creditpath.sources.files import touches_from_bronze
+    import datetime as dt
+
+    bronze = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, 10), 1, "ad1", "42", 9.5, "Email")], INGEST_SCHEMA)
+    t = touches_from_bronze(bronze)
+    assert t.columns == ["uid", "channel", "time", "conversion"]
+    r = t.first()
+    assert (r.uid, r.channel, r.conversion) == ("42", "Email", 1)
+    assert r.time == dt.datetime(2024, 1, 1, 10)
