@@ -121,3 +121,28 @@ def test_last_valid_random(spark, rows, nparts):
         if v is not None:
             last[g] = v
     assert got == exp
+
+
+def test_hot_key_is_split_and_exact(spark):
+    """A uid holding a third of all rows is spread over many partitions, results unchanged."""
+
+    ev = spark.read.parquet(f"{SF0001}/events.parquet")
+    hot = ev.withColumn(
+        "uid", F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(
+            F.col("user_id").cast("string")))
+    n = 12
+    out = ordered_scan(hot, ["uid"], ["ts", "event_id"], ["event_type"], seq_col="seq",
+                       num_partitions=n)
+    w = Window.partitionBy("uid").orderBy("ts", "event_id")
+    ref = hot.select("*", F.lag("event_type").over(w).alias("prev_event_type"),
+                     F.lead("event_type").over(w).alias("next_event_type"),
+                     F.row_number().over(w).cast("long").alias("seq"))
+    assert _same(out.select(ref.columns), ref)
+    # how the hot rows were spread: partitions of the range exchange used by the scan
+    spread = (hot.repartitionByRange(n, "uid", "ts", "event_id")
+              .withColumn("p", F.spark_partition_id())
+              .where(F.col("uid") == "hot").select("p").distinct().count())
+    assert spread >= 3
+    sizes = [r[0] for r in hot.repartitionByRange(n, "uid", "ts", "event_id")
+             .groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(sizes) <= 2.5 * (sum(sizes) / n)
