@@ -62,8 +62,8 @@ def user_journey(touches: DataFrame, num_partitions: int | None = None) -> DataF
     """
     ordered = visit_order(touches, num_partitions)
     cols = order_columns(touches)
-    item = F.struct(*[F.col(c) for c in cols], F.col("visit_order"), F.col("channel"),
-                    F.col("conversion"))
+    fields = list(dict.fromkeys([*cols, "visit_order", "channel", "conversion"]))
+    item = F.struct(*[F.col(c) for c in fields])  # sorts by the order columns first
     lists = ordered.groupBy("uid").agg(F.array_sort(F.collect_list(item)).alias("_touches"))
     channels = F.transform("_touches", lambda x: x["channel"])
     flags = F.filter(F.transform("_touches", lambda x: x["conversion"]), lambda f: f.isNotNull())
