@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -223,31 +224,25 @@ def _edge_table(
         exprs.append(
             F.when(is_f, F.last(f"_lvx_{c}", ignorenulls=True).over(before)).alias(f"_pt_lv_{c}")
         )
-    has_seq = LSEQ in bounds_l.columns
-    if has_seq:
-        exprs.append(
-            F.when(is_f, F.coalesce(F.sum(F.when(is_l, F.col(LSEQ))).over(before), F.lit(0)))
-            .alias("_pt_seq_off")
-        )
-        d_before = F.coalesce(F.sum(F.when(is_l, F.col(LDENSE))).over(before), F.lit(0))
-        if rank_value is not None:
-            eq = (cont_in & F.lag(rank_value).over(w).eqNullSafe(F.col(rank_value))).cast("long")
-            exprs.append(F.col(rank_value))
-            exprs.append(eq.alias("_pt_eq"))
-        exprs.append(F.when(is_f, d_before).alias("_pt_dense_base"))
+    # Running counts: rows (seq) and distinct rank values (dense) of the same
+    # group in earlier partitions; a partition that starts on the value its
+    # predecessor ended with does not open a new dense rank.
+    exprs.append(
+        F.when(is_f, F.coalesce(F.sum(F.when(is_l, F.col(LSEQ))).over(before), F.lit(0)))
+        .alias("_pt_seq_off")
+    )
+    d_before = F.coalesce(F.sum(F.when(is_l, F.col(LDENSE))).over(before), F.lit(0))
+    exprs.append(F.when(is_f, d_before).alias("_pt_dense_base"))
+    if rank_value is not None:
+        eq = cont_in & F.lag(rank_value).over(w).eqNullSafe(F.col(rank_value))
+        exprs.append(eq.cast("long").alias("_pt_eq"))
     runs = runs.select(*cols, *exprs)
-    if has_seq and rank_value is not None:
-        runs = runs.withColumn(
-            "_pt_dense_off",
-            F.when(is_f, F.col("_pt_dense_base") - F.sum("_pt_eq").over(upto)),
-        )
-    elif has_seq:
-        runs = runs.withColumn("_pt_dense_off", F.col("_pt_dense_base"))
+    repeats = F.sum("_pt_eq").over(upto) if rank_value is not None else F.lit(0)
+    runs = runs.withColumn("_pt_dense_off", F.when(is_f, F.col("_pt_dense_base") - repeats))
 
     f_cols = [f"_pt_prev_{c}" for c in carry] + [f"_pt_lv_{c}" for c in last_valid]
+    f_cols += ["_pt_seq_off", "_pt_dense_off"]
     l_cols = [f"_pt_next_{c}" for c in carry]
-    if has_seq:
-        f_cols += ["_pt_seq_off", "_pt_dense_off"]
     aggs = [
         F.max(F.when(is_f, F.struct(*f_cols))).alias("_pt_f"),
         F.max(F.when(is_l, F.struct(*l_cols))).alias("_pt_l"),
@@ -274,6 +269,7 @@ def ordered_scan(
     prev_prefix: str = "prev_",
     next_prefix: str = "next_",
     num_partitions: int | None = None,
+    storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
 ) -> DataFrame:
     """Add neighbour values and running ranks within ``group`` ordered by ``order``.
 
@@ -327,7 +323,7 @@ def ordered_scan(
     # a second read of ``r`` would be planned with pruned columns, get its own
     # range exchange and its own sampled bounds, and partition ids would no
     # longer agree. Persisting the scan also keeps the Python pass to one run.
-    local = local.persist()
+    local = local.persist(storage_level)
     edge_cols = [PID, *group, *carry] + ([rank_value] if rank_value else [])
     bounds_f = local.where(F.col(FIRST)).select(*edge_cols)
     lv_last = [
