@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ class AttributionPlan:
         self.policy = policy
         self.digits = digits
         self.num_partitions = num_partitions
+        self._kept: list[DataFrame] = []
 
     @classmethod
     def from_events(cls, spark: SparkSession, sf_dir: str, **kw) -> "AttributionPlan":
@@ -77,7 +79,21 @@ class AttributionPlan:
 
     @cached_property
     def journeys(self) -> DataFrame:
-        return J.journey_summary(self.touches)
+        # Read by first-touch, last-touch and the terminal edges. Each reader
+        # prunes different columns, so Spark would not reuse one aggregation
+        # for all three; keep the one row per journey instead.
+        return self._keep(J.journey_summary(self.touches))
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._kept.append(kept)
+        return kept
+
+    def unpersist(self) -> None:
+        """Release the stages this plan keeps (the scans keep theirs until cleared)."""
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
 
     @cached_property
     def user_journey(self) -> DataFrame:
