@@ -4,7 +4,7 @@ Prints ONE JSON line: {"metric", "value" (sum of headline seconds), "unit",
 "queries": {name: sec}, "compare": {name: sec}, "sf"}.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2; the best run of each query is kept).
+BENCH_REPEAT (default 3; the best run of each query is kept).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from creditpath.plans.attribution import AttributionPlan  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 
 
 def _sf(path: str) -> float | str:

@@ -46,7 +46,13 @@ def parquet_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def jdbc_batch_writer(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function appending to a JDBC table, skipping a batch id seen before."""
+    """``foreachBatch`` function appending to a JDBC table, skipping a batch id seen before.
+
+    Spark commits a JDBC write per task, so skip-if-present is exactly-once
+    for a replayed micro-batch, but a batch whose write failed half-way must
+    be cleared (``DELETE ... WHERE batch_id = k``) on the database side before
+    the retry; the batch id column makes that a single statement.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
