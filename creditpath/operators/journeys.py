@@ -40,7 +40,9 @@ def journey_summary(touches: DataFrame) -> DataFrame:
     )
 
 
-def visit_order(touches: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def visit_order(
+    touches: DataFrame, num_partitions: int | None = None, materialize: bool = False
+) -> DataFrame:
     """Touches plus ``visit_order`` = dense_rank() over (uid order by time)."""
     return ordered_scan(
         touches,
@@ -50,17 +52,20 @@ def visit_order(touches: DataFrame, num_partitions: int | None = None) -> DataFr
         dense_rank_col="visit_order",
         rank_value="time",
         num_partitions=num_partitions,
+        materialize=materialize,
     )
 
 
-def user_journey(touches: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def user_journey(
+    touches: DataFrame, num_partitions: int | None = None, materialize: bool = False
+) -> DataFrame:
     """``uid, path, first_interaction, last_interaction, conversion, visiting_order``.
 
     The path text and the visit-order array hold a whole journey in one row by
     definition of this table; the attribution models never read it (they use
     :func:`journey_summary` and edge counts), so its row size never limits them.
     """
-    ordered = visit_order(touches, num_partitions)
+    ordered = visit_order(touches, num_partitions, materialize)
     cols = order_columns(touches)
     fields = list(dict.fromkeys([*cols, "visit_order", "channel", "conversion"]))
     item = F.struct(*[F.col(c) for c in fields])  # sorts by the order columns first

@@ -213,11 +213,8 @@ def simple_path_probability(
         ).where(~F.array_contains("visited", F.col("_e")))
         step = step.select(REMOVED, "visited", F.col("_e").alias("state"),
                            (F.col("mass") * F.col("_p")).alias("mass"))
-        reached.append(
-            step.where(F.col("state") == CONVERSION_STATE).groupBy(REMOVED).agg(
-                F.sum("mass").alias("mass")
-            )
-        )
+        # mass reaching Conversion is summed once at the end, not per level
+        reached.append(step.where(F.col("state") == CONVERSION_STATE).select(REMOVED, "mass"))
         frontier = (
             step.where(~F.col("state").isin(CONVERSION_STATE, NULL_STATE))
             .groupBy(

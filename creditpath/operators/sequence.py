@@ -190,18 +190,14 @@ def _local_scan_fn(
     return scan
 
 
-def _edge_table(
-    bounds_f: DataFrame, bounds_l: DataFrame, group, carry, rank_value, last_valid=()
-):
-    """Per-partition patch rows from first/last rows of each partition.
+def _edge_table(runs: DataFrame, group, carry, rank_value, last_valid=()):
+    """Per-partition patch rows from the first/last rows of each partition.
 
-    ``bounds_f`` / ``bounds_l`` hold one row per non-empty partition:
-    ``PID, group..., carry..., [rank value], [LSEQ, LDENSE for the last row]``.
-    Returns one row per ``(PID, group)`` with the values the edge rows lack.
+    ``runs`` holds, for every non-empty partition, an F row (its first row,
+    ``_ORD`` 0) and an L row (its last row, ``_ORD`` 1, with the local running
+    counts). Returns one row per ``(PID, group)`` with the values its edge rows
+    lack.
     """
-    f_rows = bounds_f.withColumn(_ORD, F.lit(0))
-    l_rows = bounds_l.withColumn(_ORD, F.lit(1))
-    runs = f_rows.unionByName(l_rows, allowMissingColumns=True)
     # One window partition per group value; it holds at most two rows for
     # every partition the group spans, so its size is bounded by the
     # partition count, never by the data.
@@ -270,6 +266,7 @@ def ordered_scan(
     next_prefix: str = "next_",
     num_partitions: int | None = None,
     storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    materialize: bool = False,
 ) -> DataFrame:
     """Add neighbour values and running ranks within ``group`` ordered by ``order``.
 
@@ -324,14 +321,30 @@ def ordered_scan(
     # range exchange and its own sampled bounds, and partition ids would no
     # longer agree. Persisting the scan also keeps the Python pass to one run.
     local = local.persist(storage_level)
+    if materialize:
+        # One job fills the cache; every later reader only reads its blocks
+        # (several readers filling it at once would each hold task slots).
+        local.count()
     edge_cols = [PID, *group, *carry] + ([rank_value] if rank_value else [])
-    bounds_f = local.where(F.col(FIRST)).select(*edge_cols)
-    lv_last = [
-        F.coalesce(F.col(c), F.col(f"_cp_lv_{c}")).alias(f"_lvx_{c}") for c in last_valid
-    ]
-    bounds_l = local.where(F.col(LAST)).select(*edge_cols, *lv_last, LSEQ, LDENSE)
-
-    patch = _edge_table(bounds_f, bounds_l, group, carry, rank_value, last_valid)
+    # One scan of the kept output gives both edge rows of every partition.
+    types = {f.name: f.dataType for f in local.schema.fields}
+
+    def edge_struct(ordinal: int, on_last: bool) -> Column:
+        fields = [F.lit(ordinal).alias(_ORD), *[F.col(c) for c in edge_cols]]
+        for c in last_valid:
+            v = F.coalesce(F.col(c), F.col(f"_cp_lv_{c}")) if on_last else F.lit(None)
+            fields.append(v.cast(types[c]).alias(f"_lvx_{c}"))
+        for c in (LSEQ, LDENSE):
+            fields.append((F.col(c) if on_last else F.lit(None)).cast("long").alias(c))
+        return F.when(F.col(LAST if on_last else FIRST), F.struct(*fields))
+
+    runs = (
+        local.where(F.col(FIRST) | F.col(LAST))
+        .select(F.explode(F.array(edge_struct(0, False), edge_struct(1, True))).alias("_e"))
+        .where(F.col("_e").isNotNull())
+        .select("_e.*")
+    )
+    patch = _edge_table(runs, group, carry, rank_value, last_valid)
     cond = F.col(PID) == F.col("_pt_pid")
     for g in group:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_pt_g_{g}"))

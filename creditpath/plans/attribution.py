@@ -38,17 +38,22 @@ class AttributionPlan:
         policy: str = "absorbing",
         digits: int | None = None,
         num_partitions: int | None = None,
+        materialize: bool = False,
     ) -> None:
         self.raw_touches = touches
         self.validate = validate
         self.policy = policy
         self.digits = digits
         self.num_partitions = num_partitions
+        self.materialize = materialize
         self._kept: list[DataFrame] = []
 
     @classmethod
     def from_events(cls, spark: SparkSession, sf_dir: str, **kw) -> "AttributionPlan":
-        return cls(event_touches(spark, sf_dir, kw.get("num_partitions")), **kw)
+        touches = event_touches(
+            spark, sf_dir, kw.get("num_partitions"), materialize=kw.get("materialize", False)
+        )
+        return cls(touches, **kw)
 
     # -- touches and journeys -------------------------------------------------
     @cached_property
@@ -62,12 +67,16 @@ class AttributionPlan:
 
     @property
     def _touches_ext(self) -> DataFrame:
-        """Valid touches, with ``prev_touch`` when the source provides it."""
+        """Valid touches, with ``prev_touch`` when the source provides it.
+
+        Not kept: it is a filter and a map-side broadcast join over the scan
+        output, which is kept already; a second cached copy would cost more.
+        """
         return self._split[0]
 
     @property
     def touches(self) -> DataFrame:
-        return self._split[0].drop("prev_touch")
+        return self._touches_ext.drop("prev_touch")
 
     @property
     def rejected(self) -> DataFrame:
@@ -75,7 +84,7 @@ class AttributionPlan:
 
     @cached_property
     def visit_order(self) -> DataFrame:
-        return J.visit_order(self.touches, self.num_partitions)
+        return J.visit_order(self.touches, self.num_partitions, self.materialize)
 
     @cached_property
     def journeys(self) -> DataFrame:
@@ -86,6 +95,8 @@ class AttributionPlan:
 
     def _keep(self, df: DataFrame) -> DataFrame:
         kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.materialize:
+            kept.count()  # fill it once, before several readers plan against it
         self._kept.append(kept)
         return kept
 
@@ -97,7 +108,7 @@ class AttributionPlan:
 
     @cached_property
     def user_journey(self) -> DataFrame:
-        return J.user_journey(self.touches, self.num_partitions)
+        return J.user_journey(self.touches, self.num_partitions, self.materialize)
 
     # -- touch models ----------------------------------------------------------
     @cached_property

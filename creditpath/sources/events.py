@@ -23,7 +23,10 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def touches_from_events(
-    events: DataFrame, conversion_event: str = PURCHASE, num_partitions: int | None = None
+    events: DataFrame,
+    conversion_event: str = PURCHASE,
+    num_partitions: int | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     """``uid, channel, time, conversion, event_id, prev_touch`` — one row per non-purchase event.
 
@@ -49,6 +52,7 @@ def touches_from_events(
         ["channel"],
         last_valid=["_touch"],
         num_partitions=num_partitions,
+        materialize=materialize,
     )
     return scanned.where(F.col("channel") != conversion_event).select(
         "uid",
@@ -62,5 +66,9 @@ def touches_from_events(
     )
 
 
-def touches(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> DataFrame:
-    return touches_from_events(read_events(spark, sf_dir), num_partitions=num_partitions)
+def touches(
+    spark: SparkSession, sf_dir: str, num_partitions: int | None = None, materialize: bool = False
+) -> DataFrame:
+    return touches_from_events(
+        read_events(spark, sf_dir), num_partitions=num_partitions, materialize=materialize
+    )
