@@ -206,30 +206,31 @@ def simple_path_probability(
         F.array().cast("array<string>").alias("visited"),
         F.lit(1.0).alias("mass"),
     )
-    reached = []
+    # Mass that reached Conversion stays in the frontier as one sink row per
+    # scenario (empty visited set), so the plan grows by one join and one
+    # aggregation per level and the answer is read off the last frontier.
+    sink = F.col("state") == CONVERSION_STATE
     for level in range(n_states + 1):
-        step = frontier.join(
+        moving = frontier.where(~sink).join(
             edges_j, F.col(REMOVED).eqNullSafe(F.col("_r")) & (F.col("state") == F.col("_s"))
-        ).where(~F.array_contains("visited", F.col("_e")))
-        step = step.select(REMOVED, "visited", F.col("_e").alias("state"),
-                           (F.col("mass") * F.col("_p")).alias("mass"))
-        # mass reaching Conversion is summed once at the end, not per level
-        reached.append(step.where(F.col("state") == CONVERSION_STATE).select(REMOVED, "mass"))
+        ).where(~F.array_contains("visited", F.col("_e")) & (F.col("_e") != NULL_STATE))
+        moved = moving.select(
+            REMOVED,
+            F.col("_e").alias("state"),
+            F.when(F.col("_e") == CONVERSION_STATE, F.array().cast("array<string>"))
+            .otherwise(F.array_sort(F.array_union("visited", F.array(F.col("_e")))))
+            .alias("visited"),
+            (F.col("mass") * F.col("_p")).alias("mass"),
+        )
         frontier = (
-            step.where(~F.col("state").isin(CONVERSION_STATE, NULL_STATE))
-            .groupBy(
-                REMOVED,
-                "state",
-                F.array_sort(F.array_union("visited", F.array("state"))).alias("visited"),
-            )
+            frontier.where(sink)
+            .unionByName(moved)
+            .groupBy(REMOVED, "state", "visited")
             .agg(F.sum("mass").alias("mass"))
         )
         if checkpoint_every and (level + 1) % checkpoint_every == 0 and level < n_states:
             frontier = frontier.checkpoint(eager=True)
-    total = reached[0]
-    for r in reached[1:]:
-        total = total.unionByName(r)
-    sums = total.groupBy(F.col(REMOVED).alias("_sr")).agg(F.sum("mass").alias("_sp"))
+    sums = frontier.where(sink).select(F.col(REMOVED).alias("_sr"), F.col("mass").alias("_sp"))
     return scen.join(sums, scen[REMOVED].eqNullSafe(sums["_sr"]), "left").select(
         REMOVED, F.coalesce(F.col("_sp"), F.lit(0.0)).alias(PROB)
     )
