@@ -9,7 +9,9 @@ Conversion probability from ``Start`` has three policies:
 
 ``absorbing``
     probability of reaching ``Conversion`` in the absorbing chain (loops
-    allowed). Exact linear solve per scenario in a grouped pandas function.
+    allowed). Exact: either a linear solve per scenario graph, or (used by the
+    plans) every removal at once from the baseline fundamental matrix, which
+    needs no scenario graphs at all.
 ``simple_path``
     sum over walks that never repeat a state. Level-by-level frontier join in
     Spark; walks that share (visited set, current state) are merged each level,
@@ -137,6 +139,59 @@ def absorbing_probability(graph: DataFrame) -> DataFrame:
     return graph.groupBy(REMOVED).applyInPandas(_absorbing_group, _PROB_SCHEMA)
 
 
+def _absorbing_all_removals(pdf):
+    """Baseline and every single-channel removal from one baseline solve.
+
+    With ``N = (I - Q)^-1`` over the transient states and ``x`` the absorption
+    probabilities into Conversion, a walk from Start either avoids channel
+    ``c`` or first reaches it (probability ``N[S,c] / N[c,c]``), after which
+    the removal sends it to Null. Hence ``P_without_c = x[S] - N[S,c]/N[c,c] * x[c]``.
+    """
+    import numpy as np
+    import pandas as pd
+
+    terminal = {CONVERSION_STATE, NULL_STATE}
+    states = sorted((set(pdf["start_state"]) | set(pdf["end_state"])) - terminal)
+    chans = sorted(set(pdf["start_state"]) - terminal - {START_STATE})
+    if START_STATE not in states:
+        return pd.DataFrame({REMOVED: [None, *chans], PROB: [0.0] * (len(chans) + 1)})
+    pos = {st: i for i, st in enumerate(states)}
+    n = len(states)
+    q = np.zeros((n, n))
+    b = np.zeros(n)
+    src = pdf["start_state"].map(pos)
+    ok = src.notna().to_numpy()
+    src = src[ok].astype(int).to_numpy()
+    end = pdf["end_state"][ok]
+    p = pdf["transition_probability"][ok].to_numpy(dtype=float)
+    to_conv = (end == CONVERSION_STATE).to_numpy()
+    np.add.at(b, src[to_conv], p[to_conv])
+    inner = end.isin(pos.keys()).to_numpy()
+    np.add.at(q, (src[inner], end[inner].map(pos).astype(int).to_numpy()), p[inner])
+    fundamental = np.linalg.pinv(np.eye(n) - q)
+    x = fundamental @ b
+    s = pos[START_STATE]
+    probs = [float(x[s])]
+    for c in chans:
+        k = pos[c]
+        probs.append(float(x[s] - fundamental[s, k] / fundamental[k, k] * x[k]))
+    return pd.DataFrame({REMOVED: [None, *chans], PROB: probs})
+
+
+def absorbing_removal_probability(matrix: DataFrame) -> DataFrame:
+    """``absorbing`` for the baseline and all removals without per-scenario graphs.
+
+    The one group holds the transition matrix, at most (states)^2 rows, so
+    the work is one (states x states) inversion whatever the number of
+    channels; the scenario graph would have (channels + 1) x (states)^2 rows.
+    """
+    return (
+        matrix.select(F.lit(0).alias("_g"), "start_state", "end_state", "transition_probability")
+        .groupBy("_g")
+        .applyInPandas(_absorbing_all_removals, _PROB_SCHEMA)
+    )
+
+
 # --------------------------------------------------------------------------
 # policy: memo_walk
 

@@ -157,7 +157,11 @@ class AttributionPlan:
         return M.scenario_graph(self.matrix)
 
     def conversion_probability(self, policy: str | None = None) -> DataFrame:
-        return M.conversion_probability(self.scenario_graph, policy or self.policy)
+        policy = policy or self.policy
+        if policy == "absorbing":
+            # exact closed form from the baseline matrix: no per-scenario graphs
+            return M.absorbing_removal_probability(self.matrix)
+        return M.conversion_probability(self.scenario_graph, policy)
 
     def removal_effect(self, policy: str | None = None) -> DataFrame:
         return M.removal_effect(self.conversion_probability(policy), self.digits)

@@ -73,3 +73,16 @@ def test_invariants_sf001(spark):
          for r in p.transition_counts.collect()}
     b = {(r.transition, r["count"]) for r in p.path_transitions.groupBy("transition").count().collect()}
     assert a == b
+
+
+def test_absorbing_closed_form_sf001(spark):
+    from creditpath.operators import markov as M
+
+    p = AttributionPlan.from_events(spark, SF001)
+    a = {r.removed_channel: r.conversion_probability
+         for r in M.absorbing_removal_probability(p.matrix).collect()}
+    b = {r.removed_channel: r.conversion_probability
+         for r in M.absorbing_probability(p.scenario_graph).collect()}
+    assert set(a) == set(b)
+    for k in a:
+        assert a[k] == pytest.approx(b[k], abs=1e-12)

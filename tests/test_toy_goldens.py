@@ -112,3 +112,16 @@ def test_sql_views_and_function(spark, toy_touches):
     total = spark.sql("SELECT round(sum(transition_probability), 6) AS s FROM toy_transition_matrix "
                       "WHERE start_state = 'Start'").first().s
     assert total == 1.0
+
+
+def test_absorbing_closed_form_equals_per_scenario(toy_touches):
+    from creditpath.operators import markov as M
+
+    p = AttributionPlan(toy_touches)
+    a = {r.removed_channel: r.conversion_probability
+         for r in M.absorbing_removal_probability(p.matrix).collect()}
+    b = {r.removed_channel: r.conversion_probability
+         for r in M.absorbing_probability(p.scenario_graph).collect()}
+    assert set(a) == set(b)
+    for k in a:
+        assert a[k] == pytest.approx(b[k], abs=1e-12)
