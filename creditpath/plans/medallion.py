@@ -10,7 +10,6 @@ Markov rows upserted into it).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import TableLayout, default_partitions
 from ..sources import catalog as C

@@ -1,6 +1,5 @@
 """The skew-safe ordered scan equals lag/lead/row_number/dense_rank windows."""
 
-import random
 
 import pandas as pd
 import pytest
