@@ -276,6 +276,10 @@ def ordered_scan(
     ``rank_value`` (which must be the first order column). For each ``c`` in
     ``last_valid``: ``prev_<c>`` = the last non-NULL ``c`` before the row
     (``lag`` ignoring NULLs, i.e. ``last(c, true)`` over the preceding rows).
+
+    The scan output stays cached (``storage_level``) until the caller clears
+    it (``spark.catalog.clearCache()``); ``materialize`` fills it with one job
+    up front.
     """
     group, order, carry, last_valid = list(group), list(order), list(carry), list(last_valid)
     spark = df.sparkSession
@@ -327,13 +331,13 @@ def ordered_scan(
         local.count()
     edge_cols = [PID, *group, *carry] + ([rank_value] if rank_value else [])
     # One scan of the kept output gives both edge rows of every partition.
-    types = {f.name: f.dataType for f in local.schema.fields}
+    kept_types = {f.name: f.dataType for f in local.schema.fields}
 
     def edge_struct(ordinal: int, on_last: bool) -> Column:
         fields = [F.lit(ordinal).alias(_ORD), *[F.col(c) for c in edge_cols]]
         for c in last_valid:
             v = F.coalesce(F.col(c), F.col(f"_cp_lv_{c}")) if on_last else F.lit(None)
-            fields.append(v.cast(types[c]).alias(f"_lvx_{c}"))
+            fields.append(v.cast(kept_types[c]).alias(f"_lvx_{c}"))
         for c in (LSEQ, LDENSE):
             fields.append((F.col(c) if on_last else F.lit(None)).cast("long").alias(c))
         return F.when(F.col(LAST if on_last else FIRST), F.struct(*fields))
