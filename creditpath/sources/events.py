@@ -39,15 +39,19 @@ def touches_from_events(
         F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias(
             "uid"
         ),
+        F.col("user_id").alias("_user"),
+        F.to_date("ts").alias("_day"),
         F.col("event_type").alias("channel"),
         F.col("ts").alias("time"),
         F.col("event_id"),
     )
     is_touch = (F.col("channel") != conversion_event) & reject_reason().isNull()
     ev = ev.withColumn("_touch", F.when(is_touch, F.col("channel")))
+    # The journey key is (user, day); sorting and range-partitioning on that
+    # numeric pair is cheaper than on the equivalent uid text.
     scanned = ordered_scan(
         ev,
-        ["uid"],
+        ["_user", "_day"],
         ["time", "event_id"],
         ["channel"],
         last_valid=["_touch"],
