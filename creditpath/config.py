@@ -83,7 +83,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="creditpath-ckpt-"))
+    if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive the loss of this host
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder (HDFS, object store) "
+                "before running on a cluster"
+            )
+        configured = tempfile.mkdtemp(prefix="creditpath-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
