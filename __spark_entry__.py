@@ -275,17 +275,26 @@ journeys AS (
     FROM ranked
     GROUP BY uid
 ),
-user_journey AS (
-    SELECT uid,
-           'Start > ' || string_agg(channel, ' > ' ORDER BY time, event_id)
-             || CASE WHEN max(CASE WHEN rn_last = 1 THEN conversion END) = 1
-                     THEN ' > Conversion' ELSE ' > Null' END AS path,
-           max(CASE WHEN rn_first = 1 THEN channel END) AS first_interaction,
-           max(CASE WHEN rn_last = 1 THEN channel END) AS last_interaction,
-           max(CASE WHEN rn_last = 1 THEN conversion END) AS conversion,
-           string_agg(CAST(visit_order AS VARCHAR), ',' ORDER BY time, event_id) AS visiting_order
+seg AS (
+    SELECT uid, channel, visit_order, rn_first, (rn_first - 1) // 1000 AS segment, true AS own
     FROM ranked
-    GROUP BY uid
+    UNION ALL
+    SELECT uid, channel, visit_order, rn_first, (rn_first - 1) // 1000 + 1 AS segment, false AS own
+    FROM ranked WHERE rn_first % 1000 = 0
+),
+user_journey AS (
+    SELECT s.uid, CAST(s.segment AS INTEGER) AS segment,
+           CASE WHEN s.segment = 0 THEN 'Start > ' ELSE '' END
+             || string_agg(s.channel, ' > ' ORDER BY s.rn_first)
+             || CASE WHEN s.segment = (j.n_touches - 1) // 1000
+                     THEN CASE WHEN j.conversion = 1 THEN ' > Conversion' ELSE ' > Null' END
+                     ELSE '' END AS path,
+           j.first_interaction, j.last_interaction, j.conversion,
+           string_agg(CAST(s.visit_order AS VARCHAR), ',' ORDER BY s.rn_first)
+             FILTER (WHERE s.own) AS visiting_order
+    FROM seg s JOIN journeys j ON j.uid = s.uid
+    WHERE s.segment <= (j.n_touches - 1) // 1000
+    GROUP BY s.uid, s.segment, j.first_interaction, j.last_interaction, j.conversion, j.n_touches
 ),
 first_touch AS (
     SELECT 'first_touch' AS attribution_model, first_interaction AS channel,

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import journey_path
+from ..config import PATH_SEPARATOR, START_STATE
+from ..functions.paths import terminal_state
 from .sequence import ordered_scan
 
 
@@ -56,28 +57,69 @@ def visit_order(
     )
 
 
+# Fixed value: touches per journey row; longer journeys continue in further rows.
+SEGMENT_TOUCHES = 1000
+
+
 def user_journey(
-    touches: DataFrame, num_partitions: int | None = None, materialize: bool = False
+    touches: DataFrame,
+    num_partitions: int | None = None,
+    materialize: bool = False,
+    summary: DataFrame | None = None,
+    segment_touches: int = SEGMENT_TOUCHES,
 ) -> DataFrame:
-    """``uid, path, first_interaction, last_interaction, conversion, visiting_order``.
-
-    The path text and the visit-order array hold a whole journey in one row by
-    definition of this table; the attribution models never read it (they use
-    :func:`journey_summary` and edge counts), so its row size never limits them.
+    """``uid, segment, path, first_interaction, last_interaction, conversion, visiting_order``.
+
+    A journey of up to ``segment_touches`` touches is one row whose ``path`` is
+    ``Start > a > ... > Conversion`` (or ``> Null``). A longer journey is cut
+    into rows of at most that many touches, so no row and no group holds an
+    unbounded journey. Segment ``k > 0`` starts with the state that ended
+    segment ``k - 1``, so the consecutive pairs of every row's path are
+    exactly the journey's transitions. ``visiting_order`` lists the segment's
+    own touches.
     """
-    ordered = visit_order(touches, num_partitions, materialize)
+    k = segment_touches
     cols = order_columns(touches)
-    fields = list(dict.fromkeys([*cols, "visit_order", "channel", "conversion"]))
-    item = F.struct(*[F.col(c) for c in fields])  # sorts by the order columns first
-    lists = ordered.groupBy("uid").agg(F.array_sort(F.collect_list(item)).alias("_touches"))
-    channels = F.transform("_touches", lambda x: x["channel"])
-    flags = F.filter(F.transform("_touches", lambda x: x["conversion"]), lambda f: f.isNotNull())
-    conversion = F.try_element_at(flags, F.lit(-1))
-    return lists.select(
+    ranked = ordered_scan(
+        touches,
+        ["uid"],
+        cols,
+        [],
+        seq_col="_seq",
+        dense_rank_col="visit_order",
+        rank_value="time",
+        num_partitions=num_partitions,
+        materialize=materialize,
+    )
+    summary = summary if summary is not None else journey_summary(touches)
+    seg = F.floor((F.col("_seq") - 1) / k).cast("long")
+    own = ranked.select("uid", "_seq", "channel", "visit_order", seg.alias("segment"),
+                        F.lit(True).alias("_own"))
+    # the last touch of a full segment also opens the next one (as its first state)
+    carried = ranked.where(F.col("_seq") % k == 0).select(
+        "uid", "_seq", "channel", "visit_order", (seg + 1).alias("segment"),
+        F.lit(False).alias("_own"))
+    item = F.struct("_seq", "channel", "visit_order", "_own")
+    lists = own.unionByName(carried).groupBy("uid", "segment").agg(
+        F.array_sort(F.collect_list(item)).alias("_items"))
+    j = lists.join(summary, "uid")
+    last_segment = F.floor((F.col("n_touches") - 1) / k).cast("long")
+    # drop a carried-only row past the journey's end (its last touch closed a full segment)
+    j = j.where(F.col("segment") <= last_segment)
+    channels = F.concat_ws(PATH_SEPARATOR, F.transform("_items", lambda x: x["channel"]))
+    path = F.concat(
+        F.when(F.col("segment") == 0, F.lit(START_STATE + PATH_SEPARATOR)).otherwise(F.lit("")),
+        channels,
+        F.when(F.col("segment") == last_segment,
+               F.concat(F.lit(PATH_SEPARATOR), terminal_state("conversion"))).otherwise(F.lit("")),
+    )
+    own_items = F.filter("_items", lambda x: x["_own"])
+    return j.select(
         "uid",
-        journey_path(channels, conversion).alias("path"),
-        F.try_element_at(channels, F.lit(1)).alias("first_interaction"),
-        F.try_element_at(channels, F.lit(-1)).alias("last_interaction"),
-        conversion.alias("conversion"),
-        F.transform("_touches", lambda x: x["visit_order"].cast("int")).alias("visiting_order"),
+        F.col("segment").cast("int").alias("segment"),
+        path.alias("path"),
+        "first_interaction",
+        "last_interaction",
+        "conversion",
+        F.transform(own_items, lambda x: x["visit_order"].cast("int")).alias("visiting_order"),
     )

@@ -108,7 +108,9 @@ class AttributionPlan:
 
     @cached_property
     def user_journey(self) -> DataFrame:
-        return J.user_journey(self.touches, self.num_partitions, self.materialize)
+        return J.user_journey(
+            self.touches, self.num_partitions, self.materialize, summary=self.journeys
+        )
 
     # -- touch models ----------------------------------------------------------
     @cached_property

@@ -125,3 +125,26 @@ def test_absorbing_closed_form_equals_per_scenario(toy_touches):
     assert set(a) == set(b)
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-12)
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_segmented_journeys_keep_every_transition(spark, k):
+    """Journeys cut into rows of k touches still give exactly the edges of the touches."""
+    from conftest import SF0001
+    from creditpath.operators import journeys as J
+    from creditpath.operators import transitions as TR
+
+    p = AttributionPlan.from_events(spark, SF0001)
+    uj = J.user_journey(p.touches, summary=p.journeys, segment_touches=k)
+    from_paths = {(r.transition, r["count"]) for r in
+                  TR.path_transitions(uj).groupBy("transition").count().collect()}
+    from_touches = {(r.start_state + " > " + r.end_state, r.total_transitions)
+                    for r in p.transition_counts.collect()}
+    assert from_paths == from_touches
+    rows = uj.collect()
+    assert max(len(r.visiting_order) for r in rows) <= k
+    by_uid = {}
+    for r in sorted(rows, key=lambda r: (r.uid, r.segment)):
+        by_uid.setdefault(r.uid, []).extend(r.visiting_order)
+    full = {r.uid: list(r.visiting_order) for r in p.user_journey.collect()}
+    assert by_uid == full
