@@ -102,10 +102,18 @@ def user_journey(
     item = F.struct("_seq", "channel", "visit_order", "_own")
     lists = own.unionByName(carried).groupBy("uid", "segment").agg(
         F.array_sort(F.collect_list(item)).alias("_items"))
-    j = lists.join(summary, "uid")
+    # Journey facts per segment: one small row per (uid, segment), so the join
+    # is on (uid, segment) and a long journey's segments stay spread over tasks
+    # (the lists are already partitioned that way). A carried-only row past the
+    # journey's end (its last touch closed a full segment) finds no partner.
     last_segment = F.floor((F.col("n_touches") - 1) / k).cast("long")
-    # drop a carried-only row past the journey's end (its last touch closed a full segment)
-    j = j.where(F.col("segment") <= last_segment)
+    facts = summary.select(
+        "uid", "first_interaction", "last_interaction", "conversion",
+        last_segment.alias("_last_segment"),
+        F.explode(F.sequence(F.lit(0).cast("long"), last_segment)).alias("segment"),
+    )
+    j = lists.join(facts, ["uid", "segment"])
+    last_segment = F.col("_last_segment")
     channels = F.concat_ws(PATH_SEPARATOR, F.transform("_items", lambda x: x["channel"]))
     path = F.concat(
         F.when(F.col("segment") == 0, F.lit(START_STATE + PATH_SEPARATOR)).otherwise(F.lit("")),
