@@ -182,7 +182,9 @@ def q_attribution_pivot(spark, sf):
 def q_attribution_upsert(spark, sf):
     """Gold table holds 2-digit touch shares; merge in fresh last-touch and Markov rows."""
     plan = _plan(spark, sf)
-    target = _plan(spark, sf, digits=2).touch_attribution
+    target = plan.touch_attribution.withColumn(
+        "attribution_percent", F.round("attribution_percent", 2)
+    )
     source = plan.last_touch.unionByName(plan.markov_attribution("absorbing"))
     merged = C.upsert_into_new_table(
         spark, target, source, ["attribution_model", "channel"], name="gold_attribution"

@@ -84,6 +84,18 @@ def upsert(
     spark: SparkSession, table: str, source: DataFrame, keys: list[str], method: str = "rewrite"
 ) -> DataFrame:
     """Update matching rows of ``table`` from ``source`` and insert the rest."""
+    # The source is read by the key check and by the merge: keep it for both
+    # (upsert sources here are attribution rows, a few per channel and model).
+    source = source.persist()
+    try:
+        return _upsert(spark, table, source, keys, method)
+    finally:
+        source.unpersist()
+
+
+def _upsert(
+    spark: SparkSession, table: str, source: DataFrame, keys: list[str], method: str
+) -> DataFrame:
     assert_unique_keys(source, keys)
     if method == "merge":
         cond = None
