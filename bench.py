@@ -117,6 +117,12 @@ def main() -> None:
         m = p.matrix.checkpoint(eager=True)
         M.absorbing_probability(M.scenario_graph(m)).collect()
 
+    def absorbing_per_scenario():
+        M.absorbing_probability(plan().scenario_graph).collect()
+
+    def absorbing_fundamental():
+        plan().conversion_probability("absorbing").collect()
+
     def window_visit_order():
         t = plan().touches
         w = Window.partitionBy("uid").orderBy("time")
@@ -135,6 +141,8 @@ def main() -> None:
         "matrix_aggregate_join": run(matrix_join),
         "removal_all_scenarios_one_job": run(removal_one_job),
         "removal_one_query_per_channel": run(removal_per_channel),
+        "absorbing_fundamental_matrix": run(absorbing_fundamental),
+        "absorbing_per_scenario_graphs": run(absorbing_per_scenario),
         "visit_order_skew_safe_scan": run(scan_visit_order),
         "visit_order_plain_window": run(window_visit_order),
     }
