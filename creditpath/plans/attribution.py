@@ -88,10 +88,14 @@ class AttributionPlan:
 
     @cached_property
     def journeys(self) -> DataFrame:
-        # Read by first-touch, last-touch and the terminal edges. Each reader
-        # prunes different columns, so Spark would not reuse one aggregation
-        # for all three; keep the one row per journey instead.
-        return self._keep(J.journey_summary(self.touches))
+        return J.journey_summary(self.touches)
+
+    @cached_property
+    def _journeys_shared(self) -> DataFrame:
+        # Read by first-touch, last-touch, the terminal edges and the journey
+        # table. Each reader prunes different columns, so Spark would not
+        # reuse one aggregation for all of them; keep the one row per journey.
+        return self._keep(self.journeys)
 
     def _keep(self, df: DataFrame) -> DataFrame:
         kept = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -109,17 +113,17 @@ class AttributionPlan:
     @cached_property
     def user_journey(self) -> DataFrame:
         return J.user_journey(
-            self.touches, self.num_partitions, self.materialize, summary=self.journeys
+            self.touches, self.num_partitions, self.materialize, summary=self._journeys_shared
         )
 
     # -- touch models ----------------------------------------------------------
     @cached_property
     def first_touch(self) -> DataFrame:
-        return TM.first_touch(self.journeys, self.digits)
+        return TM.first_touch(self._journeys_shared, self.digits)
 
     @cached_property
     def last_touch(self) -> DataFrame:
-        return TM.last_touch(self.journeys, self.digits)
+        return TM.last_touch(self._journeys_shared, self.digits)
 
     @cached_property
     def touch_attribution(self) -> DataFrame:
@@ -128,7 +132,7 @@ class AttributionPlan:
     # -- transitions and matrix -------------------------------------------------
     @cached_property
     def edges(self) -> DataFrame:
-        return TR.touch_transitions(self._touches_ext, self.journeys, self.num_partitions)
+        return TR.touch_transitions(self._touches_ext, self._journeys_shared, self.num_partitions)
 
     @cached_property
     def path_transitions(self) -> DataFrame:
