@@ -265,7 +265,9 @@ def simple_path_probability(
     # scenario (empty visited set), so the plan grows by one join and one
     # aggregation per level and the answer is read off the last frontier.
     sink = F.col("state") == CONVERSION_STATE
-    for level in range(n_states + 1):
+    # A simple path visits Start and each channel at most once, then ends:
+    # at most (number of start states) edges, so that many levels suffice.
+    for level in range(n_states):
         moving = frontier.where(~sink).join(
             edges_j, F.col(REMOVED).eqNullSafe(F.col("_r")) & (F.col("state") == F.col("_s"))
         ).where(~F.array_contains("visited", F.col("_e")) & (F.col("_e") != NULL_STATE))
@@ -283,7 +285,7 @@ def simple_path_probability(
             .groupBy(REMOVED, "state", "visited")
             .agg(F.sum("mass").alias("mass"))
         )
-        if checkpoint_every and (level + 1) % checkpoint_every == 0 and level < n_states:
+        if checkpoint_every and (level + 1) % checkpoint_every == 0 and level < n_states - 1:
             frontier = frontier.checkpoint(eager=True)
     sums = frontier.where(sink).select(F.col(REMOVED).alias("_sr"), F.col("mass").alias("_sp"))
     return scen.join(sums, scen[REMOVED].eqNullSafe(sums["_sr"]), "left").select(
