@@ -162,6 +162,11 @@ def q_removal_effect_simple_path(spark, sf):
     )
 
 
+def q_removal_effect_rounded(spark, sf):
+    """Effects rounded to 2 digits before normalising, shares rounded again (original output)."""
+    return _r(_plan(spark, sf, digits=2).removal_effect("absorbing"), "conversion_probability")
+
+
 def q_markov_attribution(spark, sf):
     return _r(_plan(spark, sf).markov_attribution("absorbing"), "attribution_percent")
 
@@ -226,6 +231,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conversion_prob_memo_walk": q_conversion_prob_memo_walk,
     "removal_effect": q_removal_effect,
     "removal_effect_simple_path": q_removal_effect_simple_path,
+    "removal_effect_rounded": q_removal_effect_rounded,
     "markov_attribution": q_markov_attribution,
     "markov_attribution_memo_walk": q_markov_attribution_memo_walk,
     "all_models": q_all_models,
@@ -475,6 +481,14 @@ _ORACLES = {
                round(attribution_percent, 9) AS attribution_percent
         FROM share_simple
     """,
+    "removal_effect_rounded": """
+        SELECT channel, round(conversion_probability, 9) AS conversion_probability,
+               removal_effect,
+               round_even(removal_effect / sum(removal_effect) OVER (), 2) AS attribution_percent
+        FROM (SELECT channel, conversion_probability,
+                     round_even(removal_effect, 2) AS removal_effect
+              FROM share_absorbing)
+    """,
     "markov_attribution": """
         SELECT attribution_model, channel, round(attribution_percent, 9) AS attribution_percent
         FROM markov
