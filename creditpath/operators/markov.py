@@ -196,36 +196,40 @@ def absorbing_removal_probability(matrix: DataFrame) -> DataFrame:
 # policy: memo_walk
 
 
-def _memo_walk_group(pdf):
-    import pandas as pd
-
-    removed = pdf[REMOVED].iloc[0] if len(pdf) else None
-    ordered = pdf.sort_values("end_state", ascending=False, kind="stable")
-    nexts: dict[str, list[tuple[str, float]]] = {}
-    for s, e, p in zip(ordered["start_state"], ordered["end_state"],
-                       ordered["transition_probability"]):
-        nexts.setdefault(s, []).append((e, float(p)))
-    memo: dict[str, float] = {}
-
-    def walk(state: str, visited: frozenset) -> float:
-        if state == CONVERSION_STATE:
-            return 1.0
-        if state == NULL_STATE or state in visited:
-            return 0.0
-        if state in memo:
-            return memo[state]
-        seen = visited | {state}
-        total = 0.0
-        for nxt, p in nexts.get(state, []):
-            total += p * walk(nxt, seen)
-        memo[state] = total
-        return total
-
-    return pd.DataFrame({REMOVED: [removed], PROB: [walk(START_STATE, frozenset())]})
-
-
-def memo_walk_probability(graph: DataFrame) -> DataFrame:
-    return graph.groupBy(REMOVED).applyInPandas(_memo_walk_group, _PROB_SCHEMA)
+def _memo_walk_fn(descending: bool = True):
+    def walk_group(pdf):
+        import pandas as pd
+
+        removed = pdf[REMOVED].iloc[0] if len(pdf) else None
+        ordered = pdf.sort_values("end_state", ascending=not descending, kind="stable")
+        nexts: dict[str, list[tuple[str, float]]] = {}
+        for s, e, p in zip(ordered["start_state"], ordered["end_state"],
+                           ordered["transition_probability"]):
+            nexts.setdefault(s, []).append((e, float(p)))
+        memo: dict[str, float] = {}
+
+        def walk(state: str, visited: frozenset) -> float:
+            if state == CONVERSION_STATE:
+                return 1.0
+            if state == NULL_STATE or state in visited:
+                return 0.0
+            if state in memo:
+                return memo[state]
+            seen = visited | {state}
+            total = 0.0
+            for nxt, p in nexts.get(state, []):
+                total += p * walk(nxt, seen)
+            memo[state] = total
+            return total
+
+        return pd.DataFrame({REMOVED: [removed], PROB: [walk(START_STATE, frozenset())]})
+
+    return walk_group
+
+
+def memo_walk_probability(graph: DataFrame, descending: bool = True) -> DataFrame:
+    """Memoised walk; next states in descending (default) or ascending name order."""
+    return graph.groupBy(REMOVED).applyInPandas(_memo_walk_fn(descending), _PROB_SCHEMA)
 
 
 # --------------------------------------------------------------------------

@@ -86,3 +86,16 @@ def test_absorbing_closed_form_sf001(spark):
     assert set(a) == set(b)
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-12)
+
+
+@pytest.mark.parametrize("sf,desc,asc", [(SF0001, 0.078846, 0.078409), (SF001, 0.082823, 0.082540)])
+def test_memo_walk_depends_on_next_state_order(spark, sf, desc, asc):
+    from creditpath.operators import markov as M
+
+    g = AttributionPlan.from_events(spark, sf).scenario_graph
+    d = {r.removed_channel: r.conversion_probability
+         for r in M.memo_walk_probability(g, descending=True).collect()}
+    a = {r.removed_channel: r.conversion_probability
+         for r in M.memo_walk_probability(g, descending=False).collect()}
+    assert d[None] == pytest.approx(desc, abs=1e-6)
+    assert a[None] == pytest.approx(asc, abs=1e-6)
