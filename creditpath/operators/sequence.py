@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import default_partitions
 
 PID = "_cp_pid"
 FIRST = "_cp_first"
@@ -283,7 +282,6 @@ def ordered_scan(
     """
     group, order, carry, last_valid = list(group), list(order), list(carry), list(last_valid)
     spark = df.sparkSession
-    n = num_partitions or default_partitions(spark)
     if dense_rank_col is not None:
         rank_value = rank_value or order[0]
         if order[0] != rank_value:
@@ -292,8 +290,13 @@ def ordered_scan(
         rank_value = None
 
     keys = group + order
+    # Without an explicit count AQE may merge neighbouring range partitions on
+    # small inputs; merged partitions are still contiguous key ranges, so the
+    # partition ids stay ordered, which is all the patch step relies on.
+    by_range = [F.col(k).asc_nulls_first() for k in keys]
     r = (
-        df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
+        (df.repartitionByRange(num_partitions, *by_range) if num_partitions
+         else df.repartitionByRange(*by_range))
         .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
         .withColumn(PID, F.spark_partition_id())
     )

@@ -145,3 +145,17 @@ def test_hot_key_is_split_and_exact(spark):
     sizes = [r[0] for r in hot.repartitionByRange(n, "uid", "ts", "event_id")
              .groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert max(sizes) <= 2.5 * (sum(sizes) / n)
+
+
+def test_default_partitioning_with_coalescing(spark):
+    """No explicit count: AQE may merge neighbouring range partitions; results unchanged."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        ev = spark.read.parquet(f"{SF0001}/events.parquet")
+        out = ordered_scan(ev, ["event_type"], ["ts", "event_id"], ["event_id"], seq_col="seq",
+                           dense_rank_col="dr", rank_value="ts")
+        ref = _reference(ev, ["event_type"], ["ts", "event_id"], ["event_id"], "ts")
+        assert _same(out.select(ref.columns), ref)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
