@@ -242,8 +242,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+try:  # the training-data operators and their pipeline may be absent
+    import corpus_pipeline
+    from creditpath.llm import queries as _llm
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "creditpath.llm", "creditpath.llm.queries"):
+        raise
+    _LLM_QUERIES, _LLM_ORACLES = {}, {}
+else:
+    _LLM_QUERIES = _llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    _LLM_ORACLES = _llm.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _LLM_QUERIES
 
 
 # --------------------------------------------------------------------------
@@ -521,4 +533,4 @@ _ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _with(v) for k, v in _ORACLES.items()}
+    return {k: _with(v) for k, v in _ORACLES.items()} | _LLM_ORACLES
