@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditpath.llm import bpe, packing, quality, url_filters
+from creditpath.llm import bpe, html_extract, packing, pii, quality, url_filters
 from creditpath.llm.common import read_table
 
 #: Folder of the public tokenizers; their files are parameters and never copied here.
@@ -32,6 +32,14 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents")).drop("redacted")
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), RANKS)
 
@@ -43,6 +51,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op5_url_filters": op5_url_filters,
+    "op6_personal_data": op6_personal_data,
+    "op7_html_text": op7_html_text,
     "op8_packing": op8_packing,
     "op10_byte_bpe": op10_byte_bpe,
 }
