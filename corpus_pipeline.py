@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditpath.config import shared_dir
-from creditpath.llm import packing, quality
+from creditpath.llm import langid, near_dups, packing, pii, quality
 from creditpath.llm.common import read_table
 from creditpath.llm.queries import RANKS
 
@@ -23,6 +23,38 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return judged.where(F.col("kept")).select(*COLUMNS)
 
 
+#: A language's probability from which on a document is kept.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; lang becomes the predicted one.
+
+    The trees learn from the texts and languages of this stage's own input. A
+    text without a letter, or between languages, goes.
+    """
+    found = langid.identify(docs.select(*COLUMNS), langid.learn(docs.select("text", "lang")))
+    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+
+
+def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id; repeated rows count as one.
+
+    Documents without an id can't be named, so they stay.
+    """
+    groups = near_dups.near_duplicates(docs)
+    first = groups.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    named = docs.select(*COLUMNS).where(F.col("doc_id").isNotNull())
+    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return kept.unionByName(docs.select(*COLUMNS).where(F.col("doc_id").isNull()))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts replaced by its kind."""
+    return pii.redact_documents(docs.select(*COLUMNS)).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all remaining documents with their sequence and offset."""
     return packing.pack(docs, RANKS)
@@ -30,6 +62,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality rules", keep_quality),
+    ("language ID", keep_known_language),
+    ("n-gram Jaccard join", keep_one_of_group),
+    ("PII", redact_personal_data),
     ("packing", pack_sequences),
 ]
 

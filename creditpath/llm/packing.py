@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditpath.llm.bpe import Vocabulary, texts_of
-from creditpath.llm.common import cut
+from creditpath.llm.common import Shared, cut
 
 WINDOW = 1024
 END_ID = 0
@@ -140,16 +140,17 @@ def place_pieces(numbered: DataFrame, runs: list[tuple], spark: SparkSession) ->
     by_length: dict[int, list] = {}
     for run in runs:
         by_length.setdefault(run[0], []).append(run)
-    shared = spark.sparkContext.broadcast({k: np.array(sorted(v), np.int64) for k, v in by_length.items()})
+    shared = Shared(spark, {k: np.array(sorted(v), np.int64) for k, v in by_length.items()})
 
     def run_(batches):
+        plans = shared.value
         for batch in batches:
             length = batch.column("length").to_numpy()
             rank = batch.column("rank").to_numpy()
             sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
             for k in np.unique(length):
                 rows = np.flatnonzero(length == k)
-                plan = shared.value[int(k)]
+                plan = plans[int(k)]
                 r = plan[np.searchsorted(plan[:, 1], rank[rows], side="right") - 1]
                 inside = rank[rows] - r[:, 1]
                 sequence[rows] = r[:, 3] + inside // r[:, 2]

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditpath.llm.common import Shared
+
 KINDS = ["email", "ip", "card", "phone"]
 Span = tuple[str, int, int]
 
@@ -48,7 +50,8 @@ DIGIT = re.compile(r"[0-9]")
 
 ANY_NUMBER = re.compile(r"\+?\(?[0-9](?:[ ().,/_-]{0,3}[0-9])+")
 ANY_QUAD = re.compile(r"(?<![0-9])[0-9]{1,6}(?:[.,:] ?[0-9]{1,6}){3}")
-AT_SIGN = re.compile(r" ?(?:@|\(at\)|\[at\]|＠) ?| at ", re.I)
+#: Signs between the two parts of an address; one space may stand on either side.
+AT_SIGNS = ["@", "＠", "(at)", "[at]", "(AT)", "[AT]", " at ", " AT "]
 ANY_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+| dot [A-Za-z0-9-]+)+", re.I)
 CUES = {
     "email": re.compile(r"e-?mail|contact|write|@", re.I),
@@ -117,13 +120,18 @@ def candidates(text: str) -> list[Span]:
             if 7 <= n <= 15:
                 out.append(("phone", a, b))
         out += [("ip", *m.span()) for m in ANY_QUAD.finditer(text)]
-    for m in AT_SIGN.finditer(text):
-        start, least = m.start(), max(0, m.start() - LOCAL_CHARS)
-        while start > least and text[start - 1] in LOCAL:
-            start -= 1
-        domain = ANY_DOMAIN.match(text, m.end()) if start < m.start() else None
-        if domain:
-            out.append(("email", start, domain.end()))
+    for sign in AT_SIGNS:
+        at = text.find(sign)
+        while at >= 0:
+            left = at - (text[at - 1 : at] == " ")
+            right = at + len(sign)
+            start, least = left, max(0, left - LOCAL_CHARS)
+            while start > least and text[start - 1] in LOCAL:
+                start -= 1
+            domain = ANY_DOMAIN.match(text, right + (text[right : right + 1] == " ")) if start < left else None
+            if domain:
+                out.append(("email", start, domain.end()))
+            at = text.find(sign, right)
     return out
 
 
@@ -305,39 +313,51 @@ def redact(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def find_personal_data(docs: DataFrame, model: Model | None = None, redacted: bool = False) -> DataFrame:
-    """One row per document: counts and digest of base spans, and all spans.
+def find_personal_data(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """One row per document: counts and digest of base spans, all spans, and the number that the trees added.
 
-    ``redacted`` adds the text with all spans replaced. A null text counts as
-    empty and stays null when redacted; repeated rows stay; a table without
-    enough base spans of a kind adds no candidates of that kind.
+    A null text counts as empty; repeated rows stay; a table without enough
+    base spans of a kind adds no candidates of that kind. Columns other than
+    doc_id and text are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs) if model is None else model)
+    shared = Shared(docs.sparkSession, learn(docs) if model is None else model)
 
     def run(batches):
-        model_ = shared.value
+        trees = shared.value
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text or "")
-                spans = all_spans(text or "", base, model_)
+                spans = all_spans(text or "", base, trees)
                 plain = _joined([(k, a, b) for k in KINDS for a, b in base[k]])
-                rows.append((
-                    *(len(base[k]) for k in KINDS), hashlib.sha256(plain.encode()).hexdigest(), _joined(spans),
-                    len(spans) - sum(map(len, base.values())), redact(text, spans) if redacted and text else text if redacted else None,
-                ))
-            c = list(zip(*rows)) or [[]] * 8
+                counts = [len(base[k]) for k in KINDS]
+                digest = hashlib.sha256(plain.encode()).hexdigest()
+                rows.append((*counts, digest, _joined(spans), len(spans) - sum(counts)))
+            c = list(zip(*rows)) or [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in c[:4]), pa.array(c[4], pa.string()),
-                    pa.array(c[5], pa.string()), pa.array(c[6], pa.int64()), pa.array(c[7], pa.string()),
+                    batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in c[:4]),
+                    pa.array(c[4], pa.string()), pa.array(c[5], pa.string()), pa.array(c[6], pa.int64()),
                 ],
-                names=SCHEMA_NAMES,
+                names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, SCHEMA)
+    counts = ", ".join(f"n_{k} long" for k in KINDS)
+    return rows.mapInArrow(run, f"doc_id long, {counts}, base_sha256 string, spans string, n_added long")
+
 
+def redact_documents(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """Every row with all its columns, the text redacted; a null text stays null."""
+    shared = Shared(docs.sparkSession, learn(docs) if model is None else model)
+
+    def run(batches):
+        trees = shared.value
+        for batch in batches:
+            texts = [
+                t and redact(t, all_spans(t, base_spans(t), trees)) for t in batch.column("text").to_pylist()
+            ]
+            at = batch.schema.names.index("text")
+            yield batch.set_column(at, "text", pa.array(texts, pa.string()))
 
-SCHEMA_NAMES = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added", "redacted"]
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, redacted string"
+    return docs.mapInArrow(run, docs.schema)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditpath.llm import bpe, html_extract, packing, pii, quality, url_filters
-from creditpath.llm.common import read_table
+from creditpath.llm import ann, bpe, ctw, html_extract, langid, near_dups, packing, pii, quality, url_filters
+from creditpath.llm.common import id_remainder, read_table
 
 #: Folder of the public tokenizers; their files are parameters and never copied here.
 TOKENIZERS = "/opt/tokenizers"
@@ -21,12 +21,33 @@ def vocabulary_path(name: str) -> str:
 RANKS = vocabulary_path("byte_bpe_50k.tiktoken")
 
 
+def op1_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every vector whose id is divisible by 50."""
+    return ann.search(read_table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
+def op2_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents whose id's crc32 isn't 0 modulo 10, scores all."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 10) == 0
+    return ctw.score_documents(docs.select("doc_id", "text", held_out.alias("held_out")), docs.where(~held_out).select("text"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judge_documents(docs, read_table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents whose id's crc32 isn't 0 modulo 5, predicts all from their texts alone."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 5) == 0
+    model = langid.learn(docs.where(~held_out).select("text", "lang"))
+    found = langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filters.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -44,16 +65,24 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), RANKS)
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(read_table(spark, sf_dir, "documents"), RANKS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest_vectors": op1_nearest_vectors,
+    "op2_ctw_score": op2_ctw_score,
     "op3_quality_rules": op3_quality_rules,
+    "op4_language_id": op4_language_id,
     "op5_url_filters": op5_url_filters,
     "op6_personal_data": op6_personal_data,
     "op7_html_text": op7_html_text,
     "op8_packing": op8_packing,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
