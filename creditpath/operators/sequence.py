@@ -1,254 +1,59 @@
-"""Ordered scan within groups that stays balanced when one group is huge.
+"""Neighbours, positions and ranks inside groups, balanced also when one group is huge.
 
 ``Window.partitionBy(group).orderBy(...)`` sends every row of a group to one
-task. A journey key that holds a third of all touches would then be scanned by
-a single task. ``ordered_scan`` gives the same answers as ``lag``/``lead``,
-``row_number`` and ``dense_rank`` over such a window, but
-
-1. range-partitions on the *whole* sort key ``group + order`` (a hot group is
-   cut into many partitions, sized by Spark's sampled range bounds),
-2. scans each sorted partition once with an Arrow-batched ``mapInArrow``
-   (vectorised, streaming batch by batch: memory is one batch, not one group),
-3. patches the two edge rows of every partition from a table with at most two
-   rows per partition (size bounded by the partition count, so it may be
-   broadcast), which also carries running counts across partitions.
-
-The scan output is persisted (memory and disk) so that the edge table and the
-patched rows come from one scan; lost blocks are recomputed from lineage.
-
-Order keys should make the order total (add a unique tie-breaker such as an
-event id); with ties on the whole key the neighbour among tied rows is
-arbitrary, exactly as for a window.
+task. :func:`ordered_scan` gives the answers of ``lag``/``lead``,
+``row_number`` and ``dense_rank`` over such a window, all in the JVM:
+
+1. every row gets a bucket, the place of its first order column among
+   quantiles of that column over the whole table, so that a group with a third
+   of the rows is cut into about a third of the buckets;
+2. windows run over (group, bucket), the only shuffle of the rows;
+3. the edges of groups that span buckets are patched from a summary with one
+   row per (group, bucket), which also carries counts across buckets.
+
+Rows with equal values of the first order column share a bucket: values should
+not be so coarse that one of them holds a large part of all rows. Order keys
+should be total (add a unique tie-breaker such as an event id); with ties on
+the whole key the neighbour among tied rows is arbitrary, as for a window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-PID = "_cp_pid"
-FIRST = "_cp_first"
-LAST = "_cp_last"
-LSEQ = "_cp_lseq"
-LDENSE = "_cp_ldense"
-_ORD = "_cp_ord"
-
-
-def _local_scan_fn(
-    group: list[str], carry: list[str], rank_value: str | None, last_valid: list[str]
-):
-    """Build the per-partition scan used by ``mapInArrow``."""
 
-    def scan(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
+from ..config import default_partitions
 
-        def eq_null_safe(a, b) -> np.ndarray:
-            eq = pc.fill_null(pc.equal(a, b), False)
-            both = pc.and_(pc.is_null(a), pc.is_null(b))
-            return np.asarray(pc.or_(eq, both), dtype=bool)
+BUCKET = "_cp_bucket"
+_SEQ, _DENSE, _LAST = "_cp_seq", "_cp_dense", "_cp_last"
 
-        pending = None  # last row so far, waiting to learn its successor
 
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            t = pa.Table.from_batches([rb])
-            anchored = pending is not None
-            if anchored:
-                t = pa.concat_tables([pending["row"], t])
-            t = t.combine_chunks()
-            m = t.num_rows
-            idx = np.arange(m)
+def quantile_bounds(df: DataFrame, column: str, buckets: int) -> list:
+    """At most ``buckets - 1`` ascending values that cut the column into equal parts."""
+    if buckets < 2:
+        return []
+    at = [k / buckets for k in range(1, buckets)]
+    found = df.select(F.approx_percentile(column, at, 4 * buckets)).first()[0]
+    return sorted(set(found or []))
 
-            same = np.ones(max(m - 1, 0), dtype=bool)
-            for g in group:
-                col = t.column(g).chunk(0) if t.column(g).num_chunks else t.column(g)
-                same &= eq_null_safe(col.slice(1), col.slice(0, m - 1))
-            is_start = np.empty(m, dtype=bool)
-            is_start[0] = True
-            is_start[1:] = ~same
-            run_start = np.maximum.accumulate(np.where(is_start, idx, 0))
 
-            seq0 = pending["seq"] if anchored else 1
-            seq = np.where(run_start == 0, seq0, 1) + idx - run_start
-            if rank_value is not None:
-                v = t.column(rank_value)
-                v = v.chunk(0) if v.num_chunks else v
-                inc = np.zeros(m, dtype=np.int64)
-                if m > 1:
-                    inc[1:] = same & ~eq_null_safe(v.slice(1), v.slice(0, m - 1))
-                cum = np.cumsum(inc)
-                dense0 = pending["dense"] if anchored else 1
-                dense = np.where(run_start == 0, dense0, 1) + cum - cum[run_start]
-            else:
-                dense = np.ones(m, dtype=np.int64)
+def bucket_of(value: Column, bounds: list) -> Column:
+    """Number of bounds that are not above the value, by halving; 0 for NULL, which sorts first."""
 
-            prev_idx = pa.array(idx - 1, mask=is_start)
-            next_idx = pa.array(idx[:-1] + 1, mask=is_start[1:])
-            prevs, nexts = {}, {}
-            for c in carry:
-                col = t.column(c)
-                col = col.chunk(0) if col.num_chunks else col
-                p = pc.take(col, prev_idx)
-                if anchored:
-                    p = pa.concat_arrays([pending["prev"][c], p.slice(1)])
-                prevs[c] = p
-                nexts[c] = pc.take(col, next_idx)
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= F.lit(bounds[middle]), between(middle + 1, high)).otherwise(between(low, middle))
 
-            # last non-NULL value before each row ("lag ignoring nulls"); rows of
-            # the partition's first run that have none yet are "open" and get
-            # their value from earlier partitions in the patch step.
-            first_run = pending["first_run"] if anchored else True
-            lvs, opens = {}, {}
-            for c in last_valid:
-                col = t.column(c)
-                col = col.chunk(0) if col.num_chunks else col
-                valid = np.asarray(pc.is_valid(col), dtype=bool)
-                lvi = np.maximum.accumulate(np.where(valid, idx, -1))
-                cand = np.empty(m, dtype=np.int64)
-                cand[0] = -1
-                cand[1:] = lvi[:-1]
-                in_run = cand >= run_start
-                carried = (run_start == 0) & anchored
-                head = pending["lv"][c] if anchored else pa.nulls(1, type=col.type)
-                ext = pa.concat_arrays([head, col])
-                take = np.where(in_run, cand + 1, 0)
-                lvs[c] = pc.take(ext, pa.array(take, mask=~(in_run | carried)))
-                open_before = pending["open"][c] if anchored else True
-                opens[c] = (run_start == 0) & first_run & ~in_run & open_before
+    return between(0, len(bounds))
 
-            first_flag = np.zeros(m, dtype=bool)
-            first_flag[0] = pending["first"] if anchored else True
 
-            if m > 1:
-                out = t.slice(0, m - 1)
-                arrays = [out.column(i).chunk(0) for i in range(out.num_columns)]
-                names = list(out.column_names)
-                for c in carry:
-                    arrays.append(prevs[c].slice(0, m - 1))
-                    names.append(f"_cp_prev_{c}")
-                for c in carry:
-                    arrays.append(nexts[c])
-                    names.append(f"_cp_next_{c}")
-                for c in last_valid:
-                    arrays.append(lvs[c].slice(0, m - 1))
-                    names.append(f"_cp_lv_{c}")
-                    arrays.append(pa.array(opens[c][:-1]))
-                    names.append(f"_cp_open_{c}")
-                arrays += [
-                    pa.array(seq[:-1], type=pa.int64()),
-                    pa.array(dense[:-1], type=pa.int64()),
-                    pa.array(first_flag[:-1]),
-                    pa.array(np.zeros(m - 1, dtype=bool)),
-                ]
-                names += [LSEQ, LDENSE, FIRST, LAST]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-            pending = {
-                "row": t.slice(m - 1, 1),
-                "prev": {c: prevs[c].slice(m - 1, 1) for c in carry},
-                "lv": {c: lvs[c].slice(m - 1, 1) for c in last_valid},
-                "open": {c: bool(opens[c][m - 1]) for c in last_valid},
-                "first_run": bool(first_run and run_start[m - 1] == 0),
-                "seq": int(seq[m - 1]),
-                "dense": int(dense[m - 1]),
-                "first": bool(first_flag[m - 1]),
-            }
-
-        if pending is not None:
-            t = pending["row"].combine_chunks()
-            arrays = [t.column(i).chunk(0) for i in range(t.num_columns)]
-            names = list(t.column_names)
-            for c in carry:
-                arrays.append(pending["prev"][c])
-                names.append(f"_cp_prev_{c}")
-            for c in carry:
-                arrays.append(pa.nulls(1, type=t.column(c).type))
-                names.append(f"_cp_next_{c}")
-            for c in last_valid:
-                arrays.append(pending["lv"][c])
-                names.append(f"_cp_lv_{c}")
-                arrays.append(pa.array([pending["open"][c]]))
-                names.append(f"_cp_open_{c}")
-            arrays += [
-                pa.array([pending["seq"]], type=pa.int64()),
-                pa.array([pending["dense"]], type=pa.int64()),
-                pa.array([pending["first"]]),
-                pa.array([True]),
-            ]
-            names += [LSEQ, LDENSE, FIRST, LAST]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    return scan
-
-
-def _edge_table(runs: DataFrame, group, carry, rank_value, last_valid=()):
-    """Per-partition patch rows from the first/last rows of each partition.
-
-    ``runs`` holds, for every non-empty partition, an F row (its first row,
-    ``_ORD`` 0) and an L row (its last row, ``_ORD`` 1, with the local running
-    counts). Returns one row per ``(PID, group)`` with the values its edge rows
-    lack.
-    """
-    # One window partition per group value; it holds at most two rows for
-    # every partition the group spans, so its size is bounded by the
-    # partition count, never by the data.
-    w = Window.partitionBy(*group).orderBy(PID, _ORD)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    is_f = F.col(_ORD) == 0
-    is_l = F.col(_ORD) == 1
-    cont_in = is_f & (F.lag(_ORD).over(w) == 1)
-    cont_out = is_l & (F.lead(_ORD).over(w) == 0)
-
-    cols = [PID, *group, _ORD]
-    exprs = []
-    for c in carry:
-        exprs.append(F.when(cont_in, F.lag(c).over(w)).alias(f"_pt_prev_{c}"))
-        exprs.append(F.when(cont_out, F.lead(c).over(w)).alias(f"_pt_next_{c}"))
-    for c in last_valid:
-        # L rows carry the last non-NULL value of their partition's last run;
-        # an open F row takes the latest such value of an earlier partition.
-        exprs.append(
-            F.when(is_f, F.last(f"_lvx_{c}", ignorenulls=True).over(before)).alias(f"_pt_lv_{c}")
-        )
-    # Running counts: rows (seq) and distinct rank values (dense) of the same
-    # group in earlier partitions; a partition that starts on the value its
-    # predecessor ended with does not open a new dense rank.
-    exprs.append(
-        F.when(is_f, F.coalesce(F.sum(F.when(is_l, F.col(LSEQ))).over(before), F.lit(0)))
-        .alias("_pt_seq_off")
-    )
-    d_before = F.coalesce(F.sum(F.when(is_l, F.col(LDENSE))).over(before), F.lit(0))
-    exprs.append(F.when(is_f, d_before).alias("_pt_dense_base"))
-    if rank_value is not None:
-        eq = cont_in & F.lag(rank_value).over(w).eqNullSafe(F.col(rank_value))
-        exprs.append(eq.cast("long").alias("_pt_eq"))
-    runs = runs.select(*cols, *exprs)
-    repeats = F.sum("_pt_eq").over(upto) if rank_value is not None else F.lit(0)
-    runs = runs.withColumn("_pt_dense_off", F.when(is_f, F.col("_pt_dense_base") - repeats))
-
-    f_cols = [f"_pt_prev_{c}" for c in carry] + [f"_pt_lv_{c}" for c in last_valid]
-    f_cols += ["_pt_seq_off", "_pt_dense_off"]
-    l_cols = [f"_pt_next_{c}" for c in carry]
-    aggs = [
-        F.max(F.when(is_f, F.struct(*f_cols))).alias("_pt_f"),
-        F.max(F.when(is_l, F.struct(*l_cols))).alias("_pt_l"),
-    ]
-    patch = runs.groupBy(PID, *group).agg(*aggs)
-    return patch.select(
-        F.col(PID).alias("_pt_pid"),
-        *[F.col(g).alias(f"_pt_g_{g}") for g in group],
-        *[F.col(f"_pt_f.{c}").alias(c) for c in f_cols],
-        *[F.col(f"_pt_l.{c}").alias(c) for c in l_cols],
-    )
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_cp_{c}"]) for c in names])
 
 
 def ordered_scan(
@@ -261,125 +66,74 @@ def ordered_scan(
     seq_col: str | None = None,
     dense_rank_col: str | None = None,
     rank_value: str | None = None,
-    prev_prefix: str = "prev_",
-    next_prefix: str = "next_",
     num_partitions: int | None = None,
-    storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-    materialize: bool = False,
 ) -> DataFrame:
-    """Add neighbour values and running ranks within ``group`` ordered by ``order``.
-
-    For each ``c`` in ``carry``: ``prev_<c>`` / ``next_<c>`` (NULL at the
-    group's edges) — ``lag``/``lead`` over the group window. ``seq_col``:
-    1-based position (``row_number``). ``dense_rank_col``: ``dense_rank`` of
-    ``rank_value`` (which must be the first order column). For each ``c`` in
-    ``last_valid``: ``prev_<c>`` = the last non-NULL ``c`` before the row
-    (``lag`` ignoring NULLs, i.e. ``last(c, true)`` over the preceding rows).
+    """``df`` plus, inside each group in the given order:
 
-    The scan output stays cached (``storage_level``) until the caller clears
-    it (``spark.catalog.clearCache()``); ``materialize`` fills it with one job
-    up front.
+    ``prev_c`` and ``next_c`` for each of ``carry``; ``prev_c`` for each of
+    ``last_valid``, the last value before the row that isn't NULL; the position
+    from 1 as ``seq_col``; the dense rank by ``rank_value``, the first order
+    column, as ``dense_rank_col``. NULL group values form a group.
     """
-    group, order, carry, last_valid = list(group), list(order), list(carry), list(last_valid)
-    spark = df.sparkSession
-    if dense_rank_col is not None:
-        rank_value = rank_value or order[0]
-        if order[0] != rank_value:
-            raise ValueError("rank_value must be the first order column")
-    else:
-        rank_value = None
-
-    keys = group + order
-    # Without an explicit count AQE may merge neighbouring range partitions on
-    # small inputs; merged partitions are still contiguous key ranges, so the
-    # partition ids stay ordered, which is all the patch step relies on.
-    by_range = [F.col(k).asc_nulls_first() for k in keys]
-    r = (
-        (df.repartitionByRange(num_partitions, *by_range) if num_partitions
-         else df.repartitionByRange(*by_range))
-        .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
-        .withColumn(PID, F.spark_partition_id())
-    )
-    in_fields = list(r.schema.fields)
-    types = {f.name: f.dataType for f in in_fields}
-    out_schema = T.StructType(
-        in_fields
-        + [T.StructField(f"_cp_prev_{c}", types[c], True) for c in carry]
-        + [T.StructField(f"_cp_next_{c}", types[c], True) for c in carry]
-        + [
-            f
-            for c in last_valid
-            for f in (
-                T.StructField(f"_cp_lv_{c}", types[c], True),
-                T.StructField(f"_cp_open_{c}", T.BooleanType(), False),
-            )
-        ]
-        + [
-            T.StructField(LSEQ, T.LongType(), False),
-            T.StructField(LDENSE, T.LongType(), False),
-            T.StructField(FIRST, T.BooleanType(), False),
-            T.StructField(LAST, T.BooleanType(), False),
-        ]
+    group, order = list(group), list(order)
+    if dense_rank_col and rank_value != order[0]:
+        raise ValueError("ranks are taken over the first order column")
+    bounds = quantile_bounds(df, order[0], num_partitions or default_partitions(df.sparkSession))
+    keys = [*group, BUCKET]
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    added = {
+        **{f"prev_{c}": F.lag(c).over(inside) for c in carry},
+        **{f"next_{c}": F.lead(c).over(inside) for c in carry},
+        **{f"prev_{c}": F.last(c, ignorenulls=True).over(before) for c in last_valid},
+        _SEQ: F.row_number().over(inside).cast("long"),
+    }
+    if carry:
+        added[_LAST] = F.lead(F.lit(False), 1, True).over(inside)
+    if dense_rank_col:
+        added[_DENSE] = F.dense_rank().over(Window.partitionBy(*keys).orderBy(order[0])).cast("long")
+    rows = df.withColumn(BUCKET, bucket_of(F.col(order[0]), bounds)).withColumns(added)
+    if not bounds:
+        return _finished(rows, df.columns, carry, last_valid, seq_col, dense_rank_col)
+
+    key = F.struct(*order)
+    parts = rows.groupBy(*[F.col(c).alias(f"_cp_{c}") for c in keys]).agg(
+        F.count(F.lit(1)).alias("_cp_n"),
+        *([F.max(_DENSE).alias("_cp_d")] if dense_rank_col else []),
+        *[F.min_by(c, key).alias(f"_cp_first_{c}") for c in carry],
+        *[F.max_by(c, key).alias(f"_cp_last_{c}") for c in carry],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), key)).alias(f"_cp_valid_{c}") for c in last_valid],
     )
-    local = r.mapInArrow(_local_scan_fn(group, carry, rank_value, last_valid), out_schema)
-
-    # The edge rows must come from the very scan output that is patched:
-    # a second read of ``r`` would be planned with pruned columns, get its own
-    # range exchange and its own sampled bounds, and partition ids would no
-    # longer agree. Persisting the scan also keeps the Python pass to one run.
-    local = local.persist(storage_level)
-    if materialize:
-        # One job fills the cache; every later reader only reads its blocks
-        # (several readers filling it at once would each hold task slots).
-        local.count()
-    edge_cols = [PID, *group, *carry] + ([rank_value] if rank_value else [])
-    # One scan of the kept output gives both edge rows of every partition.
-    kept_types = {f.name: f.dataType for f in local.schema.fields}
-
-    def edge_struct(ordinal: int, on_last: bool) -> Column:
-        fields = [F.lit(ordinal).alias(_ORD), *[F.col(c) for c in edge_cols]]
-        for c in last_valid:
-            v = F.coalesce(F.col(c), F.col(f"_cp_lv_{c}")) if on_last else F.lit(None)
-            fields.append(v.cast(kept_types[c]).alias(f"_lvx_{c}"))
-        for c in (LSEQ, LDENSE):
-            fields.append((F.col(c) if on_last else F.lit(None)).cast("long").alias(c))
-        return F.when(F.col(LAST if on_last else FIRST), F.struct(*fields))
-
-    runs = (
-        local.where(F.col(FIRST) | F.col(LAST))
-        .select(F.explode(F.array(edge_struct(0, False), edge_struct(1, True))).alias("_e"))
-        .where(F.col("_e").isNotNull())
-        .select("_e.*")
+    whole = Window.partitionBy(*[f"_cp_{c}" for c in group])
+    across = whole.orderBy(f"_cp_{BUCKET}")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    edges = parts.select(
+        *[f"_cp_{c}" for c in keys],
+        F.count(F.lit(1)).over(whole).alias("_cp_spans"),
+        F.sum("_cp_n").over(earlier).alias("_cp_before"),
+        *([F.sum("_cp_d").over(earlier).alias("_cp_ranks")] if dense_rank_col else []),
+        *[F.lag(f"_cp_last_{c}").over(across).alias(f"_cp_prev_{c}") for c in carry],
+        *[F.lead(f"_cp_first_{c}").over(across).alias(f"_cp_next_{c}") for c in carry],
+        *[F.last(f"_cp_valid_{c}", ignorenulls=True).over(earlier).alias(f"_cp_before_{c}") for c in last_valid],
+    ).where("_cp_spans > 1")
+    met = rows.join(edges, _same(rows, edges, keys), "left")
+    patched = {
+        **{f"prev_{c}": F.when(F.col(_SEQ) == 1, F.col(f"_cp_prev_{c}")).otherwise(F.col(f"prev_{c}")) for c in carry},
+        **{f"next_{c}": F.when(F.col(_LAST), F.col(f"_cp_next_{c}")).otherwise(F.col(f"next_{c}")) for c in carry},
+        **{f"prev_{c}": F.coalesce(f"prev_{c}", f"_cp_before_{c}") for c in last_valid},
+        _SEQ: F.col(_SEQ) + F.coalesce("_cp_before", F.lit(0)),
+    }
+    if dense_rank_col:
+        patched[_DENSE] = F.col(_DENSE) + F.coalesce("_cp_ranks", F.lit(0))
+    return _finished(met.withColumns(patched), df.columns, carry, last_valid, seq_col, dense_rank_col)
+
+
+def _finished(rows, own, carry, last_valid, seq_col, dense_rank_col) -> DataFrame:
+    return rows.select(
+        *own,
+        *[f"prev_{c}" for c in carry],
+        *[f"next_{c}" for c in carry],
+        *[f"prev_{c}" for c in last_valid],
+        *([F.col(_SEQ).alias(seq_col)] if seq_col else []),
+        *([F.col(_DENSE).alias(dense_rank_col)] if dense_rank_col else []),
     )
-    patch = _edge_table(runs, group, carry, rank_value, last_valid)
-    cond = F.col(PID) == F.col("_pt_pid")
-    for g in group:
-        cond = cond & F.col(g).eqNullSafe(F.col(f"_pt_g_{g}"))
-    joined = local.join(F.broadcast(patch), cond, "left")
-
-    outs: list[Column] = [F.col(c) for c in df.columns]
-    for c in carry:
-        outs.append(
-            F.when(F.col(FIRST), F.col(f"_pt_prev_{c}"))
-            .otherwise(F.col(f"_cp_prev_{c}"))
-            .alias(f"{prev_prefix}{c}")
-        )
-    for c in carry:
-        outs.append(
-            F.when(F.col(LAST), F.col(f"_pt_next_{c}"))
-            .otherwise(F.col(f"_cp_next_{c}"))
-            .alias(f"{next_prefix}{c}")
-        )
-    for c in last_valid:
-        outs.append(
-            F.when(F.col(f"_cp_open_{c}"), F.col(f"_pt_lv_{c}"))
-            .otherwise(F.col(f"_cp_lv_{c}"))
-            .alias(f"{prev_prefix}{c}")
-        )
-    if seq_col is not None:
-        outs.append((F.col(LSEQ) + F.coalesce(F.col("_pt_seq_off"), F.lit(0))).alias(seq_col))
-    if dense_rank_col is not None:
-        outs.append(
-            (F.col(LDENSE) + F.coalesce(F.col("_pt_dense_off"), F.lit(0))).alias(dense_rank_col)
-        )
-    return joined.select(*outs)

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from creditpath.operators.sequence import ordered_scan
+from creditpath.operators.sequence import bucket_of, ordered_scan, quantile_bounds
 
 
 def _reference(df, group, order, carry, rank_value):
@@ -137,14 +137,18 @@ def test_hot_key_is_split_and_exact(spark):
                      F.lead("event_type").over(w).alias("next_event_type"),
                      F.row_number().over(w).cast("long").alias("seq"))
     assert _same(out.select(ref.columns), ref)
-    # how the hot rows were spread: partitions of the range exchange used by the scan
-    spread = (hot.repartitionByRange(n, "uid", "ts", "event_id")
-              .withColumn("p", F.spark_partition_id())
-              .where(F.col("uid") == "hot").select("p").distinct().count())
-    assert spread >= 3
-    sizes = [r[0] for r in hot.repartitionByRange(n, "uid", "ts", "event_id")
-             .groupBy(F.spark_partition_id()).count().select("count").collect()]
-    assert max(sizes) <= 2.5 * (sum(sizes) / n)
+    # the windows' keys: (uid, bucket) spreads the hot rows about evenly
+    bounds = quantile_bounds(hot, "ts", n)
+    sizes = [r["count"] for r in hot.where("uid = 'hot'").groupBy(bucket_of(F.col("ts"), bounds)).count().collect()]
+    assert len(sizes) == n
+    assert max(sizes) <= 2 * sum(sizes) / n
+
+
+def test_plan_shuffles_rows_once_and_keeps_nothing(spark):
+    ev = spark.read.parquet(f"{SF0001}/events.parquet")
+    out = ordered_scan(ev, ["user_id"], ["ts", "event_id"], ["event_type"], seq_col="seq")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in plan and "MapInArrow" not in plan and "MapInPandas" not in plan
 
 
 def test_default_partitioning_with_coalescing(spark):
