@@ -1,35 +1,38 @@
 """The raw -> bronze -> gold flow as jobs over a ``TableLayout``.
 
-``ingest``: CSV files of raw touches -> typed bronze Parquet (file stream,
-run once, checkpointed, exactly-once per batch).
-``build_gold``: bronze -> ``gold_user_journey`` (save-once, range-clustered by
-uid) and ``gold_attribution`` (save-once from first/last touch, then the
-Markov rows upserted into it).
+``ingest``: CSV files of raw touches, either layout -> typed bronze Parquet
+(file stream, run once, checkpointed; lines that don't fit go to quarantine).
+``build_gold``: bronze -> ``gold_user_journey`` (save-once, one row per touch,
+range-clustered by uid and position) and ``gold_attribution`` (rows of all
+three models merged in on every run).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import TableLayout, default_partitions
+from ..config import TableLayout
 from ..sources import catalog as C
 from ..streaming import ingest as S
 from .attribution import AttributionPlan
 
+KEYS = ["attribution_model", "channel"]
+
 
 def ingest(
     spark: SparkSession, layout: TableLayout, time_format: str | None = None,
-    timeout_s: float | None = None,
+    timeout_s: float | None = None, mapping: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Run the file stream once over ``layout.raw_path`` into ``layout.bronze_path``."""
+    """Run the file stream once over ``layout.raw_path`` into ``layout.bronze_path``; whole or an error."""
     bronze = layout.bronze_path
     q = S.start_ingest(
         S.touch_file_stream(spark, layout.raw_path),
-        S.parquet_batch_writer(f"{bronze}/data"),
+        S.parquet_batch_writer(f"{bronze}/data", quarantine=f"{bronze}/quarantine"),
         f"{bronze}/checkpoint",
         time_format=time_format,
+        mapping=mapping,
     )
-    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    S.finish(q, timeout_s)
     return spark.read.parquet(f"{bronze}/data").drop(S.BATCH_ID)
 
 
@@ -40,23 +43,26 @@ def build_gold(
     policy: str = "absorbing",
     digits: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the gold tables for ``touches``; returns them read back from the catalog."""
+    """Write the gold tables for ``touches``; returns them read back from the catalog.
+
+    Attribution rows of every model are replaced: channels that a model no
+    longer names leave the table.
+    """
     db = layout.database
     C.create_database(spark, db)
     plan = AttributionPlan(touches, policy=policy, digits=digits)
     journey_table = f"{db}.gold_user_journey"
     if not spark.catalog.tableExists(journey_table):
-        clustered = plan.user_journey.repartitionByRange(
-            default_partitions(spark), "uid").sortWithinPartitions("uid")
-        C.save_once(clustered, journey_table, path=layout.gold_user_journey_path)
+        C.save_once(C.clustered(plan.user_journey, ["uid", "seq"]), journey_table, path=layout.gold_user_journey_path)
     attribution_table = f"{db}.gold_attribution"
-    C.save_once(plan.touch_attribution, attribution_table, path=layout.gold_attribution_path)
-    gold = C.upsert(spark, attribution_table, plan.markov_attribution(),
-                    ["attribution_model", "channel"])
+    markov = plan.markov_attribution()
+    rows = plan.touch_attribution.unionByName(markov)
+    C.save_once(rows.limit(0), attribution_table, path=layout.gold_attribution_path)
+    gold = C.upsert(spark, attribution_table, rows, KEYS, prune=["attribution_model"])
     return {
         "gold_user_journey": spark.table(journey_table),
         "gold_attribution": gold,
-        "markov_chain_attribution_update": plan.markov_attribution(),
+        "markov_chain_attribution_update": markov,
     }
 
 

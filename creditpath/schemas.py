@@ -2,26 +2,6 @@
 
 from pyspark.sql import types as T
 
-# Touch rows as the journey builder reads them (bronze, as queried).
-TOUCH_SCHEMA = T.StructType(
-    [
-        T.StructField("uid", T.StringType(), True),
-        T.StructField("channel", T.StringType(), True),
-        T.StructField("time", T.TimestampType(), True),
-        T.StructField("conversion", T.IntegerType(), True),
-    ]
-)
-
-# Raw touch text as it arrives in CSV files, before typing.
-RAW_TOUCH_SCHEMA = T.StructType(
-    [
-        T.StructField("uid", T.StringType(), True),
-        T.StructField("channel", T.StringType(), True),
-        T.StructField("time", T.StringType(), True),
-        T.StructField("conversion", T.StringType(), True),
-    ]
-)
-
 # Bronze rows as ingested by the fixed-schema stream.
 INGEST_SCHEMA = T.StructType(
     [
@@ -33,11 +13,3 @@ INGEST_SCHEMA = T.StructType(
         T.StructField("event_type", T.StringType(), True),
     ]
 )
-
-ATTRIBUTION_SCHEMA = T.StructType(
-    [
-        T.StructField("attribution_model", T.StringType(), False),
-        T.StructField("channel", T.StringType(), True),
-        T.StructField("attribution_percent", T.DoubleType(), True),
-    ]
-)

@@ -1,20 +1,22 @@
 """Catalog and table sinks: databases, save-once tables, upsert, clustered writes.
 
 Parquet tables have no MERGE. :func:`upsert` therefore computes the merged
-rows with a full outer join (source wins), writes them to a *new* folder under
-the shared checkpoint root, and then points the table at it with ``ALTER TABLE
-... SET LOCATION``: readers never see a half-written table and the old files
-are never overwritten while being read. Catalogs that support ``MERGE INTO``
+rows with a full outer join (source wins), writes them to a *new* folder below
+the table's own location, and then points the table at it with ``ALTER TABLE
+... SET LOCATION``: readers never see a half-written table and the files they
+read are not overwritten. The version before stays for them; older ones go. Catalogs that support ``MERGE INTO``
 (Delta, Iceberg) can use ``DataFrame.mergeInto`` instead (``method="merge"``).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import default_partitions, shared_dir
+from ..config import checkpoint_root, default_partitions, shared_dir
 
 
 def create_database(spark: SparkSession, name: str, drop_first: bool = False) -> None:
@@ -80,22 +82,43 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
     )
 
 
+VERSION = "/_version-"
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _drop_old_versions(spark: SparkSession, root: str, keep: set[str]) -> None:
+    """Removes version folders other than those to keep."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith(VERSION[1:]) and name not in keep:
+            fs.delete(status.getPath(), True)
+
+
 def upsert(
-    spark: SparkSession, table: str, source: DataFrame, keys: list[str], method: str = "rewrite"
+    spark: SparkSession,
+    table: str,
+    source: DataFrame,
+    keys: list[str],
+    method: str = "rewrite",
+    prune: list[str] | None = None,
 ) -> DataFrame:
-    """Update matching rows of ``table`` from ``source`` and insert the rest."""
+    """Update matching rows of ``table`` from ``source`` and insert the rest.
+
+    ``prune`` names key columns: rows whose values there occur in the source,
+    but which the source no longer has, are deleted (say, channels that a
+    refreshed model doesn't name any more).
+    """
     # The source is read by the key check and by the merge: keep it for both
     # (upsert sources here are attribution rows, a few per channel and model).
-    source = source.persist()
-    try:
-        return _upsert(spark, table, source, keys, method)
-    finally:
-        source.unpersist()
-
-
-def _upsert(
-    spark: SparkSession, table: str, source: DataFrame, keys: list[str], method: str
-) -> DataFrame:
+    checkpoint_root(spark)
+    source = source.checkpoint()
     assert_unique_keys(source, keys)
     if method == "merge":
         cond = None
@@ -112,37 +135,56 @@ def _upsert(
             .merge()
         )
         return spark.table(table)
-    merged = merge_rows(spark.table(table), source, keys)
-    new_location = shared_dir(spark, f"{table.replace('.', '_')}-v")
-    merged.write.mode("errorifexists").parquet(new_location)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new_location}'")
+    before = table_location(spark, table)
+    target = spark.table(table)
+    if prune:
+        target = target.join(source.select(*prune).distinct(), prune, "left_anti").select(*target.columns)
+    merged = merge_rows(target, source, keys)
+    root = before.split(VERSION)[0]
+    new = f"{root}{VERSION}{uuid.uuid4().hex[:12]}"
+    merged.write.mode("errorifexists").parquet(new)
+    if table_location(spark, table) != before:
+        raise RuntimeError(f"{table} was changed meanwhile; its rows were merged into {new} and not published")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     spark.catalog.refreshTable(table)
+    _drop_old_versions(spark, root, {x.rpartition("/")[2] for x in (before, new)})
     return spark.table(table)
 
 
 def upsert_into_new_table(
-    spark: SparkSession, target: DataFrame, source: DataFrame, keys: list[str], name: str
+    spark: SparkSession,
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    name: str,
+    prune: list[str] | None = None,
 ) -> DataFrame:
     """Create a fresh table from ``target`` in shared storage, then upsert ``source``."""
     table = f"{name}_{shared_dir(spark, 'x').rsplit('-', 1)[-1]}"
     save_once(target, table, path=shared_dir(spark, table))
-    return upsert(spark, table, source, keys)
+    return upsert(spark, table, source, keys, prune=prune)
 
 
 def write_clustered(
     spark: SparkSession,
     df: DataFrame,
-    key: str,
+    keys: list[str],
     name: str,
     path: str | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Range-cluster by ``key`` (one-column z-order) and write Parquet; read it back.
+    """Range-cluster by ``keys`` and write Parquet; read it back.
 
     Range partitioning gives every file a narrow, non-overlapping key range, so
-    min/max statistics let later reads on ``key`` skip whole files.
+    min/max statistics let later reads on the first key skip whole files. Name
+    a further key that tells a frequent first key's rows apart, so that they
+    are dealt over several files.
     """
     out = path or shared_dir(spark, name)
-    n = num_partitions or default_partitions(spark)
-    df.repartitionByRange(n, key).sortWithinPartitions(key).write.mode("errorifexists").parquet(out)
+    clustered(df, keys, num_partitions).write.mode("errorifexists").parquet(out)
     return spark.read.parquet(out)
+
+
+def clustered(df: DataFrame, keys: list[str], num_partitions: int | None = None) -> DataFrame:
+    n = num_partitions or default_partitions(df.sparkSession)
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)

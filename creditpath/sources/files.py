@@ -1,12 +1,19 @@
-"""File sources for raw touches (CSV)."""
+"""File sources for raw touches (CSV). Columns are found by their name in the header."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.typing import type_touch_columns
-from ..schemas import RAW_TOUCH_SCHEMA
+
+# Fixed value: how the ingested bronze columns map onto touch columns.
+BRONZE_TO_TOUCH = {"uid": "user_id", "channel": "event_type", "time": "time",
+                   "conversion": "conversion"}
+TOUCH_COLUMNS = ["uid", "channel", "time", "conversion"]
+#: Holds a line that doesn't fit the header; such rows go to quarantine.
+CORRUPT = "_corrupt_record"
 
 
 def header_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -14,26 +21,39 @@ def header_schema(spark: SparkSession, path: str) -> T.StructType:
     return spark.read.option("header", True).csv(path).schema
 
 
-def read_touch_csv(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_TOUCH_SCHEMA, fmt: str | None = None
-) -> DataFrame:
-    """Batch read of raw touch CSV with a fixed schema, then the typing projection."""
-    raw = spark.read.option("header", True).schema(schema).csv(path)
-    return type_touch_columns(raw, fmt=fmt) if fmt else type_touch_columns(raw)
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    return schema if CORRUPT in schema.names else T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-# Fixed value: how the ingested bronze columns map onto touch columns.
-BRONZE_TO_TOUCH = {"uid": "user_id", "channel": "event_type", "time": "time",
-                   "conversion": "conversion"}
+def touch_columns(raw: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
+    """Touch columns by name, for either raw layout; a header without them is refused.
+
+    ``mapping`` names the raw column of each touch column. By default a header
+    with ``uid`` and ``channel`` is taken as it is, one with ``user_id`` and
+    ``event_type`` through BRONZE_TO_TOUCH.
+    """
+    if mapping is None:
+        plain = {"uid", "channel"} <= set(raw.columns)
+        mapping = {c: c for c in TOUCH_COLUMNS} if plain else BRONZE_TO_TOUCH
+    missing = sorted(set(mapping.values()) - set(raw.columns))
+    if missing:
+        raise ValueError(f"the files have no columns {missing}; their header is {raw.columns}")
+    kept = [F.col(CORRUPT)] if CORRUPT in raw.columns else []
+    return raw.select(*[F.col(src).alias(dst) for dst, src in mapping.items()], *kept)
+
+
+def read_touch_csv(
+    spark: SparkSession, path: str, fmt: str | None = None, mapping: dict[str, str] | None = None
+) -> DataFrame:
+    """Batch read of raw touch CSV in either layout, then the typing projection."""
+    schema = with_corrupt(header_schema(spark, path))
+    raw = spark.read.option("header", True).schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path)
+    touches = touch_columns(raw, mapping)
+    return type_touch_columns(touches, fmt=fmt) if fmt else type_touch_columns(touches)
 
 
 def touches_from_bronze(bronze: DataFrame, mapping: dict[str, str] | None = None,
                         fmt: str | None = None) -> DataFrame:
-    """Bronze rows (``time, conversion, ad_id, user_id, revenue, event_type``) -> touches.
-
-    Columns are renamed through ``mapping`` (touch name -> bronze name) and
-    typed with the same never-failing projection as the stream.
-    """
-    m = mapping or BRONZE_TO_TOUCH
-    touches = bronze.select(*[bronze[src].alias(dst) for dst, src in m.items()])
+    """Bronze rows (``time, conversion, ad_id, user_id, revenue, event_type``) -> typed touches."""
+    touches = touch_columns(bronze, mapping or BRONZE_TO_TOUCH)
     return type_touch_columns(touches, fmt=fmt) if fmt else type_touch_columns(touches)

@@ -1,10 +1,10 @@
 """Streaming ingest of raw touch files into bronze.
 
-``readStream`` CSV with a fixed schema -> the same typing projection as batch
-reads -> ``foreachBatch`` sink. Every micro-batch is written under its batch
-id, so a batch that is retried after a failure replaces its own output
-instead of appending it twice; together with the checkpoint this gives
-exactly-once output.
+``readStream`` CSV by header -> the same typing projection as batch reads ->
+``foreachBatch`` sink. Every micro-batch is written under its batch id and
+replaces what an earlier attempt of that batch has left, so that a batch that
+failed half-way is written whole when it is retried; together with the
+checkpoint this gives each row once.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import shared_dir
 from ..functions.typing import type_touch_columns
-from ..schemas import RAW_TOUCH_SCHEMA
+from ..sources.files import CORRUPT, header_schema, touch_columns, with_corrupt
 
 BATCH_ID = "batch_id"
 
@@ -26,49 +26,56 @@ BATCH_ID = "batch_id"
 def touch_file_stream(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = RAW_TOUCH_SCHEMA,
+    schema: T.StructType | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """File stream over a directory of CSV files with a header line."""
-    reader = spark.readStream.format("csv").schema(schema).option("header", True)
+    """File stream over a directory of CSV files; without a schema, by the names in their header."""
+    reader = (
+        spark.readStream.format("csv")
+        .schema(with_corrupt(schema or header_schema(spark, path)))
+        .option("header", True)
+        .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
 
 
-def parquet_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: batch ``k`` goes to ``path/batch_id=k`` (overwrite)."""
+def _parted(batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    if CORRUPT not in batch.columns:
+        return batch, None
+    return batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT), batch.where(F.col(CORRUPT).isNotNull())
+
+
+def parquet_batch_writer(path: str, quarantine: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: batch ``k`` goes to ``path/batch_id=k`` (overwrite).
+
+    Lines that don't fit the header go to ``quarantine/batch_id=k``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
+        good, bad = _parted(batch)
+        good.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
+        if quarantine and bad is not None:
+            bad.select(CORRUPT).write.mode("overwrite").parquet(f"{quarantine}/{BATCH_ID}={batch_id}")
 
     return write
 
 
 def jdbc_batch_writer(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function appending to a JDBC table, skipping a batch id seen before.
+    """``foreachBatch`` function: batch ``k`` goes to a table of its own, ``<table>_batch_k``, overwritten.
 
-    Spark commits a JDBC write per task, so skip-if-present is exactly-once
-    for a replayed micro-batch, but a batch whose write failed half-way must
-    be cleared (``DELETE ... WHERE batch_id = k``) on the database side before
-    the retry; the batch id column makes that a single statement.
+    A JDBC write commits task by task, so an attempt may leave a part of its
+    rows. The retry replaces the batch's table whole; no row is lost or
+    doubled, and no error is taken for a missing table. Readers take all batch
+    tables together, e.g. through a view.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            seen = (
-                spark.read.jdbc(url=url, table=table, properties=properties)
-                .where(F.col(BATCH_ID) == batch_id)
-                .limit(1)
-                .count()
-            )
-        except Exception:  # table not created yet
-            seen = 0
-        if not seen:
-            batch.withColumn(BATCH_ID, F.lit(batch_id).cast("long")).write.jdbc(
-                url=url, table=table, mode="append", properties=properties
-            )
+        good, _ = _parted(batch)
+        good.withColumn(BATCH_ID, F.lit(batch_id).cast("long")).write.jdbc(
+            url=url, table=f"{table}_batch_{batch_id}", mode="overwrite", properties=properties
+        )
 
     return write
 
@@ -79,39 +86,56 @@ def start_ingest(
     checkpoint: str,
     available_now: bool = True,
     time_format: str | None = None,
+    mapping: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    typed = type_touch_columns(stream, fmt=time_format) if time_format else type_touch_columns(stream)
+    touches = touch_columns(stream, mapping)
+    typed = type_touch_columns(touches, fmt=time_format) if time_format else type_touch_columns(touches)
     writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Waits for a run-once stream; raises if it fails, or is stopped for taking too long."""
+    if timeout_s is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(timeout_s)
+    if query.isActive:
+        query.stop()
+        raise TimeoutError("the stream did not finish in time; what it has written is not complete")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 # Text format used when touches are written out for the stream.
 STREAM_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def roundtrip_through_stream(
-    spark: SparkSession, touches: DataFrame, timeout_s: float = 600
+    spark: SparkSession, touches: DataFrame, timeout_s: float = 600, six_columns: bool = False
 ) -> DataFrame:
     """Write ``touches`` as CSV files, ingest them with the stream, read bronze back.
 
     Used to check that the streaming path yields exactly the batch rows.
+    ``six_columns`` writes the wider raw layout, in its own column order.
     """
     base = shared_dir(spark, "stream")
     raw, bronze, ckpt = f"{base}/raw", f"{base}/bronze", f"{base}/checkpoint"
-    touches.select(
-        "uid", "channel", F.date_format("time", STREAM_TIME_FORMAT).alias("time"),
-        F.col("conversion").cast("string").alias("conversion"),
-    ).write.option("header", True).csv(raw)
+    time = F.date_format("time", STREAM_TIME_FORMAT).alias("time")
+    flag = F.col("conversion").cast("string").alias("conversion")
+    if six_columns:
+        files = touches.select(
+            time, flag, F.lit("ad").alias("ad_id"), F.col("uid").alias("user_id"),
+            F.lit("0.5").alias("revenue"), F.col("channel").alias("event_type"),
+        )
+    else:
+        files = touches.select("uid", "channel", time, flag)
+    files.write.option("header", True).csv(raw)
     q = start_ingest(touch_file_stream(spark, raw), parquet_batch_writer(bronze), ckpt,
                      time_format=STREAM_TIME_FORMAT)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish in time")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    finish(q, timeout_s)
     out = spark.read.parquet(bronze)
     return out.select("uid", "channel", F.col("time").cast("timestamp_ntz").alias("time"),
                       "conversion")

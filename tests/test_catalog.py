@@ -41,7 +41,7 @@ def test_save_once_keeps_existing(spark, tmp_path):
 
 def test_clustered_write_ranges(spark):
     df = spark.range(0, 1000).selectExpr("cast(id * 7919 % 1000 as string) as uid")
-    out = C.write_clustered(spark, df, "uid", "clustered", num_partitions=4)
+    out = C.write_clustered(spark, df, ["uid"], "clustered", num_partitions=4)
     assert out.count() == 1000
     # each file holds a contiguous, non-overlapping key range
     from pyspark.sql import functions as F
@@ -49,3 +49,28 @@ def test_clustered_write_ranges(spark):
               .agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).orderBy("lo").collect())
     for a, b in zip(ranges, ranges[1:]):
         assert a.hi < b.lo
+
+
+def test_versions_stay_below_the_table(spark, tmp_path):
+    import os
+
+    rows = spark.createDataFrame([("m", "a", 1.0), ("m", "b", 2.0), ("k", "z", 3.0)], SCHEMA)
+    C.save_once(rows, "versioned_t", path=str(tmp_path / "t"))
+    for k in range(4):
+        more = spark.createDataFrame([("m", "a", 10.0 + k), ("m", f"n{k}", 0.0)], SCHEMA)
+        C.upsert(spark, "versioned_t", more, ["attribution_model", "channel"], prune=["attribution_model"])
+    got = {(r.attribution_model, r.channel): r.attribution_percent for r in spark.table("versioned_t").collect()}
+    assert got == {("m", "a"): 13.0, ("m", "n3"): 0.0, ("k", "z"): 3.0}
+    versions = [d for d in os.listdir(tmp_path / "t") if d.startswith("_version-")]
+    assert len(versions) == 2  # the current one and the one before
+    assert str(tmp_path / "t") in C.table_location(spark, "versioned_t")
+
+
+def test_concurrent_change_is_noticed(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("m", "a", 1.0)], SCHEMA)
+    C.save_once(rows, "raced_t", path=str(tmp_path / "r"))
+    places = iter([f"file:{tmp_path}/one", f"file:{tmp_path}/another"])
+    monkeypatch.setattr(C, "table_location", lambda *a: next(places))
+    with pytest.raises(RuntimeError, match="changed meanwhile"):
+        C.upsert(spark, "raced_t", rows, ["attribution_model", "channel"])
+    assert spark.table("raced_t").count() == 1
