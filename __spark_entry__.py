@@ -17,8 +17,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from creditpath.config import shared_dir  # noqa: E402
+from creditpath.functions.paths import register_sql_functions, terminal_state  # noqa: E402
+from creditpath.operators import transitions as TR  # noqa: E402
 from creditpath.plans.attribution import AttributionPlan  # noqa: E402
 from creditpath.sources import catalog as C  # noqa: E402
+from creditpath.sources.events import read_events, touches_from_events  # noqa: E402
 from creditpath.streaming import ingest as S  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -46,8 +50,50 @@ def q_touches_clean(spark, sf):
     return _plan(spark, sf).touches
 
 
+def _dirty_events(spark, sf):
+    """The events with faults put in by rules on the event id, the same in both engines."""
+    ev = read_events(spark, sf)
+    n = F.col("event_id")
+    kind = F.col("event_type")
+    channel = (
+        F.when(n % 29 == 1, F.lit(None).cast("string"))
+        .when(n % 31 == 2, F.lit("  "))
+        .when(n % 37 == 3, F.lit("Start"))
+        .when(n % 41 == 4, F.concat(kind, F.lit(" > x")))
+        .when((n % 5 == 0) & (kind != "purchase"), F.concat(F.lit(" "), kind, F.lit("  ")))
+        .otherwise(kind)
+    )
+    return ev.withColumns({"user_id": F.when(n % 23 != 0, F.col("user_id")), "event_type": channel})
+
+
+def _dirty_plan(spark, sf):
+    return AttributionPlan(touches_from_events(_dirty_events(spark, sf)))
+
+
 def q_touches_rejected(spark, sf):
-    return _plan(spark, sf).rejected
+    return _dirty_plan(spark, sf).rejected
+
+
+def q_dirty_transitions(spark, sf):
+    """Edges straight from touches (E1), with padded and rejected channels among them."""
+    return _dirty_plan(spark, sf).transition_counts
+
+
+def q_dirty_path_transitions(spark, sf):
+    """The same counts by way of the stored journey's text pairs."""
+    edges = TR.edges_from_path_transitions(_dirty_plan(spark, sf).path_transitions)
+    return TR.transition_counts(edges)
+
+
+def q_text_transitions(spark, sf):
+    """Path text of each touch and its neighbours, split by the SQL function."""
+    uj = _plan(spark, sf).user_journey
+    path = F.concat_ws(" > ", F.coalesce("previous_channel", F.lit("Start")), "channel")
+    tail = F.when(F.col("seq") == F.col("n_touches"), terminal_state("conversion"))
+    uj.select("uid", "seq", F.concat_ws(" > ", path, tail).alias("path")).createOrReplaceTempView("journey_steps")
+    register_sql_functions(spark)
+    split = "SELECT uid, seq, path, transition_array(path) AS pairs FROM journey_steps"
+    return spark.sql(f"SELECT uid, seq, path, explode(pairs) AS transition FROM ({split})")
 
 
 def q_visit_order(spark, sf):
@@ -64,12 +110,8 @@ def q_converting_journeys(spark, sf):
     return converting_journeys(_plan(spark, sf).journeys)
 
 
-def _journey_text(df: DataFrame) -> DataFrame:
-    return df.withColumn("visiting_order", F.array_join("visiting_order", ","))
-
-
 def q_user_journey(spark, sf):
-    return _journey_text(_plan(spark, sf).user_journey)
+    return _plan(spark, sf).user_journey
 
 
 def q_first_touch(spark, sf):
@@ -132,6 +174,11 @@ def q_removal_graph(spark, sf):
     return _r(_plan(spark, sf).scenario_graph, "transition_probability")
 
 
+def q_removal_graph_one(spark, sf):
+    """The graph without the channel ``click``."""
+    return _r(_plan(spark, sf).removal_graph("click"), "transition_probability")
+
+
 def q_conversion_prob_absorbing(spark, sf):
     return _r(_plan(spark, sf).conversion_probability("absorbing"), "conversion_probability")
 
@@ -197,19 +244,59 @@ def q_attribution_upsert(spark, sf):
     return _r(merged, "attribution_percent")
 
 
+def q_gold_refresh(spark, sf):
+    """Gold after a second run: rows of the first, over the first half of the events, are replaced."""
+    half = read_events(spark, sf).where(F.col("event_id") % 2 == 0)
+    first = AttributionPlan(touches_from_events(half)).touch_attribution
+    old = first.withColumn("channel", F.concat(F.lit("old "), "channel")).unionByName(first)
+    now = _plan(spark, sf).all_models("absorbing")
+    merged = C.upsert_into_new_table(
+        spark, old, now, ["attribution_model", "channel"], name="gold_attribution", prune=["attribution_model"]
+    )
+    return _r(merged, "attribution_percent")
+
+
 def q_clustered_journey(spark, sf):
-    uj = _plan(spark, sf).user_journey
-    return _journey_text(C.write_clustered(spark, uj, "uid", name="gold_user_journey"))
+    return C.write_clustered(spark, _plan(spark, sf).user_journey, ["uid", "seq"], name="gold_user_journey")
+
+
+def _plain_touches(spark, sf):
+    return _plan(spark, sf).touches.select("uid", "channel", "time", "conversion")
 
 
 def q_stream_ingest(spark, sf):
-    touches = _plan(spark, sf).touches.select("uid", "channel", "time", "conversion")
-    return S.roundtrip_through_stream(spark, touches)
+    return S.roundtrip_through_stream(spark, _plain_touches(spark, sf))
+
+
+def q_header_stream(spark, sf):
+    """The six-column raw layout, its columns found by their names in the header."""
+    return S.roundtrip_through_stream(spark, _plain_touches(spark, sf), six_columns=True)
+
+
+def q_catalog_roundtrip(spark, sf):
+    """Transition counts through a database table and a view, with the table's description beside them."""
+    here = spark.catalog.currentDatabase()
+    C.create_database(spark, "cp_roundtrip")
+    try:
+        if not C.use_database(spark, "cp_roundtrip") or C.use_database(spark, "cp_roundtrip_missing"):
+            raise RuntimeError("databases are not told apart")
+        table = f"counts_{shared_dir(spark, 'x').rpartition('-')[2]}"
+        C.save_once(_plan(spark, sf).transition_counts, table, path=shared_dir(spark, table))
+        spark.table(table).createOrReplaceTempView("counts_view")
+        types = C.describe(spark, table).select(F.concat_ws(" ", "col_name", "data_type").alias("c"))
+        described = types.agg(F.array_join(F.array_sort(F.collect_list("c")), ", ").alias("described"))
+        rows = spark.sql("SELECT start_state, end_state, total_transitions FROM counts_view")
+        return rows.join(F.broadcast(described))  # one row
+    finally:
+        spark.catalog.setCurrentDatabase(here)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "touches_clean": q_touches_clean,
     "touches_rejected": q_touches_rejected,
+    "dirty_transitions": q_dirty_transitions,
+    "dirty_path_transitions": q_dirty_path_transitions,
+    "text_transitions": q_text_transitions,
     "visit_order": q_visit_order,
     "journey_summary": q_journey_summary,
     "converting_journeys": q_converting_journeys,
@@ -226,6 +313,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transition_pivot": q_transition_pivot,
     "transition_adjacency": q_transition_adjacency,
     "removal_graph": q_removal_graph,
+    "removal_graph_one": q_removal_graph_one,
     "conversion_prob_absorbing": q_conversion_prob_absorbing,
     "conversion_prob_simple_path": q_conversion_prob_simple_path,
     "conversion_prob_memo_walk": q_conversion_prob_memo_walk,
@@ -239,6 +327,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attribution_upsert": q_attribution_upsert,
     "clustered_journey": q_clustered_journey,
     "stream_ingest": q_stream_ingest,
+    "header_stream": q_header_stream,
+    "catalog_roundtrip": q_catalog_roundtrip,
+    "gold_refresh": q_gold_refresh,
 }
 
 
@@ -276,7 +367,7 @@ touches AS (
            CAST(CASE WHEN next_type = 'purchase' THEN 1 ELSE 0 END AS INTEGER) AS conversion,
            event_id
     FROM ev_next
-    WHERE channel <> 'purchase'
+    WHERE channel IS DISTINCT FROM 'purchase'
 ),
 ranked AS (
     SELECT *,
@@ -295,26 +386,10 @@ journeys AS (
     FROM ranked
     GROUP BY uid
 ),
-seg AS (
-    SELECT uid, channel, visit_order, rn_first, (rn_first - 1) // 1000 AS segment, true AS own
-    FROM ranked
-    UNION ALL
-    SELECT uid, channel, visit_order, rn_first, (rn_first - 1) // 1000 + 1 AS segment, false AS own
-    FROM ranked WHERE rn_first % 1000 = 0
-),
 user_journey AS (
-    SELECT s.uid, CAST(s.segment AS INTEGER) AS segment,
-           CASE WHEN s.segment = 0 THEN 'Start > ' ELSE '' END
-             || string_agg(s.channel, ' > ' ORDER BY s.rn_first)
-             || CASE WHEN s.segment = (j.n_touches - 1) // 1000
-                     THEN CASE WHEN j.conversion = 1 THEN ' > Conversion' ELSE ' > Null' END
-                     ELSE '' END AS path,
-           j.first_interaction, j.last_interaction, j.conversion,
-           string_agg(CAST(s.visit_order AS VARCHAR), ',' ORDER BY s.rn_first)
-             FILTER (WHERE s.own) AS visiting_order
-    FROM seg s JOIN journeys j ON j.uid = s.uid
-    WHERE s.segment <= (j.n_touches - 1) // 1000
-    GROUP BY s.uid, s.segment, j.first_interaction, j.last_interaction, j.conversion, j.n_touches
+    SELECT r.uid, r.rn_first AS seq, r.visit_order, r.prev_channel AS previous_channel, r.channel,
+           j.first_interaction, j.last_interaction, j.conversion, j.n_touches
+    FROM ranked r JOIN journeys j ON j.uid = r.uid
 ),
 first_touch AS (
     SELECT 'first_touch' AS attribution_model, first_interaction AS channel,
@@ -421,14 +496,65 @@ def _with(body: str) -> str:
     return "WITH RECURSIVE " + _BASE.strip() + "\n" + body.strip()
 
 
+#: End states of the given events, for the pivot's columns.
+_STATES = ["Conversion", "Null", "click", "error", "signup", "view"]
+
+_DIRTY = """
+    WITH d_ev AS (
+        SELECT CASE WHEN event_id % 23 <> 0 THEN user_id END AS user_id, ts AS time, event_id,
+               CASE WHEN event_id % 29 = 1 THEN NULL WHEN event_id % 31 = 2 THEN '  '
+                    WHEN event_id % 37 = 3 THEN 'Start' WHEN event_id % 41 = 4 THEN event_type || ' > x'
+                    WHEN event_id % 5 = 0 AND event_type <> 'purchase' THEN ' ' || event_type || '  '
+                    ELSE event_type END AS channel
+        FROM events
+    ),
+    d_uid AS (
+        SELECT *, CAST(user_id AS VARCHAR) || '-' || strftime(time, '%Y%m%d') AS uid FROM d_ev
+    ),
+    d_next AS (
+        SELECT *, lead(channel) OVER (PARTITION BY uid ORDER BY time, event_id) AS next_type FROM d_uid
+    ),
+    judged AS (
+        SELECT uid, channel, time, event_id,
+               CAST(CASE WHEN next_type = 'purchase' AND uid IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS conversion,
+               CASE WHEN uid IS NULL OR trim(uid) = '' THEN 'missing uid'
+                    WHEN time IS NULL THEN 'missing time'
+                    WHEN channel IS NULL OR trim(channel) = '' THEN 'missing channel'
+                    WHEN trim(channel) IN ('Start', 'Conversion', 'Null') THEN 'reserved channel name'
+                    WHEN strpos(channel, '>') > 0 THEN 'separator in channel name' END AS reject_reason
+        FROM d_next WHERE channel IS DISTINCT FROM 'purchase'
+    ),
+    d_ok AS (
+        SELECT uid, trim(channel) AS channel, conversion,
+               lag(trim(channel)) OVER w AS before, lead(channel) OVER w AS after
+        FROM judged WHERE reject_reason IS NULL WINDOW w AS (PARTITION BY uid ORDER BY time, event_id)
+    ),
+    dirty_edges AS (
+        SELECT coalesce(before, 'Start') AS start_state, channel AS end_state FROM d_ok
+        UNION ALL
+        SELECT channel, CASE WHEN conversion = 1 THEN 'Conversion' ELSE 'Null' END FROM d_ok WHERE after IS NULL
+    ),
+    dirty_counts AS (
+        SELECT start_state, end_state, count(*) AS total_transitions FROM dirty_edges GROUP BY ALL
+    )
+"""
+
 _ORACLES = {
     "touches_clean": "SELECT uid, channel, time, conversion, event_id FROM touches",
-    "touches_rejected": """
-        SELECT uid, channel, time, conversion, event_id, CAST(NULL AS VARCHAR) AS reject_reason
-        FROM touches
-        WHERE uid IS NULL OR trim(uid) = '' OR time IS NULL OR channel IS NULL
-           OR trim(channel) = '' OR trim(channel) IN ('Start', 'Conversion', 'Null')
-           OR strpos(channel, '>') > 0
+    "touches_rejected": f"""
+        SELECT uid, channel, time, conversion, event_id, reject_reason
+        FROM ({_DIRTY} SELECT * FROM judged WHERE reject_reason IS NOT NULL)
+    """,
+    "dirty_transitions": f"SELECT * FROM ({_DIRTY} SELECT * FROM dirty_counts)",
+    "dirty_path_transitions": f"SELECT * FROM ({_DIRTY} SELECT * FROM dirty_counts)",
+    "text_transitions": """
+        SELECT uid, seq, path, st[i] || ' > ' || st[i + 1] AS transition
+        FROM (SELECT uid, seq, path, list_transform(string_split(path, '>'), lambda x: trim(x)) AS st
+              FROM (SELECT uid, seq, coalesce(previous_channel, 'Start') || ' > ' || channel
+                      || CASE WHEN seq < n_touches THEN '' WHEN conversion = 1 THEN ' > Conversion' ELSE ' > Null' END
+                      AS path
+                    FROM user_journey)) j,
+             range(1, len(st)) AS r(i)
     """,
     "visit_order": "SELECT uid, channel, time, conversion, event_id, visit_order FROM ranked",
     "journey_summary": "SELECT * FROM journeys",
@@ -444,10 +570,7 @@ _ORACLES = {
         FROM (SELECT * FROM first_touch UNION ALL SELECT * FROM last_touch)
     """,
     "path_transitions": """
-        SELECT path, st[i] || ' > ' || st[i + 1] AS transition, 1 AS cnt
-        FROM (SELECT path, list_transform(string_split(path, '>'), lambda x: trim(x)) AS st
-              FROM user_journey) j,
-             range(1, len(st)) AS r(i)
+        SELECT uid, start_state || ' > ' || end_state AS transition, 1 AS cnt FROM edges
     """,
     "touch_transitions": "SELECT * FROM edges",
     "transition_counts": "SELECT * FROM counts",
@@ -456,11 +579,11 @@ _ORACLES = {
         SELECT start_state, round(sum(transition_probability), 2) AS transition_probability_sum
         FROM matrix GROUP BY start_state
     """,
-    "transition_pivot": """
-        SELECT * FROM (
-            PIVOT (SELECT start_state, end_state, round(transition_probability, 9) AS p FROM matrix)
-            ON end_state USING first(p) GROUP BY start_state)
-    """,
+    "transition_pivot": "SELECT start_state, "
+    + ", ".join(
+        f"max(round(transition_probability, 9)) FILTER (WHERE end_state = '{s}') AS \"{s}\"" for s in _STATES
+    )
+    + " FROM matrix GROUP BY start_state",
     "transition_adjacency": """
         SELECT start_state,
                string_agg(end_state, ',' ORDER BY end_state DESC) AS next_stages,
@@ -473,6 +596,10 @@ _ORACLES = {
                round(transition_probability, 9) AS transition_probability
         FROM graph
     """,
+    "removal_graph_one": """
+        SELECT start_state, end_state, round(transition_probability, 9) AS transition_probability
+        FROM graph WHERE removed_channel = 'click'
+    """,
     "conversion_prob_absorbing": """
         SELECT removed_channel, round(conversion_probability, 9) AS conversion_probability
         FROM absorbing
@@ -529,6 +656,16 @@ _ORACLES = {
     """,
     "clustered_journey": "SELECT * FROM user_journey",
     "stream_ingest": "SELECT uid, channel, time, conversion FROM touches",
+    "header_stream": "SELECT uid, channel, time, conversion FROM touches",
+    "catalog_roundtrip": """
+        SELECT start_state, end_state, total_transitions,
+               'end_state string, start_state string, total_transitions bigint' AS described
+        FROM counts
+    """,
+    "gold_refresh": """
+        SELECT attribution_model, channel, round(attribution_percent, 9) AS attribution_percent
+        FROM all_models
+    """,
 }
 
 

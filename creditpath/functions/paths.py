@@ -1,11 +1,11 @@
-"""Column builders for journey paths and state transitions (all JVM-side)."""
+"""Column builders for path text and state transitions (built-in expressions only)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import CONVERSION_STATE, NULL_STATE, PATH_SEPARATOR, START_STATE
+from ..config import CONVERSION_STATE, NULL_STATE, PATH_SEPARATOR
 
 
 def terminal_state(conversion: Column | str) -> Column:
@@ -14,16 +14,6 @@ def terminal_state(conversion: Column | str) -> Column:
     return F.when(c == 1, F.lit(CONVERSION_STATE)).otherwise(F.lit(NULL_STATE))
 
 
-def journey_path(channels: Column, conversion: Column) -> Column:
-    """``Start > a > b > Conversion`` (or ``... > Null``) from an array of channels."""
-    return F.concat(
-        F.lit(START_STATE + PATH_SEPARATOR),
-        F.concat_ws(PATH_SEPARATOR, channels),
-        F.lit(PATH_SEPARATOR),
-        terminal_state(conversion),
-    )
-
-
 def path_states(path: Column | str) -> Column:
     """Path text -> array of trimmed state names."""
     p = F.col(path) if isinstance(path, str) else path
@@ -55,7 +45,8 @@ def register_sql_functions(spark) -> None:
     """Make ``transition_array(path)`` callable from SQL.
 
     A SQL function whose body is built-in expressions, so Catalyst inlines it
-    and it stays in whole-stage code generation (no Python worker).
+    and no Python worker is needed. Higher-order functions are interpreted,
+    outside generated code.
     """
     states = "transform(split(path, '>'), s -> trim(s))"
     n = "size(split(path, '>'))"

@@ -1,8 +1,9 @@
-"""Journeys: per-uid order, first/last touch, conversion flag, path text.
+"""Journeys: order inside a uid, first and last touch, conversion flag.
 
 Order inside a journey is ``(time, event_id)`` when the touches carry an
 event id, else ``(time, channel)``. ``visit_order`` is ``dense_rank`` by time
-(equal times share a rank).
+(equal times share a rank). A journey is one row per touch, so that no row
+and no group holds a whole journey, however long.
 """
 
 from __future__ import annotations
@@ -10,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import PATH_SEPARATOR, START_STATE
-from ..functions.paths import terminal_state
 from .sequence import ordered_scan
 
 
@@ -41,93 +40,41 @@ def journey_summary(touches: DataFrame) -> DataFrame:
     )
 
 
-def visit_order(
-    touches: DataFrame, num_partitions: int | None = None, materialize: bool = False
-) -> DataFrame:
+def visit_order(touches: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Touches plus ``visit_order`` = dense_rank() over (uid order by time)."""
     return ordered_scan(
         touches,
         ["uid"],
         order_columns(touches),
-        [],
         dense_rank_col="visit_order",
         rank_value="time",
         num_partitions=num_partitions,
-        materialize=materialize,
     )
 
 
-# Fixed value: touches per journey row; longer journeys continue in further rows.
-SEGMENT_TOUCHES = 1000
-
-
 def user_journey(
-    touches: DataFrame,
-    num_partitions: int | None = None,
-    materialize: bool = False,
-    summary: DataFrame | None = None,
-    segment_touches: int = SEGMENT_TOUCHES,
+    touches: DataFrame, num_partitions: int | None = None, summary: DataFrame | None = None
 ) -> DataFrame:
-    """``uid, segment, path, first_interaction, last_interaction, conversion, visiting_order``.
-
-    A journey of up to ``segment_touches`` touches is one row whose ``path`` is
-    ``Start > a > ... > Conversion`` (or ``> Null``). A longer journey is cut
-    into rows of at most that many touches, so no row and no group holds an
-    unbounded journey. Segment ``k > 0`` starts with the state that ended
-    segment ``k - 1``, so the consecutive pairs of every row's path are
-    exactly the journey's transitions. ``visiting_order`` lists the segment's
-    own touches.
+    """One row per touch: its place (``seq`` from 1, ``visit_order``), the channel before it, and the journey's facts.
+
+    Columns: ``uid, seq, visit_order, previous_channel, channel, first_interaction,
+    last_interaction, conversion, n_touches``. The journey's own columns repeat on
+    each of its rows. They are joined on the uid, where the summary has one
+    row each, so a skewed uid can be split on the touches' side.
     """
-    k = segment_touches
-    cols = order_columns(touches)
     ranked = ordered_scan(
         touches,
         ["uid"],
-        cols,
-        [],
-        seq_col="_seq",
+        order_columns(touches),
+        ["channel"],
+        seq_col="seq",
         dense_rank_col="visit_order",
         rank_value="time",
         num_partitions=num_partitions,
-        materialize=materialize,
     )
     summary = summary if summary is not None else journey_summary(touches)
-    seg = F.floor((F.col("_seq") - 1) / k).cast("long")
-    own = ranked.select("uid", "_seq", "channel", "visit_order", seg.alias("segment"),
-                        F.lit(True).alias("_own"))
-    # the last touch of a full segment also opens the next one (as its first state)
-    carried = ranked.where(F.col("_seq") % k == 0).select(
-        "uid", "_seq", "channel", "visit_order", (seg + 1).alias("segment"),
-        F.lit(False).alias("_own"))
-    item = F.struct("_seq", "channel", "visit_order", "_own")
-    lists = own.unionByName(carried).groupBy("uid", "segment").agg(
-        F.array_sort(F.collect_list(item)).alias("_items"))
-    # Journey facts per segment: one small row per (uid, segment), so the join
-    # is on (uid, segment) and a long journey's segments stay spread over tasks
-    # (the lists are already partitioned that way). A carried-only row past the
-    # journey's end (its last touch closed a full segment) finds no partner.
-    last_segment = F.floor((F.col("n_touches") - 1) / k).cast("long")
-    facts = summary.select(
-        "uid", "first_interaction", "last_interaction", "conversion",
-        last_segment.alias("_last_segment"),
-        F.explode(F.sequence(F.lit(0).cast("long"), last_segment)).alias("segment"),
-    )
-    j = lists.join(facts, ["uid", "segment"])
-    last_segment = F.col("_last_segment")
-    channels = F.concat_ws(PATH_SEPARATOR, F.transform("_items", lambda x: x["channel"]))
-    path = F.concat(
-        F.when(F.col("segment") == 0, F.lit(START_STATE + PATH_SEPARATOR)).otherwise(F.lit("")),
-        channels,
-        F.when(F.col("segment") == last_segment,
-               F.concat(F.lit(PATH_SEPARATOR), terminal_state("conversion"))).otherwise(F.lit("")),
-    )
-    own_items = F.filter("_items", lambda x: x["_own"])
-    return j.select(
-        "uid",
-        F.col("segment").cast("int").alias("segment"),
-        path.alias("path"),
-        "first_interaction",
-        "last_interaction",
-        "conversion",
-        F.transform(own_items, lambda x: x["visit_order"].cast("int")).alias("visiting_order"),
-    )
+    facts = summary.select("uid", "first_interaction", "last_interaction", "conversion", "n_touches")
+    return ranked.drop("conversion").join(facts, "uid").select(
+        "uid", "seq", "visit_order", F.col("prev_channel").alias("previous_channel"), "channel",
+        "first_interaction", "last_interaction", "conversion", "n_touches",
+    )

@@ -1,29 +1,32 @@
 """Markov-chain attribution: scenario graphs, conversion probability, effects.
 
-All removal scenarios are evaluated together. The scenario graph has a
-``removed_channel`` column (NULL for the full graph) and is derived from the
-transition matrix, whose size is bounded by the number of states squared, so
-every scenario's graph is small no matter how many touches were counted.
+A scenario is the full graph (``removed_channel`` NULL) or the graph without
+one channel: its rows are dropped and edges into it go to ``Null``.
 
 Conversion probability from ``Start`` has three policies:
 
 ``absorbing``
     probability of reaching ``Conversion`` in the absorbing chain (loops
-    allowed). Exact: either a linear solve per scenario graph, or (used by the
-    plans) every removal at once from the baseline fundamental matrix, which
-    needs no scenario graphs at all.
+    allowed). Mass is moved along the edges, step by step, until none is left
+    on the way; mass that enters the scenario's channel is lost, so no
+    scenario graph is made and a step's work follows the number of edges.
 ``simple_path``
-    sum over walks that never repeat a state. Level-by-level frontier join in
-    Spark; walks that share (visited set, current state) are merged each level,
-    so the frontier is at most 2^C x C rows per scenario instead of C! walks.
+    sum over walks that never repeat a state. Level-by-level frontier join;
+    walks that share (visited set, current state) are merged each level, yet
+    the frontier is exponential in the number of channels: for few channels.
 ``memo_walk``
-    the memoised depth-first rules of the original notebook, with the next
-    states visited in descending name order (its stored value depends on
-    that order). Grouped pandas function, one scenario per group.
+    a depth-first sum that keeps a state's value once it is left, with the
+    next states visited in descending name order (values depend on it).
+
+``absorbing`` and ``memo_walk`` deal the scenarios out to tasks, which all
+hold the edges, up to MAX_EDGES of them. Beyond that ``absorbing`` moves mass
+by joins instead; ``memo_walk``, a sequential rule, refuses.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +38,11 @@ REMOVED = "removed_channel"
 PROB = "conversion_probability"
 POLICIES = ("absorbing", "simple_path", "memo_walk")
 
+#: Edges that may travel to every task.
+MAX_EDGES = 2_000_000
+#: Mass on the way below which a chain is at its end.
+LEAST_MASS = 1e-14
+
 _PROB_SCHEMA = T.StructType(
     [T.StructField(REMOVED, T.StringType(), True), T.StructField(PROB, T.DoubleType(), True)]
 )
@@ -49,197 +57,215 @@ def channels(matrix: DataFrame) -> DataFrame:
     )
 
 
-def scenario_graph(matrix: DataFrame) -> DataFrame:
-    """``removed_channel, start_state, end_state, transition_probability``.
+def scenarios(matrix: DataFrame) -> DataFrame:
+    """One row per scenario: NULL and every channel."""
+    none = matrix.sparkSession.range(1).select(F.lit(None).cast("string").alias(REMOVED))
+    return channels(matrix).select(F.col("channel").alias(REMOVED)).unionByName(none)
 
-    For the baseline (``removed_channel`` NULL) the matrix as is; for each
-    channel the matrix without that channel's rows and with edges into it sent
-    to ``Null`` (merged with an existing ``Null`` edge).
-    """
-    chans = F.array_sort(
-        F.collect_set(F.when(F.col("start_state") != START_STATE, F.col("start_state"))).over(
-            Window.partitionBy()
-        )
-    )
-    scenarios = F.concat(F.array(F.lit(None).cast("string")), chans)
-    expanded = matrix.select(
-        "start_state", "end_state", "transition_probability", scenarios.alias("_scenarios")
-    ).select(
-        "start_state", "end_state", "transition_probability", F.explode("_scenarios").alias(REMOVED)
-    )
+
+def _without(graph: DataFrame, removed) -> DataFrame:
+    """Edges into the removed channel go to ``Null``, merged with an edge that is there."""
+    end = F.when(F.col("end_state") == removed, NULL_STATE).otherwise(F.col("end_state"))
+    return graph.withColumn("end_state", end)
+
+
+def scenario_graph(matrix: DataFrame) -> DataFrame:
+    """``removed_channel, start_state, end_state, transition_probability`` of all scenarios."""
     removed = F.col(REMOVED)
-    kept = expanded.where(removed.isNull() | (F.col("start_state") != removed))
-    redirected = kept.select(
-        REMOVED,
-        "start_state",
-        F.when(F.col("end_state") == removed, F.lit(NULL_STATE))
-        .otherwise(F.col("end_state"))
-        .alias("end_state"),
-        "transition_probability",
-    )
-    return redirected.groupBy(REMOVED, "start_state", "end_state").agg(
-        F.sum("transition_probability").alias("transition_probability")
+    kept = matrix.join(scenarios(matrix), removed.isNull() | (F.col("start_state") != removed))
+    return (
+        _without(kept, removed)
+        .groupBy(REMOVED, "start_state", "end_state")
+        .agg(F.sum("transition_probability").alias("transition_probability"))
     )
 
 
 def removal_graph(matrix: DataFrame, channel: str | None) -> DataFrame:
-    """The graph of one scenario (``None`` = baseline), as adjacency lists."""
-    g = scenario_graph(matrix)
-    g = g.where(F.col(REMOVED).isNull() if channel is None else F.col(REMOVED) == channel)
-    pairs = F.sort_array(F.collect_list(F.struct("end_state", "transition_probability")), asc=False)
-    return g.groupBy("start_state").agg(pairs.alias("_n")).select(
-        "start_state",
-        F.col("_n.end_state").alias("next_stages"),
-        F.col("_n.transition_probability").alias("next_stage_transition_probabilities"),
+    """``start_state, end_state, transition_probability`` of one scenario (``None``: the full graph)."""
+    if channel is None:
+        return matrix.select("start_state", "end_state", "transition_probability")
+    kept = matrix.where(F.col("start_state") != channel)
+    return (
+        _without(kept, F.lit(channel))
+        .groupBy("start_state", "end_state")
+        .agg(F.sum("transition_probability").alias("transition_probability"))
     )
 
 
-# --------------------------------------------------------------------------
-# policy: absorbing
-
-
-def _absorbing_group(pdf):
-    import numpy as np
-    import pandas as pd
-
-    removed = pdf[REMOVED].iloc[0] if len(pdf) else None
-    terminal = {CONVERSION_STATE, NULL_STATE}
-    states = sorted((set(pdf["start_state"]) | set(pdf["end_state"])) - terminal)
-    if START_STATE not in states:
-        return pd.DataFrame({REMOVED: [removed], PROB: [0.0]})
-    pos = {s: i for i, s in enumerate(states)}
-    n = len(states)
-    q = np.zeros((n, n))
-    b = np.zeros(n)
-    rows = pdf[pdf["start_state"].isin(pos.keys())]
-    src = rows["start_state"].map(pos).to_numpy()
-    p = rows["transition_probability"].to_numpy(dtype=float)
-    to_conv = (rows["end_state"] == CONVERSION_STATE).to_numpy()
-    np.add.at(b, src[to_conv], p[to_conv])
-    inner = rows["end_state"].isin(pos.keys()).to_numpy()
-    dst = rows["end_state"][inner].map(pos).to_numpy()
-    np.add.at(q, (src[inner], dst), p[inner])
-    # States that can never reach Conversion have probability 0; dropping
-    # them leaves a non-singular system.
-    live = b > 0
-    while True:
-        grown = live | (q[:, live].sum(axis=1) > 0)
-        if (grown == live).all():
-            break
-        live = grown
-    x = np.zeros(n)
-    if live.any():
-        ql = q[np.ix_(live, live)]
-        x[live] = np.linalg.solve(np.eye(int(live.sum())) - ql, b[live])
-    return pd.DataFrame({REMOVED: [removed], PROB: [float(x[pos[START_STATE]])]})
-
+def _small_edges(matrix: DataFrame) -> pa.Table | None:
+    """The edges, or None if there are too many to travel."""
+    table = (
+        matrix.select("start_state", "end_state", "transition_probability").limit(MAX_EDGES + 1).toArrow()
+    )
+    return table if table.num_rows <= MAX_EDGES else None
 
-def absorbing_probability(graph: DataFrame) -> DataFrame:
-    """``removed_channel, conversion_probability`` under the absorbing policy."""
-    return graph.groupBy(REMOVED).applyInPandas(_absorbing_group, _PROB_SCHEMA)
 
+def _by_scenario(matrix: DataFrame, edges: pa.Table, prepare) -> DataFrame:
+    """A row per scenario; ``prepare(edges)`` gives a function from the removed channel to its probability."""
+    columns = [c.to_pylist() for c in edges.columns]
+    spark = matrix.sparkSession
+    shared = spark.sparkContext.broadcast(columns)
+    names = [None, *sorted(set(columns[0]) - {START_STATE})]
+    rows = spark.createDataFrame([(c,) for c in names], f"{REMOVED} string")
 
-def _absorbing_all_removals(pdf):
-    """Baseline and every single-channel removal from one baseline solve.
+    def run(batches):
+        probability = prepare(*shared.value)
+        for batch in batches:
+            values = [probability(c) for c in batch.column(REMOVED).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(REMOVED), pa.array(values, pa.float64())], names=[REMOVED, PROB]
+            )
 
-    With ``N = (I - Q)^-1`` over the transient states and ``x`` the absorption
-    probabilities into Conversion, a walk from Start either avoids channel
-    ``c`` or first reaches it (probability ``N[S,c] / N[c,c]``), after which
-    the removal sends it to Null. Hence ``P_without_c = x[S] - N[S,c]/N[c,c] * x[c]``.
-    """
-    import numpy as np
-    import pandas as pd
-
-    terminal = {CONVERSION_STATE, NULL_STATE}
-    states = sorted((set(pdf["start_state"]) | set(pdf["end_state"])) - terminal)
-    chans = sorted(set(pdf["start_state"]) - terminal - {START_STATE})
-    if START_STATE not in states:
-        return pd.DataFrame({REMOVED: [None, *chans], PROB: [0.0] * (len(chans) + 1)})
-    pos = {st: i for i, st in enumerate(states)}
-    n = len(states)
-    q = np.zeros((n, n))
-    b = np.zeros(n)
-    src = pdf["start_state"].map(pos)
-    ok = src.notna().to_numpy()
-    src = src[ok].astype(int).to_numpy()
-    end = pdf["end_state"][ok]
-    p = pdf["transition_probability"][ok].to_numpy(dtype=float)
-    to_conv = (end == CONVERSION_STATE).to_numpy()
-    np.add.at(b, src[to_conv], p[to_conv])
-    inner = end.isin(pos.keys()).to_numpy()
-    np.add.at(q, (src[inner], end[inner].map(pos).astype(int).to_numpy()), p[inner])
-    fundamental = np.linalg.pinv(np.eye(n) - q)
-    x = fundamental @ b
-    s = pos[START_STATE]
-    probs = [float(x[s])]
-    for c in chans:
-        k = pos[c]
-        probs.append(float(x[s] - fundamental[s, k] / fundamental[k, k] * x[k]))
-    return pd.DataFrame({REMOVED: [None, *chans], PROB: probs})
-
-
-def absorbing_removal_probability(matrix: DataFrame) -> DataFrame:
-    """``absorbing`` for the baseline and all removals without per-scenario graphs.
-
-    The one group holds the transition matrix, at most (states)^2 rows, so
-    the work is one (states x states) inversion whatever the number of
-    channels; the scenario graph would have (channels + 1) x (states)^2 rows.
-    """
-    return (
-        matrix.select(F.lit(0).alias("_g"), "start_state", "end_state", "transition_probability")
-        .groupBy("_g")
-        .applyInPandas(_absorbing_all_removals, _PROB_SCHEMA)
-    )
+    return rows.mapInArrow(run, _PROB_SCHEMA)
 
 
 # --------------------------------------------------------------------------
-# policy: memo_walk
+# policy: absorbing
 
 
-def _memo_walk_fn(descending: bool = True):
-    def walk_group(pdf):
-        import pandas as pd
+def _absorbing(starts: list[str], ends: list[str], p: list[float]):
+    """Moves mass from ``Start`` along the edges until next to nothing is on the way."""
+    name = {s: i for i, s in enumerate(dict.fromkeys([START_STATE, CONVERSION_STATE, NULL_STATE, *starts, *ends]))}
+    a = np.array([name[s] for s in starts], np.int64)
+    b = np.array([name[s] for s in ends], np.int64)
+    p = np.array(p, float)
+    n = len(name)
+    out = (a > 2) | (a == 0)  # nothing leaves the two ends
+    a, b, p = a[out], b[out], p[out]
+    # mass that stays in a state leaves it later in the same proportions
+    stay = np.bincount(a[a == b], p[a == b], n)
+    a, b, p = a[a != b], b[a != b], p[a != b]
+    p = p / np.maximum(1 - stay[a], 1e-300)
+    # states from which Conversion can't be reached hold mass for ever: it is dropped
+    reach = np.zeros(n, bool)
+    reach[1] = True
+    while True:
+        more = reach.copy()
+        more[a[reach[b]]] = True
+        if (more == reach).all():
+            break
+        reach = more
+    live = reach[a] & reach[b] & (stay[a] < 1)
+    a, b, p = a[live], b[live], p[live]
+
+    def probability(removed: str | None) -> float:
+        lost = name.get(removed, -1)
+        mass = np.zeros(n)
+        mass[0] = 1.0
+        converted = 0.0
+        while mass.sum() > LEAST_MASS:
+            mass = np.bincount(b, mass[a] * p, n)
+            converted += mass[1]
+            mass[1] = 0.0
+            if lost >= 0:
+                mass[lost] = 0.0
+        return converted
+
+    return probability
+
+
+def _absorbing_joined(matrix: DataFrame, steps: int = 8) -> DataFrame:
+    """The same by joins, for graphs whose edges can't travel: mass per (scenario, state) meets the edges."""
+    checkpoint_root(matrix.sparkSession)
+    edges = matrix.select("start_state", "end_state", "transition_probability").checkpoint()
+    all_ = scenarios(edges).checkpoint()
+    mass = all_.select(REMOVED, F.lit(START_STATE).alias("state"), F.lit(1.0).alias("mass"))
+    ended = F.col("state").isin(CONVERSION_STATE, NULL_STATE)
+    left = last = 1.0
+    while left > LEAST_MASS:
+        for _ in range(steps):
+            moved = (
+                mass.where(~ended)
+                .join(edges, F.col("state") == F.col("start_state"))
+                .where(F.col(REMOVED).isNull() | (F.col("end_state") != F.col(REMOVED)))
+                .select(REMOVED, F.col("end_state").alias("state"), (F.col("mass") * F.col("transition_probability")).alias("mass"))
+                .where(F.col("state") != NULL_STATE)
+            )
+            mass = mass.where(ended).unionByName(moved).groupBy(REMOVED, "state").agg(F.sum("mass").alias("mass"))
+        mass = mass.checkpoint()
+        left = mass.where(~ended).groupBy(REMOVED).agg(F.sum("mass").alias("m")).agg(F.max("m")).first()[0] or 0.0
+        if left > 0.999999 * last:
+            break  # what is left circles in states without a way out
+        last = left
+    ends = mass.where(F.col("state") == CONVERSION_STATE).select(F.col(REMOVED).alias("_r"), "mass")
+    return all_.join(ends, F.col(REMOVED).eqNullSafe(F.col("_r")), "left").select(
+        REMOVED, F.coalesce("mass", F.lit(0.0)).alias(PROB)
+    )
 
-        removed = pdf[REMOVED].iloc[0] if len(pdf) else None
-        ordered = pdf.sort_values("end_state", ascending=not descending, kind="stable")
-        nexts: dict[str, list[tuple[str, float]]] = {}
-        for s, e, p in zip(ordered["start_state"], ordered["end_state"],
-                           ordered["transition_probability"]):
-            nexts.setdefault(s, []).append((e, float(p)))
-        memo: dict[str, float] = {}
 
-        def walk(state: str, visited: frozenset) -> float:
-            if state == CONVERSION_STATE:
-                return 1.0
-            if state == NULL_STATE or state in visited:
-                return 0.0
-            if state in memo:
-                return memo[state]
-            seen = visited | {state}
-            total = 0.0
-            for nxt, p in nexts.get(state, []):
-                total += p * walk(nxt, seen)
-            memo[state] = total
-            return total
+def absorbing_probability(matrix: DataFrame) -> DataFrame:
+    """``removed_channel, conversion_probability`` under the absorbing policy, for every scenario."""
+    edges = _small_edges(matrix)
+    if edges is None:
+        return _absorbing_joined(matrix)
+    if not edges.num_rows:
+        return scenarios(matrix).where(F.lit(False)).withColumn(PROB, F.lit(0.0))
+    return _by_scenario(matrix, edges, _absorbing)
 
-        return pd.DataFrame({REMOVED: [removed], PROB: [walk(START_STATE, frozenset())]})
 
-    return walk_group
+# --------------------------------------------------------------------------
+# policy: memo_walk
 
 
-def memo_walk_probability(graph: DataFrame, descending: bool = True) -> DataFrame:
-    """Memoised walk; next states in descending (default) or ascending name order."""
-    return graph.groupBy(REMOVED).applyInPandas(_memo_walk_fn(descending), _PROB_SCHEMA)
+def _memo_walk(descending: bool):
+    """A state's value is the sum over its next states of probability times value: 1 for
+    ``Conversion``; 0 for ``Null``, the removed channel and states that are open; what
+    was stored when a state was closed; else the next state is opened first.
+    """
+
+    def prepare(starts: list[str], ends: list[str], p: list[float]):
+        after: dict[str, list[tuple[str, float]]] = {}
+        for end, start, q in sorted(zip(ends, starts, p), reverse=descending):
+            after.setdefault(start, []).append((end, q))
+
+        def probability(removed: str | None) -> float:
+            stored = {CONVERSION_STATE: 1.0, NULL_STATE: 0.0}
+            if removed is not None:
+                stored[removed] = 0.0
+            opened, todo, total = [START_STATE], {START_STATE: iter(after.get(START_STATE, ()))}, {START_STATE: 0.0}
+            weight = {START_STATE: 1.0}
+            while opened:
+                state = opened[-1]
+                step = next(todo[state], None)
+                if step is None:
+                    opened.pop()
+                    stored[state] = total.pop(state)
+                    del todo[state]
+                    if opened:
+                        total[opened[-1]] += weight[state] * stored[state]
+                    continue
+                end, q = step
+                if end in todo:
+                    continue
+                if end in stored:
+                    total[state] += q * stored[end]
+                else:
+                    opened.append(end)
+                    todo[end], total[end], weight[end] = iter(after.get(end, ())), 0.0, q
+            return stored[START_STATE]
+
+        return probability
+
+    return prepare
+
+
+def memo_walk_probability(matrix: DataFrame, descending: bool = True) -> DataFrame:
+    """Memoised walk of every scenario; next states in descending (default) or ascending name order."""
+    edges = _small_edges(matrix)
+    if edges is None:
+        raise ValueError(f"memo_walk takes at most {MAX_EDGES} edges; use the absorbing policy")
+    if not edges.num_rows:
+        return scenarios(matrix).where(F.lit(False)).withColumn(PROB, F.lit(0.0))
+    return _by_scenario(matrix, edges, _memo_walk(descending))
 
 
 # --------------------------------------------------------------------------
 # policy: simple_path
 
 
-def simple_path_probability(
-    graph: DataFrame, broadcast_max_rows: int = 1_000_000, checkpoint_every: int = 8
-) -> DataFrame:
-    """Sum over walks from ``Start`` to ``Conversion`` that repeat no state."""
+def simple_path_probability(matrix: DataFrame, checkpoint_every: int = 8) -> DataFrame:
+    """Sum over walks from ``Start`` to ``Conversion`` that repeat no state, for every scenario."""
+    graph = scenario_graph(matrix)
     checkpoint_root(graph.sparkSession)
     # The graph is small (states^2 per scenario). Write it once to the shared
     # checkpoint folder: every level then reads it instead of re-deriving it
@@ -250,13 +276,7 @@ def simple_path_probability(
         F.col("end_state").alias("_e"),
         F.col("transition_probability").alias("_p"),
     ).checkpoint(eager=True)
-    # One small job sizes the edge table (broadcast only below the bound, a
-    # shuffle join beyond it) and counts the states that bound the walk length.
-    stats = edges.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("_s").alias("k")
-    ).first()
-    edges_j = F.broadcast(edges) if stats["n"] <= broadcast_max_rows else edges
-    n_states = int(stats["k"])
+    n_states = edges.select("_s").distinct().count()
 
     scen = edges.select(F.col("_r").alias(REMOVED)).distinct()
     frontier = scen.select(
@@ -273,7 +293,7 @@ def simple_path_probability(
     # at most (number of start states) edges, so that many levels suffice.
     for level in range(n_states):
         moving = frontier.where(~sink).join(
-            edges_j, F.col(REMOVED).eqNullSafe(F.col("_r")) & (F.col("state") == F.col("_s"))
+            edges, F.col(REMOVED).eqNullSafe(F.col("_r")) & (F.col("state") == F.col("_s"))
         ).where(~F.array_contains("visited", F.col("_e")) & (F.col("_e") != NULL_STATE))
         moved = moving.select(
             REMOVED,
@@ -297,13 +317,13 @@ def simple_path_probability(
     )
 
 
-def conversion_probability(graph: DataFrame, policy: str = "absorbing") -> DataFrame:
+def conversion_probability(matrix: DataFrame, policy: str = "absorbing") -> DataFrame:
     if policy == "absorbing":
-        return absorbing_probability(graph)
+        return absorbing_probability(matrix)
     if policy == "simple_path":
-        return simple_path_probability(graph)
+        return simple_path_probability(matrix)
     if policy == "memo_walk":
-        return memo_walk_probability(graph)
+        return memo_walk_probability(matrix)
     raise ValueError(f"unknown policy {policy!r}; use one of {POLICIES}")
 
 

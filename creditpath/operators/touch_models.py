@@ -35,11 +35,6 @@ def last_touch(journeys: DataFrame, digits: int | None = None) -> DataFrame:
     return _touch_share(journeys, "last_interaction", LAST_TOUCH, digits)
 
 
-def touch_attribution(journeys: DataFrame, digits: int | None = None) -> DataFrame:
-    """Both models. ``(model, channel)`` is unique, so a plain union suffices."""
-    return first_touch(journeys, digits).unionByName(last_touch(journeys, digits))
-
-
 def converting_journeys(journeys: DataFrame) -> DataFrame:
     """Global count of converting journeys (one row)."""
     return journeys.agg(F.count_if(F.col("conversion") == 1).alias("converting_journeys"))

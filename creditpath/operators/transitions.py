@@ -1,11 +1,10 @@
-"""State transitions, two ways.
+"""State transitions, two ways; state names are trimmed in both.
 
 * :func:`touch_transitions` builds edges straight from touches: the previous
-  touch of the same journey (skew-safe ordered scan), an edge from ``Start``
-  for each first touch, and one terminal edge per journey. No path text, no
-  per-user list.
-* :func:`path_transitions` splits the journey path text, as the stored
-  ``user_journey`` table presents it.
+  touch of the same journey, an edge from ``Start`` for each first touch, and
+  one terminal edge per journey.
+* :func:`path_transitions` reads the stored journey, one row per touch, as
+  ``'A > B'`` text; :func:`edges_from_path_transitions` splits it again.
 
 Both give the same multiset of edges.
 """
@@ -15,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import START_STATE
+from ..config import PATH_SEPARATOR, START_STATE
 from ..functions.paths import split_transition, terminal_state, transition_array
 from .journeys import journey_summary, order_columns
 from .sequence import ordered_scan
@@ -33,9 +32,10 @@ def touch_transitions(
     no scan is needed.
     """
     summary = journeys if journeys is not None else journey_summary(touches)
+    touches = touches.withColumn("channel", F.trim("channel"))
     ends = summary.select(
         "uid",
-        F.col("last_interaction").alias("start_state"),
+        F.trim("last_interaction").alias("start_state"),
         terminal_state("conversion").alias("end_state"),
     )
     if "prev_touch" in touches.columns:
@@ -61,11 +61,21 @@ def touch_transitions(
 
 
 def path_transitions(user_journey: DataFrame) -> DataFrame:
-    """``path, transition, cnt`` — one row per ``'A > B'`` pair of each path."""
-    return user_journey.select(
-        "path",
-        F.explode(transition_array("path")).alias("transition"),
-        F.lit(1).alias("cnt"),
+    """``uid, transition, cnt`` — one row per ``'A > B'`` pair of each journey.
+
+    A journey's last touch also gives the pair with its terminal state.
+    """
+    channel = F.trim("channel")
+    into = F.concat_ws(PATH_SEPARATOR, F.coalesce(F.trim("previous_channel"), F.lit(START_STATE)), channel)
+    last = F.concat_ws(PATH_SEPARATOR, channel, terminal_state("conversion"))
+    pairs = F.when(F.col("seq") == F.col("n_touches"), F.array(into, last)).otherwise(F.array(into))
+    return user_journey.select("uid", F.explode(pairs).alias("transition"), F.lit(1).alias("cnt"))
+
+
+def text_transitions(paths: DataFrame) -> DataFrame:
+    """``path, transition, cnt`` of any column ``path`` like ``A > B > C``."""
+    return paths.select(
+        "path", F.explode(transition_array("path")).alias("transition"), F.lit(1).alias("cnt")
     )
 
 

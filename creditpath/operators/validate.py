@@ -34,11 +34,3 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = tagged.where(F.col(REASON).isNull()).drop(REASON)
     bad = tagged.where(F.col(REASON).isNotNull())
     return good, bad
-
-
-def clean_touches(df: DataFrame) -> DataFrame:
-    return split_valid(df)[0]
-
-
-def rejected_touches(df: DataFrame) -> DataFrame:
-    return split_valid(df)[1]

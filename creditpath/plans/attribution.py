@@ -1,15 +1,14 @@
 """End-to-end attribution plans over one touch table.
 
 ``AttributionPlan`` wires the operators into lazy DataFrames. Each stage is
-built once per plan object, so a query that needs several stages (e.g. the
-all-model report) reuses the same sub-plans, and Spark sees one DAG per action.
+built once per plan object, and Spark sees one DAG per action. Nothing is
+cached: a plan leaves no storage behind.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,22 +37,16 @@ class AttributionPlan:
         policy: str = "absorbing",
         digits: int | None = None,
         num_partitions: int | None = None,
-        materialize: bool = False,
     ) -> None:
         self.raw_touches = touches
         self.validate = validate
         self.policy = policy
         self.digits = digits
         self.num_partitions = num_partitions
-        self.materialize = materialize
-        self._kept: list[DataFrame] = []
 
     @classmethod
     def from_events(cls, spark: SparkSession, sf_dir: str, **kw) -> "AttributionPlan":
-        touches = event_touches(
-            spark, sf_dir, kw.get("num_partitions"), materialize=kw.get("materialize", False)
-        )
-        return cls(touches, **kw)
+        return cls(event_touches(spark, sf_dir, kw.get("num_partitions")), **kw)
 
     # -- touches and journeys -------------------------------------------------
     @cached_property
@@ -67,11 +60,7 @@ class AttributionPlan:
 
     @property
     def _touches_ext(self) -> DataFrame:
-        """Valid touches, with ``prev_touch`` when the source provides it.
-
-        Not kept: it is a filter and a map-side broadcast join over the scan
-        output, which is kept already; a second cached copy would cost more.
-        """
+        """Valid touches, with ``prev_touch`` when the source provides it."""
         return self._split[0]
 
     @property
@@ -84,46 +73,24 @@ class AttributionPlan:
 
     @cached_property
     def visit_order(self) -> DataFrame:
-        return J.visit_order(self.touches, self.num_partitions, self.materialize)
+        return J.visit_order(self.touches, self.num_partitions)
 
     @cached_property
     def journeys(self) -> DataFrame:
         return J.journey_summary(self.touches)
 
-    @cached_property
-    def _journeys_shared(self) -> DataFrame:
-        # Read by first-touch, last-touch, the terminal edges and the journey
-        # table. Each reader prunes different columns, so Spark would not
-        # reuse one aggregation for all of them; keep the one row per journey.
-        return self._keep(self.journeys)
-
-    def _keep(self, df: DataFrame) -> DataFrame:
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        if self.materialize:
-            kept.count()  # fill it once, before several readers plan against it
-        self._kept.append(kept)
-        return kept
-
-    def unpersist(self) -> None:
-        """Release the stages this plan keeps (the scans keep theirs until cleared)."""
-        for df in self._kept:
-            df.unpersist()
-        self._kept.clear()
-
     @cached_property
     def user_journey(self) -> DataFrame:
-        return J.user_journey(
-            self.touches, self.num_partitions, self.materialize, summary=self._journeys_shared
-        )
+        return J.user_journey(self.touches, self.num_partitions, summary=self.journeys)
 
     # -- touch models ----------------------------------------------------------
     @cached_property
     def first_touch(self) -> DataFrame:
-        return TM.first_touch(self._journeys_shared, self.digits)
+        return TM.first_touch(self.journeys, self.digits)
 
     @cached_property
     def last_touch(self) -> DataFrame:
-        return TM.last_touch(self._journeys_shared, self.digits)
+        return TM.last_touch(self.journeys, self.digits)
 
     @cached_property
     def touch_attribution(self) -> DataFrame:
@@ -132,7 +99,7 @@ class AttributionPlan:
     # -- transitions and matrix -------------------------------------------------
     @cached_property
     def edges(self) -> DataFrame:
-        return TR.touch_transitions(self._touches_ext, self._journeys_shared, self.num_partitions)
+        return TR.touch_transitions(self._touches_ext, self.journeys, self.num_partitions)
 
     @cached_property
     def path_transitions(self) -> DataFrame:
@@ -162,12 +129,11 @@ class AttributionPlan:
     def scenario_graph(self) -> DataFrame:
         return M.scenario_graph(self.matrix)
 
+    def removal_graph(self, channel: str | None) -> DataFrame:
+        return M.removal_graph(self.matrix, channel)
+
     def conversion_probability(self, policy: str | None = None) -> DataFrame:
-        policy = policy or self.policy
-        if policy == "absorbing":
-            # exact closed form from the baseline matrix: no per-scenario graphs
-            return M.absorbing_removal_probability(self.matrix)
-        return M.conversion_probability(self.scenario_graph, policy)
+        return M.conversion_probability(self.matrix, policy or self.policy)
 
     def removal_effect(self, policy: str | None = None) -> DataFrame:
         return M.removal_effect(self.conversion_probability(policy), self.digits)

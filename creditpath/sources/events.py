@@ -26,53 +26,40 @@ def touches_from_events(
     events: DataFrame,
     conversion_event: str = PURCHASE,
     num_partitions: int | None = None,
-    materialize: bool = False,
 ) -> DataFrame:
-    """``uid, channel, time, conversion, event_id, prev_touch`` — one row per non-purchase event.
+    """``uid, channel, time, conversion, event_id, prev_touch`` — one row per event that isn't a purchase.
 
-    One skew-safe ordered scan of the events gives both the conversion flag
-    (the next event) and ``prev_touch``, the channel of the previous valid
-    touch of the same journey (purchases and rows that validation rejects
-    are skipped), so the transitions need no second pass over the touches.
+    An event without a user has a NULL uid and never converts; one without a
+    type is a touch without a channel: both are left for validation to reject.
+    One ordered scan of the events gives both the conversion flag (the next
+    event) and ``prev_touch``, the previous valid touch of the same journey
+    (purchases and rows that validation rejects are skipped), so that the
+    transitions need no second pass over the touches.
     """
     ev = events.select(
-        F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias(
-            "uid"
-        ),
+        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("uid"),
         F.col("user_id").alias("_user"),
         F.to_date("ts").alias("_day"),
         F.col("event_type").alias("channel"),
         F.col("ts").alias("time"),
         F.col("event_id"),
     )
-    is_touch = (F.col("channel") != conversion_event) & reject_reason().isNull()
-    ev = ev.withColumn("_touch", F.when(is_touch, F.col("channel")))
-    # The journey key is (user, day); sorting and range-partitioning on that
-    # numeric pair is cheaper than on the equivalent uid text.
+    purchase = F.col("channel").eqNullSafe(conversion_event)
+    ev = ev.withColumn("_touch", F.when(~purchase & reject_reason().isNull(), F.trim("channel")))
+    # The journey key is (user, day); that numeric pair is cheaper to sort than the equivalent uid text.
     scanned = ordered_scan(
-        ev,
-        ["_user", "_day"],
-        ["time", "event_id"],
-        ["channel"],
-        last_valid=["_touch"],
-        num_partitions=num_partitions,
-        materialize=materialize,
+        ev, ["_user", "_day"], ["time", "event_id"], ["channel"], last_valid=["_touch"], num_partitions=num_partitions
     )
-    return scanned.where(F.col("channel") != conversion_event).select(
+    converts = F.col("next_channel").eqNullSafe(conversion_event) & F.col("uid").isNotNull()
+    return scanned.where(~purchase).select(
         "uid",
         "channel",
         "time",
-        F.when(F.col("next_channel") == conversion_event, 1).otherwise(0).cast("int").alias(
-            "conversion"
-        ),
+        F.when(converts, 1).otherwise(0).cast("int").alias("conversion"),
         "event_id",
         F.col("prev__touch").alias("prev_touch"),
     )
 
 
-def touches(
-    spark: SparkSession, sf_dir: str, num_partitions: int | None = None, materialize: bool = False
-) -> DataFrame:
-    return touches_from_events(
-        read_events(spark, sf_dir), num_partitions=num_partitions, materialize=materialize
-    )
+def touches(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> DataFrame:
+    return touches_from_events(read_events(spark, sf_dir), num_partitions=num_partitions)

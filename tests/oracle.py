@@ -16,7 +16,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
         p = os.path.join(sf_dir, f"{t}.parquet")
-        if os.path.exists(p):
+        p = os.path.join(p, "*.parquet") if os.path.isdir(p) else p
+        if os.path.exists(p) or "*" in p:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     return con
 
@@ -45,7 +46,9 @@ def _rows(pdf: pd.DataFrame) -> list[tuple]:
 
 def compare(spark_df, sql: str, con) -> tuple[bool, str]:
     s = spark_df.toPandas()
-    d = con.execute(sql).df()
+    # as the correctness run does: the text must also stand as a view
+    con.execute(f"CREATE OR REPLACE TEMP VIEW oracle_text AS {sql}")
+    d = con.execute("SELECT * FROM oracle_text").df()
     if sorted(s.columns) != sorted(d.columns):
         return False, f"columns differ: {sorted(s.columns)} vs {sorted(d.columns)}"
     if len(s) != len(d):
