@@ -45,36 +45,36 @@ def text_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     No row is exploded or shuffled, however long its text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumn("_words", F.array_remove(F.split(text, SPACE_PATTERN), ""))
-    out = out.withColumn("_n_words", F.size("_words").cast("long"))
+    out = docs.withColumn("__words", F.array_remove(F.split(text, SPACE_PATTERN), ""))
+    out = out.withColumn("__n_words", F.size("__words").cast("long"))
     window = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("_words") - 3, F.lit(0))),
-        lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)),
+        F.sequence(F.lit(0), F.greatest(F.size("__words") - 3, F.lit(0))),
+        lambda i: F.xxhash64(F.get("__words", i), F.get("__words", i + 1), F.get("__words", i + 2)),
     )
     none = F.array().cast("array<bigint>")
-    out = out.withColumn("_hashes", F.when(F.size("_words") >= 3, window).otherwise(none))
-    out = out.withColumn("_repeats", F.size(F.array_distinct("_hashes")) < F.size("_hashes"))
-    placed = F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    out = out.withColumn("_placed", F.when(F.col("_repeats"), placed))
+    out = out.withColumn("__hashes", F.when(F.size("__words") >= 3, window).otherwise(none))
+    out = out.withColumn("__repeats", F.size(F.array_distinct("__hashes")) < F.size("__hashes"))
+    placed = F.sort_array(F.transform("__hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    out = out.withColumn("__placed", F.when(F.col("__repeats"), placed))
     twice = F.filter(
-        "_placed",
-        lambda p, k: F.get("_placed", k - 1)["h"].eqNullSafe(p["h"]) | F.get("_placed", k + 1)["h"].eqNullSafe(p["h"]),
+        "__placed",
+        lambda p, k: F.get("__placed", k - 1)["h"].eqNullSafe(p["h"]) | F.get("__placed", k + 1)["h"].eqNullSafe(p["h"]),
     )
     covered = F.flatten(F.transform(twice, lambda p: F.array(p["i"], p["i"] + 1, p["i"] + 2)))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counts = F.struct(
-        F.col("_n_words").alias("n_words"),
+        F.col("__n_words").alias("n_words"),
         F.char_length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
         (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(F.when(F.col("_repeats"), F.size(F.array_distinct(covered))), F.lit(0))
+        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
+        F.coalesce(F.when(F.col("__repeats"), F.size(F.array_distinct(covered))), F.lit(0))
         .cast("long")
         .alias("n_repeat_words"),
     )
     # made by a generator, below which no later filter on the counts is moved:
     # there it would compute them a second time, word by word
     kept = [F.col(c) for c in docs.columns if c not in COUNTS]
-    return out.withColumn("_lines", lines).select(*kept, F.inline_outer(F.array(counts)))
+    return out.withColumn("__lines", lines).select(*kept, F.inline_outer(F.array(counts)))
 
 
 def base_failed() -> Column:
@@ -190,7 +190,7 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_R
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy("doc_id")
-        .agg(F.min("quality").alias("_quality"))
+        .agg(F.min("quality").alias("__quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
@@ -198,7 +198,7 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_R
     got = (
         text_counts(found)
         .where(~base_failed())
-        .select(F.xxhash64("doc_id").alias("_at"), (F.col("_quality") == 0).alias("_reject"), *[c.alias(n) for n, c in statistics().items()])
+        .select(F.xxhash64("doc_id").alias("_at"), (F.col("__quality") == 0).alias("_reject"), *[c.alias(n) for n, c in statistics().items()])
         .orderBy("_at", *statistics())
         .limit(rows)
         .collect()

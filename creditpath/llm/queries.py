@@ -106,5 +106,34 @@ WITH cut AS (
 )
 SELECT page_id, host, path, rule, coalesce(best.verdict, 'allow') AS verdict
 FROM parts LEFT JOIN best USING (n)
+""",
+    "op9_near_duplicates": r"""
+WITH RECURSIVE cut AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT r, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+                    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM cut WHERE len(w) > 0
+), sizes AS (
+    SELECT r, count(*) AS n FROM shingles GROUP BY r
+), shared AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY ALL
+), links AS (
+    SELECT a, b, c = x.n AND c = y.n AS same
+    FROM shared JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
+    WHERE 10 * c >= 8 * (x.n + y.n - c)
+), reach(r, o) AS (
+    SELECT r, r FROM cut
+    UNION
+    SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.o
+), classes AS (
+    SELECT reach.r, min(cut.doc_id) AS class_id FROM reach JOIN cut ON cut.r = reach.o GROUP BY reach.r
+), counted AS (
+    SELECT a AS r, count(*) AS n_links, count(*) FILTER (WHERE same) AS n_same FROM links GROUP BY a
+)
+SELECT doc_id, class_id, coalesce(n_same, 0) + 1 AS n_copies, coalesce(n_links, 0) AS n_links
+FROM cut JOIN classes USING (r) LEFT JOIN counted USING (r)
 """,
 }

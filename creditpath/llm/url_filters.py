@@ -157,12 +157,12 @@ def judge_urls(pages: DataFrame, rules=RULES, default: str = "allow", url_col: s
         cascades[action] = build_cascade(universe.withColumn("listed", F.col("key").isin(listed[action])))
 
     def first(action: str) -> Column:
-        return F.get(F.filter("_keys", lambda k: is_listed(k, cascades[action])), F.lit(0))
+        return F.get(F.filter("__keys", lambda k: is_listed(k, cascades[action])), F.lit(0))
 
-    at = lambda k: F.coalesce(F.array_position("_keys", k), F.lit(1 << 30))
-    out = out.withColumn("_keys", keys)
-    out = out.withColumns({"_allow": first("allow"), "_block": first("block")})
-    blocked = F.col("_block").isNotNull() & (at(F.col("_block")) < at(F.col("_allow")))
-    rule = F.when(blocked, F.col("_block")).otherwise(F.col("_allow"))
+    at = lambda k: F.coalesce(F.array_position("__keys", k), F.lit(1 << 30))
+    out = out.withColumn("__keys", keys)
+    out = out.withColumns({"__allow": first("allow"), "__block": first("block")})
+    blocked = F.col("__block").isNotNull() & (at(F.col("__block")) < at(F.col("__allow")))
+    rule = F.when(blocked, F.col("__block")).otherwise(F.col("__allow"))
     verdict = F.when(rule.isNull(), F.lit(default)).when(blocked, F.lit("block")).otherwise(F.lit("allow"))
-    return out.withColumns({"rule": rule, "verdict": verdict}).drop("_keys", "_allow", "_block")
+    return out.withColumns({"rule": rule, "verdict": verdict}).drop("__keys", "__allow", "__block")

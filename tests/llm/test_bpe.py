@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers as P
 import pytest
+from docs_fixture import make_docs  # noqa: F401
 import tiktoken
 
 from creditpath.llm import bpe, packing

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from docs_fixture import make_docs  # noqa: F401
 
 from creditpath.llm import ctw, grams, langid
 

@@ -1,6 +1,7 @@
 """Registration, SQL comparisons and the pipeline."""
 
 import pytest
+from docs_fixture import make_docs  # noqa: F401
 
 import __spark_entry__ as E
 import corpus_pipeline as P

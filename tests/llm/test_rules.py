@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from docs_fixture import make_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from creditpath.llm import pii, quality, url_filters

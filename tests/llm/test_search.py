@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from docs_fixture import make_docs  # noqa: F401
 
 from creditpath.llm import ann, near_dups
 from creditpath.llm.components import components
@@ -57,6 +58,18 @@ def test_frequent_vector_answers_with_smallest_ids(spark):
     assert [r.vec_id for r in got] == [0, 1, 3, 4, 5]
 
 
+def test_random_components(spark):
+    random.seed(8)
+    for n, m in ((30, 20), (60, 90), (200, 150)):
+        edges = [(random.randrange(n), random.randrange(n)) for _ in range(m)]
+        group = list(range(n))
+        for a, b in edges:
+            x, y = group[a], group[b]
+            group = [min(x, y) if g in (x, y) else g for g in group]
+        got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {i: group[i] for a, b in edges if a != b for i in (a, b)}
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 9), (10, 11), (12, 11), (5, 6), (6, 7), (7, 8)] + [(20 + i, 21 + i) for i in range(40)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
