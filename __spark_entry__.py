@@ -457,6 +457,49 @@ simple_path AS (
     FROM scen s LEFT JOIN walks w ON w.removed_channel IS NOT DISTINCT FROM s.removed_channel
     GROUP BY s.removed_channel
 ),
+kids AS (
+    SELECT removed_channel, start_state AS state,
+           list({'e': end_state, 'p': transition_probability} ORDER BY end_state DESC) AS kids
+    FROM graph GROUP BY ALL
+),
+opened(removed_channel, path, pos, tot, wt, mk, mv) AS (
+    SELECT removed_channel, ['Start'], [1], [CAST(0 AS DOUBLE)], [CAST(0 AS DOUBLE)],
+           CAST([] AS VARCHAR[]), CAST([] AS DOUBLE[]) FROM scen
+    UNION ALL
+    SELECT removed_channel,
+           CASE act WHEN 'close' THEN path[1:n - 1] WHEN 'open' THEN list_append(path, k.e) ELSE path END,
+           CASE WHEN act = 'close' AND n = 1 THEN CAST([] AS INTEGER[])
+                WHEN act = 'close' THEN list_append(pos[1:n - 2], pos[n - 1] + 1)
+                WHEN act = 'open' THEN list_append(pos, 1)
+                ELSE list_append(pos[1:n - 1], pos[n] + 1) END,
+           CASE WHEN act = 'close' AND n = 1 THEN CAST([] AS DOUBLE[])
+                WHEN act = 'close' THEN list_append(tot[1:n - 2], tot[n - 1] + wt[n] * tot[n])
+                WHEN act = 'open' THEN list_append(tot, 0)
+                WHEN act = 'one' THEN list_append(tot[1:n - 1], tot[n] + k.p)
+                WHEN act = 'kept' THEN list_append(tot[1:n - 1], tot[n] + k.p * mv[list_position(mk, k.e)])
+                ELSE tot END,
+           CASE act WHEN 'close' THEN wt[1:n - 1] WHEN 'open' THEN list_append(wt, k.p) ELSE wt END,
+           CASE act WHEN 'close' THEN list_append(mk, path[n]) ELSE mk END,
+           CASE act WHEN 'close' THEN list_append(mv, tot[n]) ELSE mv END
+    FROM (
+        SELECT *, CASE WHEN k IS NULL THEN 'close' WHEN k.e = 'Conversion' THEN 'one'
+                       WHEN k.e = 'Null' OR list_contains(path, k.e) THEN 'zero'
+                       WHEN list_contains(mk, k.e) THEN 'kept' ELSE 'open' END AS act
+        FROM (SELECT o.*, len(o.path) AS n, c.kids[o.pos[len(o.pos)]] AS k
+              FROM opened o LEFT JOIN kids c
+                ON c.removed_channel IS NOT DISTINCT FROM o.removed_channel AND c.state = o.path[len(o.path)]
+              WHERE len(o.path) > 0)
+    )
+),
+memo_walk AS (
+    SELECT removed_channel, mv[list_position(mk, 'Start')] AS conversion_probability FROM opened WHERE len(path) = 0
+),
+effect_memo AS (
+    SELECT removed_channel AS channel, conversion_probability,
+           (max(conversion_probability) FILTER (WHERE removed_channel IS NULL) OVER () - conversion_probability)
+           / max(conversion_probability) FILTER (WHERE removed_channel IS NULL) OVER () AS removal_effect
+    FROM memo_walk
+),
 effect_absorbing AS (
     SELECT removed_channel AS channel, conversion_probability,
            (max(conversion_probability) FILTER (WHERE removed_channel IS NULL) OVER ()
@@ -608,6 +651,15 @@ _ORACLES = {
         SELECT removed_channel, round(conversion_probability, 9) AS conversion_probability
         FROM simple_path
     """,
+    "conversion_prob_memo_walk": """
+        SELECT removed_channel, round(conversion_probability, 9) AS conversion_probability
+        FROM memo_walk
+    """,
+    "markov_attribution_memo_walk": """
+        SELECT 'markov_chain' AS attribution_model, channel,
+               round(removal_effect / sum(removal_effect) OVER (), 9) AS attribution_percent
+        FROM effect_memo WHERE channel IS NOT NULL
+    """,
     "removal_effect": """
         SELECT channel, round(conversion_probability, 9) AS conversion_probability,
                round(removal_effect, 9) AS removal_effect,

@@ -18,8 +18,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) <= {"conversion_prob_memo_walk", "markov_attribution_memo_walk"}
+    assert set(ORACLES) == set(QUERIES)
 
 
 @pytest.fixture(scope="module")
