@@ -117,3 +117,20 @@ def test_tokenizers_library_gives_the_same_ids(encoder):
     t.encode_special_tokens = True
     texts = [x or "" for x in TEXTS]
     assert [x.tolist() for x in encoder.encode(texts)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_higher_order_functions_give_the_same_ids(spark, reference):
+    from pyspark.sql import functions as F
+
+    from creditpath.llm import bpe_native
+
+    random.seed(9)
+    words = sorted({" " * random.randint(0, 1) + "".join(random.choices("etaoinsé日", k=random.randint(1, 7))) for _ in range(60)})
+    rows = [(bytearray(w.encode()),) for w in [*words, ""]] + [(None,)]
+    got = bpe_native.encode_distinct_words(spark.createDataFrame(rows, "word binary"), RANKS).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.ids == (None if r.word is None else reference.encode_ordinary(bytes(r.word).decode()))
+    ids = reference.encode_ordinary("don't 日本 x")
+    one = spark.createDataFrame([(ids,)], "ids array<int>").select(bpe_native.decode_ids(F.col("ids"), RANKS).alias("b")).first()
+    assert bytes(one.b).decode() == "don't 日本 x"
