@@ -41,12 +41,13 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id; repeated rows count as one.
 
-    Documents without an id can't be named, so they stay.
+    Documents without an id can't be named, so they stay. Different texts with
+    one id stay if any of them does.
     """
     groups = near_dups.near_duplicates(docs)
     first = groups.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
     named = docs.select(*COLUMNS).where(F.col("doc_id").isNotNull())
-    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
     return kept.unionByName(docs.select(*COLUMNS).where(F.col("doc_id").isNull()))
 
 

@@ -51,9 +51,9 @@ def test_stages(spark, make_docs, tmp_path):
 
 def test_groups_keep_one(spark, make_docs):
     base = " ".join(f"w{i}" for i in range(100))
-    rows = [(1, base), (2, base), (3, base + " more"), (4, "quite another text with several words"), (2, base), (None, base)]
+    rows = [(1, base), (2, base), (3, base + " more"), (4, "quite another text with several words"), (2, base), (None, base), (4, "and a third one under the same number")]
     kept = P.keep_one_of_group(spark, make_docs(rows).drop("kept", "score", "__words", "_row", "root"), SF).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == [(False, 1), (False, 4), (True, 0)]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == [(False, 1), (False, 4), (False, 4), (True, 0)]
 
 
 def test_language_stage_drops_texts_without_letters(spark, make_docs):
