@@ -24,6 +24,7 @@ from pyspark.sql import types as T  # noqa: E402
 from creditpath.config import checkpoint_root, local_session  # noqa: E402
 from creditpath.operators import journeys as J  # noqa: E402
 from creditpath.operators import markov as M  # noqa: E402
+from creditpath.operators import transitions as TR  # noqa: E402
 from creditpath.plans.attribution import AttributionPlan  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -82,19 +83,21 @@ def main() -> None:
             F.element_at(F.col("l"), 1)["channel"], F.element_at(F.col("l"), -1)["channel"]
         ).count()
 
+    def path_text():
+        p = plan().user_journey
+        text = F.concat_ws(" > ", F.coalesce("previous_channel", F.lit("Start")), "channel")
+        return p.select(text.alias("path"))
+
     def path_native():
-        p = plan()
-        p.path_transitions.groupBy("transition").count().collect()
+        TR.text_transitions(path_text()).groupBy("transition").count().collect()
 
     def path_python_udf():
-        p = plan()
-
         @F.udf(T.ArrayType(T.StringType()))
         def pairs(path):
             states = [s.strip() for s in path.split(">")]
             return [a + " > " + b for a, b in zip(states, states[1:])]
 
-        p.user_journey.select(F.explode(pairs("path")).alias("t")).groupBy("t").count().collect()
+        path_text().select(F.explode(pairs("path")).alias("t")).groupBy("t").count().collect()
 
     def matrix_join():
         counts = plan().transition_counts
@@ -104,24 +107,12 @@ def main() -> None:
         ).collect()
 
     def removal_per_channel():
-        p = plan()
-        m = p.matrix.checkpoint(eager=True)
-        chans = [r[0] for r in M.channels(m).collect()]
-        graph = M.scenario_graph(m)
-        for c in [None, *chans]:
-            g = graph.where(F.col(M.REMOVED).isNull() if c is None else F.col(M.REMOVED) == c)
-            M.absorbing_probability(g).collect()
+        m = plan().matrix.checkpoint(eager=True)
+        for c in [None, *[r[0] for r in M.channels(m).collect()]]:
+            M.absorbing_probability(M.removal_graph(m, c)).where(F.col(M.REMOVED).isNull()).collect()
 
     def removal_one_job():
-        p = plan()
-        m = p.matrix.checkpoint(eager=True)
-        M.absorbing_probability(M.scenario_graph(m)).collect()
-
-    def absorbing_per_scenario():
-        M.absorbing_probability(plan().scenario_graph).collect()
-
-    def absorbing_fundamental():
-        plan().conversion_probability("absorbing").collect()
+        M.absorbing_probability(plan().matrix.checkpoint(eager=True)).collect()
 
     def window_visit_order():
         t = plan().touches
@@ -141,8 +132,6 @@ def main() -> None:
         "matrix_aggregate_join": run(matrix_join),
         "removal_all_scenarios_one_job": run(removal_one_job),
         "removal_one_query_per_channel": run(removal_per_channel),
-        "absorbing_fundamental_matrix": run(absorbing_fundamental),
-        "absorbing_per_scenario_graphs": run(absorbing_per_scenario),
         "visit_order_skew_safe_scan": run(scan_visit_order),
         "visit_order_plain_window": run(window_visit_order),
     }

@@ -94,7 +94,7 @@ class AttributionPlan:
 
     @cached_property
     def touch_attribution(self) -> DataFrame:
-        return self.first_touch.unionByName(self.last_touch)
+        return TM.touch_attribution(self.journeys, self.digits)
 
     # -- transitions and matrix -------------------------------------------------
     @cached_property
@@ -142,7 +142,7 @@ class AttributionPlan:
         return M.markov_attribution(self.removal_effect(policy))
 
     def all_models(self, policy: str | None = None) -> DataFrame:
-        return all_models(self.first_touch, self.last_touch, self.markov_attribution(policy))
+        return all_models(self.touch_attribution, self.markov_attribution(policy))
 
     def attribution_pivot(self, policy: str | None = None) -> DataFrame:
         return attribution_pivot(self.all_models(policy))
