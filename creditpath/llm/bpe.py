@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditpath.llm.common import ragged_take, text_slices
+from creditpath.llm.common import batch_slices, ragged_take, text_slices
 
 PAIR_SHIFT = 20
 NO_RANK = np.int32(2**31 - 1)
 #: Words of more bytes are merged one by one with a heap.
 WIDE_WORD = 64
 #: Word memo entries per task before the memo starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 APOSTROPHE, BLANK = 0x27, 0x20
@@ -291,10 +291,6 @@ class Vocabulary:
         return Encoder(*self.shared.value)
 
 
-def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
-    return [t or "" for t in batch.column(name).to_pylist()]
-
-
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ids (array<int>) and the bytes that decoding gives.
 
@@ -306,7 +302,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     def run(batches):
         encoder = vocabulary.encoder()
         for batch in batches:
-            ids = list(encoder.encode(texts_of(batch, "text")))
+            ids = [x for _, _, texts in batch_slices(batch) for x in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -328,10 +324,11 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
         encoder = vocabulary.encoder()
         for batch in batches:
             counts, of_ids, of_bytes = [], [], []
-            for ids in encoder.encode(texts_of(batch)):
-                counts.append(len(ids))
-                of_ids.append(hashlib.sha256(ids.astype("<u4")).hexdigest())
-                of_bytes.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
+            for _, _, texts in batch_slices(batch):
+                for ids in encoder.encode(texts):
+                    counts.append(len(ids))
+                    of_ids.append(hashlib.sha256(ids.astype("<u4")).hexdigest())
+                    of_bytes.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -6,6 +6,8 @@ import pickle
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from creditpath.config import checkpoint_root, table_path
 
 #: Arrow batches are worked off in slices of about this many characters.
-CHUNK_CHARS = 1 << 22
+CHUNK_CHARS = 1 << 19
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +56,22 @@ def text_slices(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[in
         yield start, len(texts)
 
 
+def batch_slices(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, int, list[str]]]:
+    """Ranges of a batch's rows with about CHUNK_CHARS bytes of text, and their texts; null counts as empty.
+
+    Only one range is held as Python strings at a time.
+    """
+    column = batch.column(name)
+    start = size = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if size and size + n > CHUNK_CHARS:
+            yield start, i, [t or "" for t in column.slice(start, i - start).to_pylist()]
+            start, size = i, 0
+        size += n
+    if start < len(column):
+        yield start, len(column), [t or "" for t in column.slice(start).to_pylist()]
+
+
 def ragged_take(flat: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The chosen rows of a ragged array, concatenated, and their lengths."""
     begin = offsets[rows]

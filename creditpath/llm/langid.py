@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from creditpath.llm.common import Shared, cut, text_slices
+from creditpath.llm.common import Shared, batch_slices, cut, text_slices
 from creditpath.llm.grams import Cache, Counter, windows
 
 ORDER = 3
@@ -68,14 +68,14 @@ def count_grams(docs: DataFrame) -> DataFrame:
     def run(batches):
         counters: dict[str, Counter] = {}
         for batch in batches:
-            by_lang: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                if has_letter(text):
-                    by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
-                counter = counters.setdefault(lang, Counter(18))
-                for a, b in text_slices(texts):
-                    counter.add(letter_grams(texts[a:b])[0])
+            langs = batch.column("lang").to_pylist()
+            for a, b, texts in batch_slices(batch):
+                by_lang: dict[str, list[str]] = {}
+                for lang, text in zip(langs[a:b], texts):
+                    if has_letter(text):
+                        by_lang.setdefault(lang, []).append(text)
+                for lang, own in by_lang.items():
+                    counters.setdefault(lang, Counter(18)).add(letter_grams(own)[0])
         for lang, counter in counters.items():
             gram, n = counter.result()
             yield pa.RecordBatch.from_arrays(
@@ -203,13 +203,13 @@ def identify(docs: DataFrame, model: dict[str, Trees], text_col: str = "text") -
         names = list(trees)
         cache = Cache(lambda g: np.stack([t.log2(g) for t in trees.values()], 1), len(names)) if names else None
         for batch in batches:
-            texts = batch.column(text_col).to_pylist()
-            known = [i for i, t in enumerate(texts) if names and has_letter(t)]
-            best, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            for i, bits in zip(known, code_lengths([texts[i] for i in known], trees, cache) if known else ()):
-                k = int(bits.argmin())
-                best[i] = names[k]
-                score[i] = 1 / np.exp2(np.maximum(bits[k] - bits, -1000.0)).sum()
+            best, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
+            for a, _, texts in batch_slices(batch, text_col):
+                known = [i for i, t in enumerate(texts) if names and has_letter(t)]
+                for i, bits in zip(known, code_lengths([texts[i] for i in known], trees, cache) if known else ()):
+                    k = int(bits.argmin())
+                    best[a + i] = names[k]
+                    score[a + i] = 1 / np.exp2(np.maximum(bits[k] - bits, -1000.0)).sum()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(best, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"]
             )

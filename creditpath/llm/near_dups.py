@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditpath.llm.common import cut, text_slices
+from creditpath.llm.common import batch_slices, cut
 from creditpath.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -175,10 +175,9 @@ def describe_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = batch.column("doc_id")
-            for a, b in text_slices(texts):
-                shingle, count = shingle_sets(texts[a:b])
+            for a, b, texts in batch_slices(batch):
+                shingle, count = shingle_sets(texts)
                 n = b - a
                 sketch = sketches(shingle, count)
                 owners, values, places = [], [], []
@@ -237,7 +236,7 @@ def _bucket_links(path: np.ndarray, key: np.ndarray, sketch: np.ndarray, size: n
     count = np.diff(np.append(begin, len(path)))
     for m in np.unique(count[count > 1]):
         first = begin[count == m]
-        step = max(1, (1 << 20) // (m * m))
+        step = max(1, (1 << 18) // (m * m))
         for k in range(0, len(first), step):
             rows = first[k : k + step, None] + np.arange(m)
             alike = _alike(sketch[rows], size[rows], sketch[rows], size[rows])
@@ -393,10 +392,9 @@ def shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = batch.column("key")
-            for a, b in text_slices(texts):
-                shingle, count = shingle_sets(texts[a:b])
+            for a, b, texts in batch_slices(batch):
+                shingle, count = shingle_sets(texts)
                 ends = np.concatenate([[0], np.cumsum(count)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(shingle.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([keys[a:b], lists, _keys(shingle, count)], names=["key", "shingles", "own"])

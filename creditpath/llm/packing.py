@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditpath.llm.bpe import Vocabulary, texts_of
-from creditpath.llm.common import Shared, cut
+from creditpath.llm.bpe import Vocabulary
+from creditpath.llm.common import Shared, batch_slices, cut
 
 WINDOW = 1024
 END_ID = 0
@@ -42,7 +42,8 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, window: int = WINDOW) ->
         encoder = vocabulary.encoder()
         for batch in batches:
             docs_, rows = batch.column("doc_id").to_pylist(), []
-            for doc, ids in zip(docs_, encoder.encode(texts_of(batch))):
+            encoded = (ids for _, _, texts in batch_slices(batch) for ids in encoder.encode(texts))
+            for doc, ids in zip(docs_, encoded):
                 ids = np.append(ids, END_ID).astype("<u4")
                 rows += [
                     (doc, a, len(piece := ids[a : a + window]), zlib.crc32(piece), len(ids))
