@@ -13,7 +13,7 @@ import numpy as np
 
 HASH = np.uint64(0x9E3779B97F4A7C15)
 #: Grams kept aside before they are added up.
-ASIDE = 1 << 21
+ASIDE = 1 << 19
 
 
 def windows(data: np.ndarray, size: int) -> np.ndarray:
