@@ -28,11 +28,11 @@ TREES = 8
 #: The forest is fitted on at most this many distinct vectors, the first by a hash, and this many numbers.
 SAMPLE_VECTORS = 1 << 15
 SAMPLE_NUMBERS = 1 << 24
-#: Sample points in a leaf, at most.
-LEAF_POINTS = 256
-#: A query opens leaves until they hold this many sample points, counted in every tree, and this share of the sample.
-SEARCH_POINTS = 3_000
-SEARCH_SHARE = 0.8
+#: A tree splits its points until none of its leaves holds more than one in LEAVES, whatever the sample's size.
+LEAVES = 128
+#: A query opens leaves until they hold this multiple of the sample's points and so many more, counted in every tree.
+SEARCH_SHARE = 1.2
+SEARCH_MORE = 128
 #: Vectors or queries of one block.
 BLOCK_ROWS = 4_096
 SEED = 7
@@ -65,12 +65,13 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def grow(x: np.ndarray, rng: np.random.Generator) -> Tree:
     """A tree over the sample's unit vectors."""
+    most = -(-len(x) // LEAVES)
     normal, threshold, child, leaves = [], [], [], []
     open_: list[tuple[np.ndarray, int, int]] = [(np.arange(len(x)), -1, 0)]
     while open_:
         rows, parent, side = open_.pop()
         name = None
-        if len(rows) > LEAF_POINTS:
+        if len(rows) > most:
             for _ in range(4):
                 a, b = x[rng.choice(rows, 2, replace=False)]
                 way = a - b
@@ -187,14 +188,14 @@ def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec
     trees = fit(distinct)
     forest = Shared(vectors.sparkSession, trees)
     sample = sum(trees[0].leaf_points) if trees else 0
-    points = max(SEARCH_POINTS, round(SEARCH_SHARE * sample))
+    points = round(SEARCH_SHARE * sample) + SEARCH_MORE
     queries = rows.where(is_query(F.col("id"))).distinct()
 
     placed = _place(forest, distinct, "ids", "ids array<long>", None)
     asked = cut(_place(forest, queries, "id", "id long", points))
     leaves = _blocks(placed, "n_v").join(_blocks(asked, "n_q"), ["tree", "leaf"])  # a row per leaf of the forest
     key = ["tree", "leaf", "v_block", "q_block"]
-    some = F.broadcast(leaves)  # at most TREES * 2 * SAMPLE_VECTORS / LEAF_POINTS rows or so, of three numbers
+    some = F.broadcast(leaves)  # at most TREES * 2 * LEAVES rows or so, of three numbers
     left = placed.join(some, ["tree", "leaf"]).select(
         "tree", "leaf", F.pmod(F.xxhash64("v"), F.col("n_v")).cast("int").alias("v_block"),
         F.explode(F.sequence(F.lit(0), F.col("n_q") - 1)).alias("q_block"), "ids", "v",

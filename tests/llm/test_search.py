@@ -35,6 +35,41 @@ def test_recall_and_scores(spark):
     assert hit / total >= 0.9
 
 
+@pytest.mark.parametrize("n", [9, 100, 500, 1_000, 2_000, 3_750, 4_500, 6_000, 8_000, 20_000])
+def test_recall_at_every_size(n):
+    x = ann.unit(np.random.default_rng(n).normal(size=(n, 64)))
+    rng = np.random.default_rng(ann.SEED)
+    forest = [ann.grow(x, rng) for _ in range(ann.TREES)]
+    leaf_of = [tree.route(x) for tree in forest]
+    points = round(ann.SEARCH_SHARE * n) + ann.SEARCH_MORE
+    hit = total = 0
+    for q in range(0, n, max(1, n // 100)):
+        score = x @ x[q]
+        score[q] = -9
+        reached = np.zeros(n, bool)
+        for t, leaf in ann.open_leaves(x[q], forest, points):
+            reached |= leaf_of[t] == leaf
+        hit += reached[np.argsort(-score)[:5]].sum()
+        total += 5
+    assert hit / total >= 0.94
+
+
+@pytest.mark.parametrize("n", [4_000, 8_000])
+def test_recall_of_larger_tables(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 64))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in ann.search(vectors, lambda i: i % 50 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    x = ann.unit(x)
+    hit = 0
+    for q in range(0, n, 50):
+        score = x @ x[q]
+        score[q] = -9
+        hit += len(found[q] & set(np.argsort(-score)[:5].tolist()))
+    assert hit / (5 * (n // 50)) >= 0.94
+
+
 def test_odd_vectors_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
