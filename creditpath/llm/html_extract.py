@@ -44,7 +44,7 @@ CLOSES = {
 #: Beyond these an implied end isn't looked for.
 BARRIERS = frozenset("ul ol dl table select article section div body html td th".split())
 ARTICLES = frozenset(["article", "main"])
-#: Words in an element's class or id that say it isn't the article.
+#: Words in an element's class or id that speak against it.
 BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sidebar|comments?|comment-?list|disqus\w*|replies|menu|nav|navbar|navigation|footer|header|"
     r"masthead|cookies?|consent|notice|notification|promo|promoted|sponsor\w*|share|sharing|social|related|"
@@ -55,6 +55,12 @@ BOILERPLATE = re.compile(
 #: Words in an element's class or id that speak for it.
 CONTENT = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text)(?:[\s_-]|$)", re.I)
 
+#: An element named like BOILERPLATE is left out with less text than this, or with most of it in links.
+SHORT_CHARS = 200
+MOSTLY_LINKS = 0.5
+#: One whose name speaks for it too is left out only if most of its text is in links, and in this many: a menu, not a title.
+MENU_LINKS = 3
+
 #: Ancestors that a paragraph passes points to, and the divisor at each step.
 SHARES = (1.0, 2.0, 6.0, 9.0, 12.0)
 #: A sibling of the best container is kept from this part of its score on.
@@ -74,6 +80,8 @@ class Tree:
     parent: list[int] = field(default_factory=list)
     end: list[int] = field(default_factory=list)
     names: list[str] = field(default_factory=list)
+    #: Named like BOILERPLATE: a reason to doubt the element, not to leave it out.
+    doubted: list[bool] = field(default_factory=list)
     dropped: list[bool] = field(default_factory=list)
     #: (element, text) and, with None for the text, the places where a block starts or ends.
     flow: list[tuple[int, str | None]] = field(default_factory=list)
@@ -92,7 +100,9 @@ def parse(page: str) -> Tree:
         t.parent.append(up)
         t.end.append(i + 1)
         t.names.append(names)
-        out = tag in DROPPED or (tag not in ("html", "body") and bool(names) and bool(BOILERPLATE.search(names)))
+        t.doubted.append(tag not in ("html", "body") and tag not in ARTICLES and bool(names) and bool(BOILERPLATE.search(names)))
+        # an article's own header holds its title
+        out = tag in DROPPED and not (tag == "header" and open_.get("article"))
         t.dropped.append(out or (up >= 0 and t.dropped[up]))
         if tag in BLOCKS:
             t.flow.append((i, None))
@@ -191,9 +201,36 @@ def parse(page: str) -> Tree:
             open_[tag] = open_.get(tag, 0) + 1
     while stack:
         pop()
+    if any(t.doubted):
+        _drop_doubted(t)
     return t
 
 
+def _drop_doubted(t: Tree) -> None:
+    """Leaves out the doubted elements that are short or mostly links, the inner ones first."""
+    n = len(t.tag)
+    length, link, links = [0] * n, [0] * n, [0] * n
+    for i, text in t.flow:
+        if text and not t.dropped[i]:
+            length[i] += len(text.strip())
+    for i in range(n - 1, 0, -1):  # children come after their parents
+        if t.tag[i] == "a":
+            link[i], links[i] = length[i], 1
+        if t.doubted[i] and not t.dropped[i]:
+            linked = link[i] > MOSTLY_LINKS * length[i]
+            if CONTENT.search(t.names[i]):
+                t.dropped[i] = linked and links[i] >= MENU_LINKS
+            else:
+                t.dropped[i] = linked or length[i] < SHORT_CHARS
+        if not t.dropped[i]:
+            p = t.parent[i]
+            length[p] += length[i]
+            link[p] += link[i]
+            links[p] += links[i]
+    for i in range(1, n):
+        t.dropped[i] = t.dropped[i] or t.dropped[t.parent[i]]
+
+
 def _scores(t: Tree) -> dict[int, float]:
     """Points of every container, before the discount for links is applied to each."""
     n = len(t.tag)
@@ -227,6 +264,7 @@ def _scores(t: Tree) -> dict[int, float]:
                 points[up] = (
                     (25.0 if t.tag[up] in ARTICLES else 5.0 if t.tag[up] in ("div", "section") else 0.0)
                     + (25.0 if CONTENT.search(t.names[up]) else 0.0)
+                    - (25.0 if t.doubted[up] else 0.0)
                 )
             points[up] += worth / share
             up = t.parent[up]

@@ -57,6 +57,32 @@ def test_deep_and_long_pages():
     assert main_text('<p a="' * 5_000) == ""
 
 
+LONG = "A sentence of the article, with commas, and more words. " * 8
+
+
+@pytest.mark.parametrize(
+    "names",
+    ["post has-sidebar", "no-sidebar content", "content-with-sidebar", "article search-result", "widget", "single related", "no-sidebar"],
+)
+@pytest.mark.parametrize("tag", ["article", "main", "div", "section"])
+def test_article_in_a_container_with_a_doubtful_name(tag, names):
+    page = f'<body><nav><a href=x>Home</a></nav><{tag} class="{names}"><h1>Title</h1><p>{LONG}</p><p>End.</p></{tag}></body>'
+    assert main_text(page).split("\n") == ["Title", LONG.strip(), "End."]
+
+
+@pytest.mark.parametrize("tag", ["div", "header"])
+def test_header_of_an_article(tag):
+    page = f'<article><{tag} class="entry-header"><h1><a href="/x">Title</a></h1></{tag}><p>{LONG}</p></article>'
+    assert main_text(page).split("\n") == ["Title", LONG.strip()]
+
+
+def test_names_leave_out_what_is_short_or_links():
+    links = "".join(f"<li><a href=/{i}>Some other story of this site {i}</a></li>" for i in range(20))
+    menu = '<div class="main-menu"><ul>' + links + "</ul></div>"
+    page = f'<div class="content">{menu}<p>{LONG}</p><div class="related"><ul>{links}</ul></div><div class="share">Share this</div></div>'
+    assert main_text(page) == LONG.strip()
+
+
 def plain(page):
     m = re.search(r"<article>(.*?)(</article>|$)", page, re.S)
     parts = re.split(r"<p>|</p>|<h1>|</h1>", m.group(1) if m else "")
