@@ -4,8 +4,9 @@ Each page becomes a list of elements in page order; an element's subtree is a
 range of that list. Paragraphs score points for their length and commas and
 pass them to their ancestors, the nearer the more; a container's points are
 discounted by the share of its text that stands in links. The best container,
-and siblings that score like it, are kept; the blocks of their text are joined
-in page order. Elements that never belong to an article are left out before.
+and siblings that score like it or aren't mostly links, are kept; the blocks of
+their text are joined in page order. Elements that never belong to an article
+are left out before. A page on which nothing scores gives all other text.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ DROPPED = frozenset(
     "textarea input fieldset dialog menu map audio video title xmp noembed noframes datalist".split()
 )
 PARAGRAPHS = frozenset(["p", "pre", "td", "blockquote"])
-#: These count as paragraphs where text stands in them directly.
-LOOSE = frozenset(["div", "section", "li", "dd"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks that don't count as paragraphs where text stands in them directly; all others do.
+LABELS = HEADINGS | frozenset("dt th caption figcaption legend summary option".split())
 #: Elements that a new element of this kind ends.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -66,6 +68,8 @@ SHARES = (1.0, 2.0, 6.0, 9.0, 12.0)
 #: A sibling of the best container is kept from this part of its score on.
 SIBLING_SHARE = 0.2
 SIBLING_LEAST = 10.0
+#: Any other sibling with text is kept, unless more than this part of it stands in links.
+SIBLING_LINKS = 0.25
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 TAIL = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
@@ -231,10 +235,11 @@ def _drop_doubted(t: Tree) -> None:
         t.dropped[i] = t.dropped[i] or t.dropped[t.parent[i]]
 
 
-def _scores(t: Tree) -> dict[int, float]:
-    """Points of every container, before the discount for links is applied to each."""
+def _scores(t: Tree) -> tuple[dict[int, float], list[int], list[int]]:
+    """Points of every container, discounted by its share of links, and every element's text and text in links."""
     n = len(t.tag)
     length, link, commas = [0] * n, [0] * n, [0] * n
+    own, own_commas = [0] * n, [0] * n
     in_link = [False] * n
     for i in range(n):
         in_link[i] = t.tag[i] == "a" or (t.parent[i] >= 0 and in_link[t.parent[i]])
@@ -245,17 +250,27 @@ def _scores(t: Tree) -> dict[int, float]:
             commas[i] += text.count(",")
             if in_link[i]:
                 link[i] += size
-    own = length.copy()
+            else:
+                own[i] += size
+                own_commas[i] += text.count(",")
     for i in range(n - 1, 0, -1):  # children come after their parents
         p = t.parent[i]
+        if t.tag[i] not in BLOCKS:  # inline text is its block's own
+            own[p] += own[i]
+            own_commas[p] += own_commas[i]
         length[p] += length[i]
         link[p] += link[i]
         commas[p] += commas[i]
     points: dict[int, float] = {}
     for i in range(n):
-        if t.dropped[i] or not length[i] or not (t.tag[i] in PARAGRAPHS or (t.tag[i] in LOOSE and own[i])):
+        if t.dropped[i] or not length[i]:
+            continue
+        if t.tag[i] in PARAGRAPHS:
+            worth = 1 + commas[i] + min(length[i] / 100, 3.0)
+        elif t.tag[i] in BLOCKS and t.tag[i] not in LABELS and own[i]:
+            worth = 1 + own_commas[i] + min(own[i] / 100, 3.0)
+        else:
             continue
-        worth = 1 + commas[i] + min(length[i] / 100, 3.0)
         up = t.parent[i]
         for share in SHARES:
             if up < 0:
@@ -268,15 +283,15 @@ def _scores(t: Tree) -> dict[int, float]:
                 )
             points[up] += worth / share
             up = t.parent[up]
-    return {i: s * (1 - link[i] / length[i]) for i, s in points.items() if length[i] and not t.dropped[i]}
+    return {i: s * (1 - link[i] / length[i]) for i, s in points.items() if length[i] and not t.dropped[i]}, length, link
 
 
 def _kept(t: Tree) -> list[tuple[int, int]]:
-    """Ranges of elements whose text is the article, in page order."""
-    scores = _scores(t)
+    """Ranges of elements whose text is the article."""
+    scores, length, link = _scores(t)
     whole = [i for i in range(len(t.tag)) if t.tag[i] in ARTICLES and not t.dropped[i]]
     if not scores:
-        return [(i, t.end[i]) for i in whole[:1]]
+        return [(i, t.end[i]) for i in whole[:1] or [0]]
     best = max(scores, key=lambda i: (scores[i], -i))
     up = best
     while up >= 0:  # sections of one article belong together
@@ -286,12 +301,25 @@ def _kept(t: Tree) -> list[tuple[int, int]]:
     if t.parent[best] < 0 or t.tag[best] == "body":
         return [(best, t.end[best])]
     least = max(SIBLING_LEAST, SIBLING_SHARE * scores.get(best, 0.0))
-    out, p = [], t.parent[best]
+    p = t.parent[best]
+    children = []
     i = p + 1
     while i < t.end[p]:
+        children.append(i)
+        i = t.end[i]
+    alone = t.tag[best] in ARTICLES  # these say themselves what belongs to them
+    loose = sum(len(text.strip()) for i, text in t.flow if i == p and text)
+    inline = [i for i in children if t.tag[i] not in BLOCKS and not t.dropped[i]]
+    run, run_links = loose + sum(length[i] for i in inline), sum(link[i] for i in inline)
+    out = []
+    if not alone and run and run_links <= SIBLING_LINKS * run:  # text that stands between the siblings
+        out += [(p, p + 1), *((i, t.end[i]) for i in inline)]
+    for i in children:
         if i == best or (not t.dropped[i] and scores.get(i, 0.0) >= least):
             out.append((i, t.end[i]))
-        i = t.end[i]
+        elif not alone and not t.dropped[i] and not t.doubted[i] and t.tag[i] in BLOCKS and length[i]:
+            if t.tag[i] == "h1" or link[i] <= SIBLING_LINKS * length[i]:
+                out.append((i, t.end[i]))
     return out
 
 

@@ -83,6 +83,28 @@ def test_names_leave_out_what_is_short_or_links():
     assert main_text(page) == LONG.strip()
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div id=wrap><h1>T</h1><p>Lead</p><div class=content><p>{LONG}</p><p>{LONG}</p></div><p>End</p></div>", ["T", "Lead", LONG, LONG, "End"]),
+        (f"<div><h2>H</h2><ul><li>one<li>two</ul><div><p>{LONG}</p><p>{LONG}</p></div><section><p>Short.</p></section></div>", ["H", "one", "two", LONG, LONG, "Short."]),
+        (f"<div>Before, <b>bold</b> <a href=x>l</a><div><p>{LONG}</p><p>{LONG}</p></div>after</div>", ["Before, bold l", LONG, LONG, "after"]),
+        (f"<body>{LONG}<br>{LONG}<br><br>The end</body>", [LONG + LONG + "The end"]),
+        (f"<html>{LONG}", [LONG]),
+        (LONG, [LONG]),
+        ("short text", ["short text"]),
+        (f"<center>{LONG}</center>", [LONG]),
+        (f"<body><span>{LONG}</span><div><p>small</p></div></body>", [LONG, "small"]),
+        (f"<body><nav>menu</nav>{LONG}<div class=share>Share</div></body>", [LONG]),
+        ("<h1>only</h1><h2>headings</h2>", ["only", "headings"]),
+        (f"<body><ul><li><a href=x>A</a><li><a href=y>B</a></ul><div><p>{LONG}</p></div></body>", [LONG]),
+        (f"<body>By, the way<article><p>{LONG}</p></article><p>other</p></body>", [LONG]),
+    ],
+)
+def test_text_beside_the_best_container_and_loose_text(page, text):
+    assert main_text(page).split("\n") == [" ".join(t.split()) for t in text]
+
+
 def plain(page):
     m = re.search(r"<article>(.*?)(</article>|$)", page, re.S)
     parts = re.split(r"<p>|</p>|<h1>|</h1>", m.group(1) if m else "")
