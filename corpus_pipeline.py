@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from creditpath.config import shared_dir
 from creditpath.llm import langid, near_dups, packing, pii, quality
-from creditpath.llm.common import read_table
+from creditpath.llm.common import cut, read_table
 from creditpath.llm.queries import RANKS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -41,14 +41,21 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id; repeated rows count as one.
 
-    Documents without an id can't be named, so they stay. Different texts with
-    one id stay if any of them does.
+    Of a group's documents without an id one stays too, the first by a hash of
+    its text; those without words all stay. Different texts with one id stay if
+    any of them does.
     """
-    groups = near_dups.near_duplicates(docs)
+    groups = cut(near_dups.grouped_rows(docs))
     first = groups.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
     named = docs.select(*COLUMNS).where(F.col("doc_id").isNotNull())
     kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
-    return kept.unionByName(docs.select(*COLUMNS).where(F.col("doc_id").isNull()))
+    lone = groups.where(F.col("doc_id").isNull())
+    nameless = docs.select(*COLUMNS).where(F.col("doc_id").isNull()).withColumn("_at", near_dups.text_hash())
+    of_group = lone.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("at").alias("_at")).select("_at")
+    wordless = lone.where(F.col("root").isNull()).select(F.col("at").alias("_at")).distinct()
+    once = nameless.join(of_group, "_at", "left_semi").dropDuplicates(["text"])
+    alone = nameless.join(wordless, "_at", "left_semi")
+    return kept.unionByName(once.select(*COLUMNS)).unionByName(alone.select(*COLUMNS))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

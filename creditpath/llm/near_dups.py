@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditpath.llm.common import batch_slices, cut
@@ -170,12 +170,17 @@ def picked(shingle: np.ndarray, count: np.ndarray) -> list[tuple[np.ndarray, np.
     return out
 
 
+def text_hash() -> Column:
+    """What finds a text that no id names."""
+    return F.xxhash64("text")
+
+
 def describe_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, key (16 bytes; null without words), size, sketch and the picks of every run and level."""
+    """doc_id, at (a hash of the text), key (16 bytes; null without words), size, sketch and the picks of every run and level."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, at = batch.column("doc_id"), batch.column("at")
             for a, b, texts in batch_slices(batch):
                 shingle, count = shingle_sets(texts)
                 n = b - a
@@ -195,16 +200,17 @@ def describe_sets(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids[a:b],
+                        at[a:b],
                         _keys(shingle, count),
                         pa.array(count, pa.int64()),
                         pa.array([s.tobytes() for s in sketch], pa.binary()),
                         picks,
                     ],
-                    names=["doc_id", "key", "size", "sketch", "picks"],
+                    names=["doc_id", "at", "key", "size", "sketch", "picks"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, key binary, size long, sketch binary, picks array<array<long>>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("at"), "text")
+    return rows.mapInArrow(run, "doc_id long, at long, key binary, size long, sketch binary, picks array<array<long>>")
 
 
 def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -388,7 +394,7 @@ def exact_links(members: DataFrame) -> DataFrame:
 
 
 def shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key and shingles of the wanted sets (doc_id, key), from one document of each."""
+    """key and shingles of the wanted sets (doc_id, at, key), from one document of each: by its id, or its text's hash without one."""
 
     def run(batches):
         for batch in batches:
@@ -399,8 +405,12 @@ def shingles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(shingle.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([keys[a:b], lists, _keys(shingle, count)], names=["key", "shingles", "own"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("key", "text")
-    found = rows.mapInArrow(run, "key binary, shingles array<long>, own binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    named = rows.join(wanted.where("doc_id is not null").select("doc_id", "key"), "doc_id").select("key", "text")
+    nameless = rows.where("doc_id is null").withColumn("at", text_hash())
+    lost = wanted.where("doc_id is null").select("at", "key")
+    found = named.unionByName(nameless.join(lost, "at").select("key", "text").dropDuplicates(["key"]))
+    found = found.mapInArrow(run, "key binary, shingles array<long>, own binary")
     # an id may stand on several texts: only the one with this key counts
     return found.where("own = key").dropDuplicates(["key"]).select("key", "shingles")
 
@@ -416,47 +426,39 @@ def _keys(shingle: np.ndarray, count: np.ndarray) -> pa.Array:
     return pa.array([k.tobytes() if s else None for k, s in zip(key, some)], pa.binary())
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, n_copies and n_links for every row (doc_id, text; other columns aren't read).
-
-    class_id is the smallest doc_id of the group that links of a similarity of
-    0.8 or more connect; n_copies counts the rows with the same set of
-    shingles, n_links the other rows within the threshold, copies included.
-    Words are what white space separates; case and signs count. A text without
-    words, or null, is alone: its class is its own id, its counts are 1 and 0.
-    Repeated rows are copies of each other. Null ids are never a class unless
-    all of a group's are null.
-    """
+def grouped_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``near_duplicates`` with at, the hash of the row's text, and root, one name for all of a group; null without words."""
     described = cut(describe_sets(docs))
     sets = (
         described.where("key is not null")
         .groupBy("key")
-        .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("picks").alias("picks"))
+        .agg(F.min("doc_id").alias("first"), F.min("at").alias("at"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("picks").alias("picks"))
     )
     sets = cut(sets)
     links = candidate_links(sets.select("key", "size", "sketch", "picks"))
     roots = cut(components(links).withColumnRenamed("node", "key"))
     sizes = roots.groupBy("root").agg(F.count("*").alias("n_sets"))
-    wanted = cut(roots.join(sizes, "root").join(sets.select("key", "first", "n", "sketch"), "key"))
-    shingles = shingles_of(docs, wanted.select(F.col("first").alias("doc_id"), "key"))
+    wanted = cut(roots.join(sizes, "root").join(sets.select("key", "first", "at", "n", "sketch"), "key"))
+    shingles = shingles_of(docs, wanted.select(F.col("first").alias("doc_id"), "at", "key"))
     exact = cut(exact_links(wanted.join(shingles, "key")))
     groups = components(exact.select(F.col("key").alias("a"), F.col("hub").alias("b")))
     linked = exact.groupBy("key").agg(F.sum("linked").alias("linked"))
     grouped = groups.withColumnRenamed("node", "key").join(sets.select("key", "first"), "key")
     smallest = grouped.groupBy("root").agg(F.min("first").alias("class_id"))
-    classes = grouped.join(smallest, "root").select("key", "class_id")
+    classes = grouped.join(smallest, "root").select("key", "root", "class_id")
     of_set = (
         sets.select("key", "first", "n")
         .join(classes, "key", "left")
         .join(linked, "key", "left")
         .select(
             "key",
+            F.coalesce("root", "key").alias("root"),
             F.coalesce("class_id", "first").alias("class_id"),
             F.col("n").alias("n_copies"),
             (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         )
     )
-    rows = described.select("doc_id", "key")
+    rows = described.select("doc_id", "at", "key")
     return (
         rows.join(of_set, "key", "left")
         .select(
@@ -464,5 +466,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
             F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            "at",
+            "root",
         )
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id, n_copies and n_links for every row (doc_id, text; other columns aren't read).
+
+    class_id is the smallest doc_id of the group that links of a similarity of
+    0.8 or more connect; n_copies counts the rows with the same set of
+    shingles, n_links the other rows within the threshold, copies included.
+    Words are what white space separates; case and signs count. A text without
+    words, or null, is alone: its class is its own id, its counts are 1 and 0.
+    Repeated rows are copies of each other. Null ids are never a class unless
+    all of a group's are null.
+    """
+    return grouped_rows(docs).drop("at", "root")

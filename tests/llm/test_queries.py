@@ -60,3 +60,13 @@ def test_language_stage_drops_texts_without_letters(spark, make_docs):
     rows = [(i, "some plain words here " * 5, "en") for i in range(5)] + [(9, "12345 67", "en"), (10, None, "en")]
     kept = P.keep_known_language(spark, make_docs(rows), SF).collect()
     assert {r.doc_id for r in kept} == set(range(5))
+
+
+def test_one_of_a_group_without_ids_stays(spark, make_docs):
+    words = [f"w{i}" for i in range(200)]
+    base, near, other = " ".join(words), " ".join([*words[:199], "new"]), " ".join(reversed(words))
+    named = " ".join(f"n{i}" for i in range(60))
+    rows = [(None, base), (None, base), (None, near), (None, near), (None, other), (None, other), (3, named), (None, named), (None, ""), (None, "")]
+    kept = P.keep_one_of_group(spark, make_docs(rows).drop("kept", "score", "__words", "_row", "root"), SF).collect()
+    got = sorted((r.doc_id or 0, r.text) for r in kept)
+    assert got in [sorted([(0, x), (0, other), (0, named), (3, named), (0, ""), (0, "")]) for x in (base, near)]

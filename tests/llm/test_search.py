@@ -172,6 +172,28 @@ def test_near_duplicates_match_all_pairs(make_docs, monkeypatch, bucket):
     assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=key) == want
 
 
+def test_near_copies_without_ids(make_docs):
+    random.seed(11)
+    base = random.choices([f"w{i}" for i in range(3_000)], k=200)
+    near = [" ".join([*base[:i], "new", *base[i + 1 :]]) for i in (0, 199)]
+    far = " ".join(reversed(base))
+    rows = [(None, " ".join(base)), (None, near[0]), (None, near[0]), (None, near[1]), (None, far), (7, "other text"), (None, None)]
+    got = near_dups.near_duplicates(make_docs(rows)).collect()
+    key = lambda r: str(r)
+    want = [(None, None, 1, 3), (None, None, 2, 3), (None, None, 2, 3), (None, None, 1, 3), (None, None, 1, 0), (7, 7, 1, 0), (None, None, 1, 0)]
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+    # a named set that only nameless ones link to another keeps its class
+    chain = ["base", *(f"c{k}" for k in range(40))]
+    bridge = [base[:], base[:], base[:]]
+    for k in range(3):
+        for j in range(k):
+            bridge[k][199 - 3 * j] = chain[j]
+    rows = [(5, " ".join(bridge[0])), (None, " ".join(bridge[1])), (9, " ".join(bridge[2]))]
+    assert {(r.doc_id, r.class_id, r.n_links) for r in near_dups.near_duplicates(make_docs(rows)).collect()} == {
+        (5, 5, 2), (None, 5, 2), (9, 5, 2)
+    }
+
+
 def test_no_documents(make_docs):
     assert near_dups.near_duplicates(make_docs([])).count() == 0
     assert [tuple(r) for r in near_dups.near_duplicates(make_docs([(5, None)])).collect()] == [(5, 5, 1, 0)]
