@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditpath.llm import ann, bpe, ctw, html_extract, langid, near_dups, packing, pii, quality, url_filters
+from creditpath.llm import ann, bpe, ctw, html_extract, langid, near_dups, packing, pii, quality, suffix_dedup, url_filters
 from creditpath.llm.common import id_remainder, read_table
 
 #: Folder of the public tokenizers; their files are parameters and never copied here.
@@ -73,6 +73,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(read_table(spark, sf_dir, "documents"), RANKS)
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by a 100-byte string that also starts earlier in the corpus go."""
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_vectors": op1_nearest_vectors,
     "op2_ctw_score": op2_ctw_score,
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_suffix_dedup": op12_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -135,5 +141,33 @@ WITH RECURSIVE cut AS (
 )
 SELECT doc_id, class_id, coalesce(n_same, 0) + 1 AS n_copies, coalesce(n_links, 0) AS n_links
 FROM cut JOIN classes USING (r) LEFT JOIN counted USING (r)
+""",
+    "op12_suffix_dedup": r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(doc_id, 9223372036854775807) AS k, encode(coalesce(text, '')) AS t,
+           octet_length(encode(coalesce(text, ''))) AS n
+    FROM documents
+), starts AS (
+    SELECT k, unnest(range(n - 99)) AS p, unnest(list_transform(range(n - 99), lambda i: array_slice(t, i + 1, i + 100))) AS s
+    FROM texts WHERE n >= 100
+), strings AS (
+    SELECT k, p, row_number() OVER (PARTITION BY s ORDER BY k, p) > 1 AS late FROM starts
+), runs AS (  -- late starts whose strings overlap or touch
+    SELECT k, p, sum(CASE WHEN p <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY p) AS run
+    FROM (SELECT k, p, lag(p, 1, -1000) OVER (PARTITION BY k ORDER BY p) AS before FROM strings WHERE late)
+), spans AS (
+    SELECT k, min(p) AS a, max(p) + 100 AS b FROM runs GROUP BY k, run
+), cuts AS (
+    SELECT k, a, b, coalesce(lag(b) OVER (PARTITION BY k ORDER BY a), 0) AS c,
+           lead(a) OVER (PARTITION BY k ORDER BY a) IS NULL AS last
+    FROM spans
+), summed AS (
+    SELECT k, sum(b - a) AS n_removed, count(*) AS n_spans,
+           string_agg(hex(array_slice(t, c + 1, a)) || CASE WHEN last THEN hex(array_slice(t, b + 1, n)) ELSE '' END, '' ORDER BY a) AS rest
+    FROM cuts JOIN texts USING (k) GROUP BY k
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(CASE WHEN rest IS NULL THEN t ELSE unhex(rest) END) AS kept_sha256
+FROM texts LEFT JOIN summed USING (k)
 """,
 }
