@@ -46,10 +46,12 @@ from creditpath.llm.suffix_sort import Segments, common_prefixes, suffix_array
 LENGTH = 100
 GRAM = 32
 #: Bytes that are hashed at once; longer texts are taken in overlapping pieces.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 #: Text whose segments share one bin of the shuffle.
 BIN_BYTES = 1 << 25
 MIN_BINS = 16
+#: Segments are sorted in this many times as many bins.
+SORT_BINS = 4
 #: Bytes of segments that are sorted at once; a bucket is never split.
 SORT_BYTES = 1 << 20
 HOT = 1 << 16
@@ -305,7 +307,7 @@ def repeated_segments(rows: DataFrame, length: int, cutter: Shared, bins: int) -
                 if len(late):
                     ranges = as_ranges(order[row[late]], key[row[late]], start[late], start[late] + count[late] - 1)
                     o, k, data = packed_by_document(*ranges)
-                    yield found_rows(k, o, k, RANGES, data)
+                    yield found_rows((mix((o ^ k).view(U)) >> U(1)).astype(np.int64), o, k, RANGES, data)
                 # a segment that a batch holds twice is known to be repeated: its first goes on twice over
                 twice = np.append(~new[1:], False)[new] if len(new) else new
                 keep = np.concatenate([by[new], by[new][twice]])
@@ -458,7 +460,7 @@ def remove_repeats(
     by = ["id_order", "id_hash"]
     wanted = found.where(F.col("kind") == WANTED).groupBy(*by).agg(F.collect_list("data").alias("wanted"))
     texts = rows.join(wanted, by)  # with all columns, as below, so that the texts are dealt out once
-    ranges = found.where(F.col("kind") == RANGES).unionByName(sorted_ranges(texts, length, bins))
+    ranges = found.where(F.col("kind") == RANGES).unionByName(sorted_ranges(texts, length, SORT_BINS * bins))
     marks = ranges.groupBy(*by).agg(F.collect_list("data").alias("marks"))
     joined = rows.join(marks, by, "left")
 
