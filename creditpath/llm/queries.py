@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditpath.llm import ann, bpe, ctw, html_extract, langid, near_dups, packing, pii, quality, suffix_dedup, url_filters
+from creditpath.llm import ann, bpe, ctw, hard_negatives, html_extract, langid, near_dups, packing, pii, quality, suffix_dedup, url_filters
 from creditpath.llm.common import id_remainder, read_table
 
 #: Folder of the public tokenizers; their files are parameters and never copied here.
@@ -73,6 +73,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(read_table(spark, sf_dir, "documents"), RANKS)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are rows whose id is divisible by 100; where it is divisible by 7, the label is the next one of ten."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", label.alias("label"), "embedding"), F.col("id") % 100 == 0)
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes covered by a 100-byte string that also starts earlier in the corpus go."""
     return suffix_dedup.digest(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
@@ -89,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_suffix_dedup": op12_suffix_dedup,
 }
 
@@ -141,6 +149,29 @@ WITH RECURSIVE cut AS (
 )
 SELECT doc_id, class_id, coalesce(n_same, 0) + 1 AS n_copies, coalesce(n_links, 0) AS n_links
 FROM cut JOIN classes USING (r) LEFT JOIN counted USING (r)
+""",
+    "op11_hard_negatives": """
+WITH vectors AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.id AS anchor, b.id AS other, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.id % 100 = 0 AND a.id <> b.id
+), positives AS (
+    SELECT anchor, other AS positive, score AS p FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5
+), ranked AS (
+    SELECT anchor, positive, p, other, score,
+           row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, other) AS n
+    FROM positives JOIN scored USING (anchor)
+    WHERE NOT same AND 30 * p <= 100 * score AND 100 * score <= 90 * p
+)
+SELECT anchor AS anchor_id, positive AS positive_id, n::INTEGER AS rank, other AS negative_id,
+       p AS positive_score, score AS negative_score
+FROM ranked WHERE n <= 10
 """,
     "op12_suffix_dedup": r"""
 WITH texts AS (
