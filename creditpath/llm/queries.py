@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditpath.llm import ann, bpe, ctw, hard_negatives, html_extract, langid, near_dups, packing, pii, quality, suffix_dedup, url_filters
+from creditpath.llm import alignment, ann, bpe, ctw, hard_negatives, html_extract, langid, near_dups, packing, pii, quality, suffix_dedup, url_filters
 from creditpath.llm.common import id_remainder, read_table
 
 #: Folder of the public tokenizers; their files are parameters and never copied here.
@@ -19,6 +19,7 @@ def vocabulary_path(name: str) -> str:
 
 
 RANKS = vocabulary_path("byte_bpe_50k.tiktoken")
+PIECES = vocabulary_path("piece_bpe_32k.model")
 
 
 def op1_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +86,10 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"), RANKS, PIECES).documents
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_vectors": op1_nearest_vectors,
     "op2_ctw_score": op2_ctw_score,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLES: dict[str, str] = {
