@@ -120,6 +120,22 @@ class Cutter:
             doc = last
 
     def segments(self, data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        for part, name, rows, begin, skipped, low, high in self.anchored(data, ends):
+            sums = self.whole.sums(part)
+            if len(self.hot):
+                is_hot = np.isin(name, self.hot)
+                count = (high - low + 1)[is_hot]
+                ends_at = np.cumsum(count)
+                single = np.arange(int(count.sum())) + np.repeat(low[is_hot] - (ends_at - count), count)
+                own = mix(self.whole.between(sums, single, single + self.length))
+                name = np.concatenate([name[~is_hot], mix(own ^ np.repeat(name[is_hot], count))])
+                low, high = np.concatenate([low[~is_hot], single]), np.concatenate([high[~is_hot], single])
+            digest = mix(self.whole.between(sums, low, high + self.length) + (high - low).astype(U))
+            text = np.searchsorted(begin, low, "right") - 1
+            yield name, digest, rows[text], low - begin[text] + skipped[text], high - low + 1
+
+    def anchored(self, data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Slices, and in each the strings around one anchor: its hash, the first and the last start."""
         for part, rows, begin, skipped in self.pieces(data, ends):
             n, length = len(part), self.length
             size = np.append(begin[1:], n) - begin
@@ -146,19 +162,7 @@ class Cutter:
             new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)])
             first = np.flatnonzero(new)
             low, high = start[first], start[np.append(first[1:] - 1, len(start) - 1)]
-            name = hashed[anchor[first]]
-            sums = self.whole.sums(part)
-            if len(self.hot):
-                is_hot = np.isin(name, self.hot)
-                count = (high - low + 1)[is_hot]
-                ends_at = np.cumsum(count)
-                single = np.arange(int(count.sum())) + np.repeat(low[is_hot] - (ends_at - count), count)
-                own = mix(self.whole.between(sums, single, single + length))
-                name = np.concatenate([name[~is_hot], mix(own ^ np.repeat(name[is_hot], count))])
-                low, high = np.concatenate([low[~is_hot], single]), np.concatenate([high[~is_hot], single])
-            digest = mix(self.whole.between(sums, low, high + length) + (high - low).astype(U))
-            text = np.searchsorted(begin, low, "right") - 1
-            yield name, digest, rows[text], low - begin[text] + skipped[text], high - low + 1
+            yield part, hashed[anchor[first]], rows, begin, skipped, low, high
 
 
 def of_bin(name: np.ndarray, bins: int) -> np.ndarray:
@@ -266,7 +270,7 @@ def hot_anchors(rows: DataFrame, length: int, hot: int) -> tuple[np.ndarray, int
         cutter = Cutter(length, np.zeros(0, U))
         for batch in batches:
             data, ends = text_bytes(batch.column("text"))
-            names = [s[0] for s in cutter.segments(data, ends)]
+            names = [s[1] for s in cutter.anchored(data, ends)]
             name, count = np.unique(np.concatenate(names) if names else np.zeros(0, U), return_counts=True)
             total = int(count.sum())
             often = count >= max(8, total >> HOT_BITS)
@@ -454,7 +458,7 @@ def remove_repeats(
     """One row per input row: the id (as doc_id), n_bytes, spans (removed, end exclusive) and kept (binary)."""
     rows = documents_of(docs, id_col, text_col)
     hot_names, n_bytes = hot_anchors(rows, length, hot)
-    bins = max(MIN_BINS, -(-n_bytes // BIN_BYTES))
+    bins = max(MIN_BINS, default_partitions(docs.sparkSession), -(-n_bytes // BIN_BYTES))
     cutter = Shared(docs.sparkSession, Cutter(length, np.sort(hot_names)))
     found = repeated_segments(rows.drop("doc_id"), length, cutter, bins)
     by = ["id_order", "id_hash"]

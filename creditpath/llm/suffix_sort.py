@@ -50,47 +50,46 @@ def ascending(text: np.ndarray) -> np.ndarray:
     n = len(text)
     differs = np.flatnonzero(text[1:] != text[:-1])
     # the step that ends each run of equal bytes decides for the whole run
-    nearest = np.searchsorted(differs, np.arange(n - 1))
+    at = np.repeat(differs, np.diff(differs, prepend=-1))
     up = np.zeros(n, bool)
-    inside = nearest < len(differs)
-    at = differs[nearest[inside]]
-    up[: n - 1][inside] = text[at + 1] > text[at]
+    up[: len(at)] = text[at + 1] > text[at]
     up[text == END] = False
     return up
 
 
 def direct_sort(at: np.ndarray, word: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
-    """The suffixes ``at`` in order of their first ``depth`` bytes, by eight bytes a round; only ties go on."""
-    order = at[np.argsort(word[at], kind="stable")]
+    """The suffixes ``at`` in order of their first ``depth`` bytes; only ties go on to the next round.
+
+    A round sorts by one integer: the number of the group of equal suffixes,
+    and as many further bytes as fit below it.
+    """
+    order = at[np.argsort(word[at])]
     key = word[order]
-    tied = np.zeros(len(order), np.int64)  # number of the group of equal ones
-    if len(order):
-        tied[1:] = np.cumsum(key[1:] != key[:-1])
-    open_ = _in_ties(tied)
-    for k in range(8, depth, 8):
-        if not len(open_):
-            return order
-        rows, group = order[open_], tied[open_]
-        beyond = np.minimum(rows + k, len(word) - 1)
-        key = np.where(left[rows] > k, word[beyond], np.uint64(0))
-        by = np.lexsort((key, group))
+    same = key[1:] == key[:-1]
+    open_ = _in_ties(same)
+    k = 8
+    while len(open_) and k < depth:
+        group = np.cumsum(np.concatenate([[0], ~same[open_[1:] - 1]]))
+        rows = order[open_]
+        size = (64 - int(group[-1]).bit_length()) // 8
+        more = word[np.minimum(rows + k, len(word) - 1)] >> np.uint64(64 - 8 * size)
+        more[left[rows] <= k] = 0
+        key = group.astype(np.uint64) << np.uint64(8 * size) | more
+        by = np.argsort(key)
         order[open_] = rows[by]
-        key, group = key[by], group[by]
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (group[1:] != group[:-1])])
-        # a group's number is the place of its first member, so that splitting it leaves the others' numbers
-        tied[open_] = open_[np.maximum.accumulate(np.where(new, np.arange(len(open_)), 0))]
-        open_ = open_[_in_ties(tied[open_])]
+        key = key[by]
+        same[open_[1:] - 1] = key[1:] == key[:-1]
+        open_ = _in_ties(same)
+        k += size
     # a segment that ends is smaller than one that goes on with zero bytes
+    group = np.cumsum(np.concatenate([[0], ~same[open_[1:] - 1]])) if len(open_) else open_
     rows = order[open_]
-    order[open_] = rows[np.lexsort((np.minimum(left[rows], depth), tied[open_]))]
+    order[open_] = rows[np.lexsort((np.minimum(left[rows], depth), group))]
     return order
 
 
-def _in_ties(group: np.ndarray) -> np.ndarray:
-    """Places of members of groups of two or more; groups lie together."""
-    if not len(group):
-        return np.zeros(0, np.int64)
-    same = group[1:] == group[:-1]
+def _in_ties(same: np.ndarray) -> np.ndarray:
+    """Places that equal the one before or after; ``same`` tells of each place but the first if it equals the one before."""
     return np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
 
 
