@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_one_query_for_each_operator():
     names = E.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names
     assert set(Q.ORACLES) <= set(Q.QUERIES)
 
