@@ -273,6 +273,15 @@ def q_header_stream(spark, sf):
     return S.roundtrip_through_stream(spark, _plain_touches(spark, sf), six_columns=True)
 
 
+def q_mixed_headers(spark, sf):
+    """Files of four column orders and widths in one folder, each read by its own header."""
+    return S.layouts_roundtrip(spark, _plain_touches(spark, sf), streamed=False)
+
+
+def q_mixed_header_stream(spark, sf):
+    return S.layouts_roundtrip(spark, _plain_touches(spark, sf), streamed=True)
+
+
 def q_catalog_roundtrip(spark, sf):
     """Transition counts through a database table and a view, with the table's description beside them."""
     here = spark.catalog.currentDatabase()
@@ -328,6 +337,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clustered_journey": q_clustered_journey,
     "stream_ingest": q_stream_ingest,
     "header_stream": q_header_stream,
+    "mixed_headers": q_mixed_headers,
+    "mixed_header_stream": q_mixed_header_stream,
     "catalog_roundtrip": q_catalog_roundtrip,
     "gold_refresh": q_gold_refresh,
 }
@@ -709,6 +720,8 @@ _ORACLES = {
     "clustered_journey": "SELECT * FROM user_journey",
     "stream_ingest": "SELECT uid, channel, time, conversion FROM touches",
     "header_stream": "SELECT uid, channel, time, conversion FROM touches",
+    "mixed_headers": "SELECT uid, channel, time, conversion FROM touches",
+    "mixed_header_stream": "SELECT uid, channel, time, conversion FROM touches",
     "catalog_roundtrip": """
         SELECT start_state, end_state, total_transitions,
                'end_state string, start_state string, total_transitions bigint' AS described

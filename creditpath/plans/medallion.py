@@ -33,7 +33,10 @@ def ingest(
         mapping=mapping,
     )
     S.finish(q, timeout_s)
-    return spark.read.parquet(f"{bronze}/data").drop(S.BATCH_ID)
+    data = spark.read.parquet(f"{bronze}/data").drop(S.BATCH_ID)
+    if data.isEmpty() and not spark.read.parquet(f"{bronze}/quarantine").isEmpty():
+        raise ValueError("no columns of touches in any header; the files' lines are in quarantine")
+    return data
 
 
 def build_gold(

@@ -1,7 +1,8 @@
 """Streaming ingest of raw touch files into bronze.
 
-``readStream`` CSV by header -> the same typing projection as batch reads ->
-``foreachBatch`` sink. Every micro-batch is written under its batch id and
+``readStream`` of lines -> in each micro-batch the values by their file's own
+header and the same typing projection as batch reads -> ``foreachBatch`` sink.
+A micro-batch holds whole files, so their headers are among its lines. Every micro-batch is written under its batch id and
 replaces what an earlier attempt of that batch has left, so that a batch that
 failed half-way is written whole when it is retried; together with the
 checkpoint this gives each row once.
@@ -13,51 +14,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import shared_dir
 from ..functions.typing import type_touch_columns
-from ..sources.files import CORRUPT, header_schema, touch_columns, with_corrupt
+from ..sources.files import CORRUPT, SOURCE_FILE, read_touch_csv, text_lines, touches_by_header
 
 BATCH_ID = "batch_id"
 
 
-def touch_file_stream(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType | None = None,
-    max_files_per_trigger: int | None = None,
-) -> DataFrame:
-    """File stream over a directory of CSV files; without a schema, by the names in their header."""
-    reader = (
-        spark.readStream.format("csv")
-        .schema(with_corrupt(schema or header_schema(spark, path)))
-        .option("header", True)
-        .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
-    )
+def touch_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the lines of all CSV files in a folder, each with its file."""
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    return text_lines(reader.load(path))
 
 
 def _parted(batch: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     if CORRUPT not in batch.columns:
         return batch, None
-    return batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT), batch.where(F.col(CORRUPT).isNotNull())
+    good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE_FILE)
+    return good, batch.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, SOURCE_FILE)
 
 
 def parquet_batch_writer(path: str, quarantine: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: batch ``k`` goes to ``path/batch_id=k`` (overwrite).
 
-    Lines that don't fit the header go to ``quarantine/batch_id=k``.
+    Lines that don't fit their file's header go to ``quarantine/batch_id=k``, with the file's name.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         good, bad = _parted(batch)
         good.write.mode("overwrite").parquet(f"{path}/{BATCH_ID}={batch_id}")
         if quarantine and bad is not None:
-            bad.select(CORRUPT).write.mode("overwrite").parquet(f"{quarantine}/{BATCH_ID}={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH_ID}={batch_id}")
 
     return write
 
@@ -87,10 +78,15 @@ def start_ingest(
     available_now: bool = True,
     time_format: str | None = None,
     mapping: dict[str, str] | None = None,
+    separator: str = ",",
 ) -> StreamingQuery:
-    touches = touch_columns(stream, mapping)
-    typed = type_touch_columns(touches, fmt=time_format) if time_format else type_touch_columns(touches)
-    writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    """Starts the stream of :func:`touch_file_stream`; ``write_batch`` gets typed touches."""
+
+    def write(lines: DataFrame, batch_id: int) -> None:
+        touches = touches_by_header(lines, mapping, separator)
+        write_batch(type_touch_columns(touches, fmt=time_format) if time_format else type_touch_columns(touches), batch_id)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
@@ -122,20 +118,49 @@ def roundtrip_through_stream(
     ``six_columns`` writes the wider raw layout, in its own column order.
     """
     base = shared_dir(spark, "stream")
-    raw, bronze, ckpt = f"{base}/raw", f"{base}/bronze", f"{base}/checkpoint"
-    time = F.date_format("time", STREAM_TIME_FORMAT).alias("time")
-    flag = F.col("conversion").cast("string").alias("conversion")
-    if six_columns:
-        files = touches.select(
-            time, flag, F.lit("ad").alias("ad_id"), F.col("uid").alias("user_id"),
-            F.lit("0.5").alias("revenue"), F.col("channel").alias("event_type"),
-        )
-    else:
-        files = touches.select("uid", "channel", time, flag)
-    files.write.option("header", True).csv(raw)
-    q = start_ingest(touch_file_stream(spark, raw), parquet_batch_writer(bronze), ckpt,
+    write_layouts(touches, f"{base}/raw", LAYOUTS[1:2] if six_columns else LAYOUTS[:1])
+    return ingest_folder(spark, f"{base}/raw", base, timeout_s)
+
+
+def ingest_folder(spark: SparkSession, raw: str, base: str, timeout_s: float = 600) -> DataFrame:
+    """One run of the stream over ``raw`` into ``base``; bronze read back."""
+    q = start_ingest(touch_file_stream(spark, raw), parquet_batch_writer(f"{base}/bronze"), f"{base}/checkpoint",
                      time_format=STREAM_TIME_FORMAT)
     finish(q, timeout_s)
-    out = spark.read.parquet(bronze)
-    return out.select("uid", "channel", F.col("time").cast("timestamp_ntz").alias("time"),
-                      "conversion")
+    return _plain(spark.read.parquet(f"{base}/bronze"))
+
+
+def _plain(touches: DataFrame) -> DataFrame:
+    return touches.select("uid", "channel", F.col("time").cast("timestamp_ntz").alias("time"), "conversion")
+
+
+#: Column orders and names of raw files, as they are met in one folder.
+LAYOUTS = [
+    ["uid", "channel", "time", "conversion"],
+    ["time", "conversion", "ad_id", "user_id", "revenue", "event_type"],
+    ["channel", "uid", "conversion", "time"],
+    ["conversion", "note", "time", "uid", "channel"],
+]
+
+
+def write_layouts(touches: DataFrame, folder: str, layouts: list[list[str]]) -> None:
+    """Touches as CSV files, dealt out by a hash over files of the given layouts, all in one folder."""
+    source = {
+        "time": F.date_format("time", STREAM_TIME_FORMAT), "conversion": F.col("conversion").cast("string"),
+        "uid": F.col("uid"), "channel": F.col("channel"), "user_id": F.col("uid"), "event_type": F.col("channel"),
+        "ad_id": F.lit("ad"), "revenue": F.lit("0.5"), "note": F.lit('said "yes", twice'),
+    }
+    dealt = touches.withColumn("_layout", F.pmod(F.xxhash64("uid", "time"), F.lit(len(layouts))))
+    for k, names in enumerate(layouts):
+        rows = dealt.where(F.col("_layout") == k)
+        rows.select(*[source[n].alias(n) for n in names]).write.mode("append").option("header", True).csv(folder)
+
+
+def layouts_roundtrip(spark: SparkSession, touches: DataFrame, streamed: bool) -> DataFrame:
+    """Touches written as files of all LAYOUTS and read back by their headers, as a batch or as a stream."""
+    base = shared_dir(spark, "layouts")
+    write_layouts(touches, f"{base}/raw", LAYOUTS)
+    if streamed:
+        return ingest_folder(spark, f"{base}/raw", base)
+    back = read_touch_csv(spark, f"{base}/raw", fmt=STREAM_TIME_FORMAT)
+    return _plain(back.where(F.col(CORRUPT).isNull()))
