@@ -183,6 +183,14 @@ def q_conversion_prob_absorbing(spark, sf):
     return _r(_plan(spark, sf).conversion_probability("absorbing"), "conversion_probability")
 
 
+def q_conversion_prob_many_channels(spark, sf):
+    """Absorbing probability with some hundreds of channels: an event's type and the number in its properties."""
+    detail = F.concat("event_type", F.lit("-"), F.regexp_extract("props", "([0-9]+)", 1))
+    events = read_events(spark, sf).withColumn("event_type", F.when(F.col("event_type") == "purchase", "purchase").otherwise(detail))
+    plan = AttributionPlan(touches_from_events(events))
+    return _r(plan.conversion_probability("absorbing"), "conversion_probability")
+
+
 def q_conversion_prob_simple_path(spark, sf):
     return _r(_plan(spark, sf).conversion_probability("simple_path"), "conversion_probability")
 
@@ -324,6 +332,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "removal_graph": q_removal_graph,
     "removal_graph_one": q_removal_graph_one,
     "conversion_prob_absorbing": q_conversion_prob_absorbing,
+    "conversion_prob_many_channels": q_conversion_prob_many_channels,
     "conversion_prob_simple_path": q_conversion_prob_simple_path,
     "conversion_prob_memo_walk": q_conversion_prob_memo_walk,
     "removal_effect": q_removal_effect,
@@ -593,6 +602,40 @@ _DIRTY = """
     )
 """
 
+#: Stands alone: mass moved step by step, for every channel left out, until none is on the way.
+_MANY_CHANNELS = """
+WITH RECURSIVE typed AS (
+    SELECT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS uid, ts, event_id,
+           CASE WHEN event_type = 'purchase' THEN 'purchase'
+                ELSE event_type || '-' || regexp_extract(props, '([0-9]+)', 1) END AS channel
+    FROM events
+), ahead AS (
+    SELECT *, lead(channel) OVER (PARTITION BY uid ORDER BY ts, event_id) AS next_channel FROM typed
+), touched AS (
+    SELECT uid, channel, next_channel IS NOT DISTINCT FROM 'purchase' AS converts,
+           lag(channel) OVER (PARTITION BY uid ORDER BY ts, event_id) AS before,
+           lead(channel) OVER (PARTITION BY uid ORDER BY ts, event_id) IS NULL AS is_last
+    FROM ahead WHERE channel <> 'purchase'
+), steps AS (
+    SELECT coalesce(before, 'Start') AS a, channel AS b FROM touched
+    UNION ALL
+    SELECT channel, CASE WHEN converts THEN 'Conversion' ELSE 'Null' END FROM touched WHERE is_last
+), graph AS (
+    SELECT a, b, count(*) / sum(count(*)) OVER (PARTITION BY a) AS p FROM steps GROUP BY a, b
+), scen AS (
+    SELECT CAST(NULL AS VARCHAR) AS removed UNION ALL SELECT DISTINCT a FROM graph WHERE a <> 'Start'
+), moving(step, removed, state, mass) AS (
+    SELECT 0, removed, 'Start', CAST(1.0 AS DOUBLE) FROM scen
+    UNION ALL
+    SELECT step + 1, removed, b, sum(mass * p) FROM moving JOIN graph ON a = state
+    WHERE b <> 'Null' AND b IS DISTINCT FROM removed
+    GROUP BY ALL HAVING sum(mass * p) > 1e-15
+)
+SELECT removed AS removed_channel,
+       round(coalesce(sum(mass) FILTER (WHERE state = 'Conversion'), 0), 9) AS conversion_probability
+FROM moving GROUP BY removed
+"""
+
 _ORACLES = {
     "touches_clean": "SELECT uid, channel, time, conversion, event_id FROM touches",
     "touches_rejected": f"""
@@ -735,4 +778,4 @@ _ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _with(v) for k, v in _ORACLES.items()} | _LLM_ORACLES
+    return {k: _with(v) for k, v in _ORACLES.items()} | {"conversion_prob_many_channels": _MANY_CHANNELS} | _LLM_ORACLES

@@ -7,9 +7,8 @@ Conversion probability from ``Start`` has three policies:
 
 ``absorbing``
     probability of reaching ``Conversion`` in the absorbing chain (loops
-    allowed). Mass is moved along the edges, step by step, until none is left
-    on the way; mass that enters the scenario's channel is lost, so no
-    scenario graph is made and a step's work follows the number of edges.
+    allowed). The chain is reduced state by state, exactly but for rounding,
+    with every channel left out once (:mod:`absorbing`).
 ``simple_path``
     sum over walks that never repeat a state. Level-by-level frontier join;
     walks that share (visited set, current state) are merged each level, yet
@@ -18,9 +17,8 @@ Conversion probability from ``Start`` has three policies:
     a depth-first sum that keeps a state's value once it is left, with the
     next states visited in descending name order (values depend on it).
 
-``absorbing`` and ``memo_walk`` deal the scenarios out to tasks, which all
-hold the edges, up to MAX_EDGES of them. Beyond that ``absorbing`` moves mass
-by joins instead; ``memo_walk``, a sequential rule, refuses.
+``memo_walk`` deals the scenarios out to tasks, which all hold the edges as
+numbers, up to MAX_EDGES of them; beyond that this sequential rule refuses.
 """
 
 from __future__ import annotations
@@ -33,6 +31,7 @@ from pyspark.sql import types as T
 
 from ..config import CONVERSION_STATE, MARKOV_CHAIN, NULL_STATE, START_STATE, checkpoint_root
 from ..functions.numeric import round_half_even
+from .absorbing import absorbing_probability as reduce_chain
 
 REMOVED = "removed_channel"
 PROB = "conversion_probability"
@@ -40,8 +39,6 @@ POLICIES = ("absorbing", "simple_path", "memo_walk")
 
 #: Edges that may travel to every task.
 MAX_EDGES = 2_000_000
-#: Mass on the way below which a chain is at its end.
-LEAST_MASS = 1e-14
 
 _PROB_SCHEMA = T.StructType(
     [T.StructField(REMOVED, T.StringType(), True), T.StructField(PROB, T.DoubleType(), True)]
@@ -101,17 +98,24 @@ def _small_edges(matrix: DataFrame) -> pa.Table | None:
 
 
 def _by_scenario(matrix: DataFrame, edges: pa.Table, prepare) -> DataFrame:
-    """A row per scenario; ``prepare(edges)`` gives a function from the removed channel to its probability."""
-    columns = [c.to_pylist() for c in edges.columns]
+    """A row per scenario; ``prepare`` makes of numbered edges a function from the removed state to its probability.
+
+    States are numbered in the order of their names; tasks get numbers only.
+    """
     spark = matrix.sparkSession
-    shared = spark.sparkContext.broadcast(columns)
-    names = [None, *sorted(set(columns[0]) - {START_STATE})]
-    rows = spark.createDataFrame([(c,) for c in names], f"{REMOVED} string")
+    start, end = (edges.column(c).to_numpy(zero_copy_only=False) for c in ("start_state", "end_state"))
+    names, number = np.unique(np.concatenate([start, end, [START_STATE, CONVERSION_STATE, NULL_STATE]]).astype(str), return_inverse=True)
+    n = len(start)
+    known = {s: int(i) for s, i in zip((START_STATE, CONVERSION_STATE, NULL_STATE), number[2 * n :])}
+    shared = spark.sparkContext.broadcast((number[:n], number[n : 2 * n], edges.column("transition_probability").to_numpy(), known))
+    channels_ = sorted(set(start) - {START_STATE})
+    of = dict(zip(names.tolist(), range(len(names))))
+    rows = spark.createDataFrame([(None, None), *((c, of[c]) for c in channels_)], f"{REMOVED} string, number long")
 
     def run(batches):
         probability = prepare(*shared.value)
         for batch in batches:
-            values = [probability(c) for c in batch.column(REMOVED).to_pylist()]
+            values = [probability(c) for c in batch.column("number").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(REMOVED), pa.array(values, pa.float64())], names=[REMOVED, PROB]
             )
@@ -123,84 +127,9 @@ def _by_scenario(matrix: DataFrame, edges: pa.Table, prepare) -> DataFrame:
 # policy: absorbing
 
 
-def _absorbing(starts: list[str], ends: list[str], p: list[float]):
-    """Moves mass from ``Start`` along the edges until next to nothing is on the way."""
-    name = {s: i for i, s in enumerate(dict.fromkeys([START_STATE, CONVERSION_STATE, NULL_STATE, *starts, *ends]))}
-    a = np.array([name[s] for s in starts], np.int64)
-    b = np.array([name[s] for s in ends], np.int64)
-    p = np.array(p, float)
-    n = len(name)
-    out = (a > 2) | (a == 0)  # nothing leaves the two ends
-    a, b, p = a[out], b[out], p[out]
-    # mass that stays in a state leaves it later in the same proportions
-    stay = np.bincount(a[a == b], p[a == b], n)
-    a, b, p = a[a != b], b[a != b], p[a != b]
-    p = p / np.maximum(1 - stay[a], 1e-300)
-    # states from which Conversion can't be reached hold mass for ever: it is dropped
-    reach = np.zeros(n, bool)
-    reach[1] = True
-    while True:
-        more = reach.copy()
-        more[a[reach[b]]] = True
-        if (more == reach).all():
-            break
-        reach = more
-    live = reach[a] & reach[b] & (stay[a] < 1)
-    a, b, p = a[live], b[live], p[live]
-
-    def probability(removed: str | None) -> float:
-        lost = name.get(removed, -1)
-        mass = np.zeros(n)
-        mass[0] = 1.0
-        converted = 0.0
-        while mass.sum() > LEAST_MASS:
-            mass = np.bincount(b, mass[a] * p, n)
-            converted += mass[1]
-            mass[1] = 0.0
-            if lost >= 0:
-                mass[lost] = 0.0
-        return converted
-
-    return probability
-
-
-def _absorbing_joined(matrix: DataFrame, steps: int = 8) -> DataFrame:
-    """The same by joins, for graphs whose edges can't travel: mass per (scenario, state) meets the edges."""
-    checkpoint_root(matrix.sparkSession)
-    edges = matrix.select("start_state", "end_state", "transition_probability").checkpoint()
-    all_ = scenarios(edges).checkpoint()
-    mass = all_.select(REMOVED, F.lit(START_STATE).alias("state"), F.lit(1.0).alias("mass"))
-    ended = F.col("state").isin(CONVERSION_STATE, NULL_STATE)
-    left = last = 1.0
-    while left > LEAST_MASS:
-        for _ in range(steps):
-            moved = (
-                mass.where(~ended)
-                .join(edges, F.col("state") == F.col("start_state"))
-                .where(F.col(REMOVED).isNull() | (F.col("end_state") != F.col(REMOVED)))
-                .select(REMOVED, F.col("end_state").alias("state"), (F.col("mass") * F.col("transition_probability")).alias("mass"))
-                .where(F.col("state") != NULL_STATE)
-            )
-            mass = mass.where(ended).unionByName(moved).groupBy(REMOVED, "state").agg(F.sum("mass").alias("mass"))
-        mass = mass.checkpoint()
-        left = mass.where(~ended).groupBy(REMOVED).agg(F.sum("mass").alias("m")).agg(F.max("m")).first()[0] or 0.0
-        if left > 0.999999 * last:
-            break  # what is left circles in states without a way out
-        last = left
-    ends = mass.where(F.col("state") == CONVERSION_STATE).select(F.col(REMOVED).alias("_r"), "mass")
-    return all_.join(ends, F.col(REMOVED).eqNullSafe(F.col("_r")), "left").select(
-        REMOVED, F.coalesce("mass", F.lit(0.0)).alias(PROB)
-    )
-
-
 def absorbing_probability(matrix: DataFrame) -> DataFrame:
     """``removed_channel, conversion_probability`` under the absorbing policy, for every scenario."""
-    edges = _small_edges(matrix)
-    if edges is None:
-        return _absorbing_joined(matrix)
-    if not edges.num_rows:
-        return scenarios(matrix).where(F.lit(False)).withColumn(PROB, F.lit(0.0))
-    return _by_scenario(matrix, edges, _absorbing)
+    return reduce_chain(matrix, REMOVED, PROB)
 
 
 # --------------------------------------------------------------------------
@@ -213,17 +142,24 @@ def _memo_walk(descending: bool):
     was stored when a state was closed; else the next state is opened first.
     """
 
-    def prepare(starts: list[str], ends: list[str], p: list[float]):
-        after: dict[str, list[tuple[str, float]]] = {}
-        for end, start, q in sorted(zip(ends, starts, p), reverse=descending):
-            after.setdefault(start, []).append((end, q))
+    def prepare(starts: np.ndarray, ends: np.ndarray, p: np.ndarray, known: dict[str, int]):
+        # edges of a state are a stretch of the arrays, in the order of their ends
+        order = np.lexsort((p, ends, starts))
+        starts, ends, p = starts[order], ends[order], p[order]
+        step = -1 if descending else 1
+
+        def after(state: int):
+            low, high = np.searchsorted(starts, [state, state + 1])
+            return zip(ends[low:high][::step].tolist(), p[low:high][::step].tolist())
+
+        first = known[START_STATE]
 
-        def probability(removed: str | None) -> float:
-            stored = {CONVERSION_STATE: 1.0, NULL_STATE: 0.0}
+        def probability(removed: int | None) -> float:
+            stored = {known[CONVERSION_STATE]: 1.0, known[NULL_STATE]: 0.0}
             if removed is not None:
                 stored[removed] = 0.0
-            opened, todo, total = [START_STATE], {START_STATE: iter(after.get(START_STATE, ()))}, {START_STATE: 0.0}
-            weight = {START_STATE: 1.0}
+            opened, todo, total = [first], {first: after(first)}, {first: 0.0}
+            weight = {first: 1.0}
             while opened:
                 state = opened[-1]
                 step = next(todo[state], None)
@@ -241,8 +177,8 @@ def _memo_walk(descending: bool):
                     total[state] += q * stored[end]
                 else:
                     opened.append(end)
-                    todo[end], total[end], weight[end] = iter(after.get(end, ())), 0.0, q
-            return stored[START_STATE]
+                    todo[end], total[end], weight[end] = after(end), 0.0, q
+            return stored[first]
 
         return probability
 
