@@ -136,8 +136,12 @@ def dense(edges: pa.Table, states: np.ndarray, columns: np.ndarray) -> np.ndarra
     return out
 
 
-def panel_row(node: int, panel: int, states: np.ndarray, columns: np.ndarray, data: np.ndarray) -> dict:
-    return {"node": [node], "panel": [panel], "states": [states.tolist()], "columns": [columns.tolist()], "data": [data.tobytes()]}
+def panel_row(node: int, panel: int, states: np.ndarray, columns: np.ndarray, data: np.ndarray) -> dict[str, pa.Array]:
+    numbers = pa.list_(pa.int64())
+    return {
+        "node": pa.array([node]), "panel": pa.array([panel]), "states": pa.array([states], numbers),
+        "columns": pa.array([columns], numbers), "data": pa.array([data.tobytes()]),
+    }
 
 
 def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
