@@ -77,19 +77,26 @@ def test_invariants_sf001(spark):
     assert a == b
 
 
-def test_absorbing_by_joins_gives_the_same(spark, monkeypatch):
+def test_absorbing_by_panels_gives_the_same(spark, monkeypatch):
+    from creditpath.operators import absorbing as A
     from creditpath.operators import markov as M
 
     matrix = AttributionPlan.from_events(spark, SF0001).matrix.checkpoint()
     a = {r.removed_channel: r.conversion_probability for r in M.absorbing_probability(matrix).collect()}
-    monkeypatch.setattr(M, "MAX_EDGES", 3)
-    monkeypatch.setattr(M, "LEAST_MASS", 1e-9)
+    monkeypatch.setattr(A, "LOCAL_STATES", 2)
+    monkeypatch.setattr(A, "PANEL", 1)
     b = {r.removed_channel: r.conversion_probability for r in M.absorbing_probability(matrix).collect()}
     assert set(a) == set(b)
     for k in a:
-        assert a[k] == pytest.approx(b[k], abs=1e-8)
+        assert a[k] == pytest.approx(b[k], rel=1e-12)
+
+
+def test_memo_walk_refuses_more_edges_than_may_travel(spark, monkeypatch):
+    from creditpath.operators import markov as M
+
+    monkeypatch.setattr(M, "MAX_EDGES", 3)
     with pytest.raises(ValueError):
-        M.memo_walk_probability(matrix)
+        M.memo_walk_probability(AttributionPlan.from_events(spark, SF0001).matrix)
 
 
 def test_many_channels_on_sparse_edges(spark):
