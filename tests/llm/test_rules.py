@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from creditpath.llm import pii, quality, url_filters
 
+SF = "/root/testdata/sf0.01"
+
 
 def plain_counts(text):
     text = text or ""
@@ -193,3 +195,61 @@ def test_boosted_trees_separate_and_calibrate():
 
 def test_redaction_covers_overlaps():
     assert pii.redact("abcdefgh", [("ip", 1, 4), ("card", 2, 6)]) == "a[IP]gh"
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    return pii.learn(spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+VARIANTS = {
+    "jane.doe (at) example dot com": "email", "joe [at] mail.example.com": "email", "li_wei at river dot co dot uk": "email",
+    "(555) 555-1234": "phone", "555-867-5309": "phone", "0049 555.867.5309": "phone", "4111/1111/1111/1111": "card",
+    "5500_0000_0000_0004": "card", "10[.]20[.]30[.]4": "ip", "10 dot 20 dot 30 dot 4": "ip",
+}
+
+
+def test_every_kind_has_trees_and_adds_variants(spark, learned, make_docs):
+    """Variants in the middle of a sentence are added and redacted, base spans and digests stay as they are."""
+    assert set(learned) == set(pii.KINDS)
+    rows = [(i, f"one of them said {v} and jane@example.com was there") for i, v in enumerate(VARIANTS)]
+    got = {r.doc_id: r for r in pii.find_personal_data(make_docs(rows), learned).collect()}
+    plain = {r.doc_id: r for r in pii.find_personal_data(make_docs(rows), {}).collect()}
+    redacted = {r.doc_id: r.text for r in pii.redact_documents(make_docs(rows), learned).collect()}
+    for i, (value, kind) in enumerate(VARIANTS.items()):
+        assert f"{kind}:17:{17 + len(value)}" in got[i].spans and got[i].n_added == 1, (value, got[i].spans)
+        assert got[i].base_sha256 == plain[i].base_sha256 and got[i].n_email == 1 and plain[i].n_added == 0
+        assert redacted[i] == f"one of them said [{kind.upper()}] and [EMAIL] was there"
+
+
+def test_held_out_variants_and_other_numbers(spark, learned):
+    rng = random.Random(5)
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 300").limit(200).collect()]
+    found, wrong = dict.fromkeys(pii.KINDS, 0), 0
+    for i in range(800):
+        text = rng.choice(texts)
+        at = rng.choice([k for k, c in enumerate(text) if c == " "]) + 1
+        kind = pii.KINDS[i % 4]
+        for value, right in ((pii.rewritten(kind, pii.made_value(kind, rng), rng), True), (pii.made_other(rng), False)):
+            around = text[max(0, at - 100) : at] + value + " " + text[at : at + 100]
+            a, base = min(at, 100), pii.base_spans(around)
+            spans = [s for s in pii.all_spans(around, base, learned) if s[1] < a + len(value) and s[2] > a and s[1:] not in base[s[0]]]
+            if right:
+                found[kind] += (kind, a, a + len(value)) in spans
+            else:
+                wrong += bool(spans)
+    assert all(n >= 180 for n in found.values()), found
+    assert wrong <= 0.05 * sum(found.values())
+
+
+def test_given_documents_are_left_alone(spark, learned):
+    """The given texts hold base forms only; nothing is added to them."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    assert pii.find_personal_data(docs, learned).where("n_added > 0").count() <= 2
+
+
+def test_examples_of_one_document_do_not_name_the_base_form():
+    text = "write to jane@example.com or call +49 30 1234567 from 10.0.0.1 with 4111 1111 1111 1111 " * 3
+    rows = pii.examples(text, random.Random(1))
+    assert {k for k, right, _ in rows if right} == set(pii.KINDS) and {right for _, right, _ in rows} == {True, False}
+    assert pii.examples("", random.Random(1)) == []
