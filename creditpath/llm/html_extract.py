@@ -46,23 +46,24 @@ CLOSES = {
 #: Beyond these an implied end isn't looked for.
 BARRIERS = frozenset("ul ol dl table select article section div body html td th".split())
 ARTICLES = frozenset(["article", "main"])
-#: Words in an element's class or id that speak against it.
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sidebar|comments?|comment-?list|disqus\w*|replies|menu|nav|navbar|navigation|footer|header|"
-    r"masthead|cookies?|consent|notice|notification|promo|promoted|sponsor\w*|share|sharing|social|related|"
-    r"recommended|breadcrumbs?|popup|modal|newsletter|subscribe|widget|login|signup|search|toolbar|pagination|"
-    r"pager|skip|copyright)(?:[\s_-]|$)",
-    re.I,
+#: First or last words of a class or id that say what an element is, and that it isn't the article: no matter how long it is.
+OTHER_PARTS = frozenset(
+    "ad ads advert adverts advertisement advertising banner sponsor sponsors sponsored sidebar sidebars comment comments commentlist "
+    "disqus reply replies respond cookie cookies consent gdpr notice notices notification notifications menu menus nav navbar navigation "
+    "footer masthead breadcrumb breadcrumbs".split()
 )
+#: Those that an article's own container may have as well: out only where the page's best paragraphs stand elsewhere.
+DOUBTFUL = frozenset(
+    "header promo promoted share sharing social related recommended popup modal newsletter subscribe widget widgets login signup search "
+    "toolbar pagination pager skip copyright".split()
+)
+#: Before such a word these make it a remark on the layout: has-sidebar, content-with-sidebar.
+LAYOUT = frozenset("has have no not with without show hide".split())
+#: With these a header is the article's own.
+OWN_HEADER = frozenset("article content entry post story".split())
 #: Words in an element's class or id that speak for it.
 CONTENT = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text)(?:[\s_-]|$)", re.I)
 
-#: An element named like BOILERPLATE is left out with less text than this, or with most of it in links.
-SHORT_CHARS = 200
-MOSTLY_LINKS = 0.5
-#: One whose name speaks for it too is left out only if most of its text is in links, and in this many: a menu, not a title.
-MENU_LINKS = 3
-
 #: Ancestors that a paragraph passes points to, and the divisor at each step.
 SHARES = (1.0, 2.0, 6.0, 9.0, 12.0)
 #: A sibling of the best container is kept from this part of its score on.
@@ -76,6 +77,22 @@ TAIL = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 OWN_NAMES = re.compile(r"(?:^|\s)(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
+NEVER_DOUBTED = frozenset(["html", "body"]) | ARTICLES | HEADINGS
+
+
+def _doubt(names: str) -> int:
+    """How much an element's names speak against it; of a compound name the first and the last word count."""
+    worst = 0
+    for name in names.lower().split():
+        words = re.split(r"[-_]+", name)
+        for word in (words[0], words[-1]):
+            level = 2 if word in OTHER_PARTS else 1 if word in DOUBTFUL else 0
+            before = words[: words.index(word)]
+            if level and not LAYOUT.intersection(before) and not (word == "header" and OWN_HEADER.intersection(before)):
+                worst = max(worst, level)
+    return worst
+
+
 @dataclass
 class Tree:
     """Elements in page order; ``end`` is one past the last element inside."""
@@ -84,8 +101,8 @@ class Tree:
     parent: list[int] = field(default_factory=list)
     end: list[int] = field(default_factory=list)
     names: list[str] = field(default_factory=list)
-    #: Named like BOILERPLATE: a reason to doubt the element, not to leave it out.
-    doubted: list[bool] = field(default_factory=list)
+    #: 2 for an element named like OTHER_PARTS, 1 like DOUBTFUL, else 0.
+    doubted: list[int] = field(default_factory=list)
     dropped: list[bool] = field(default_factory=list)
     #: (element, text) and, with None for the text, the places where a block starts or ends.
     flow: list[tuple[int, str | None]] = field(default_factory=list)
@@ -104,7 +121,7 @@ def parse(page: str) -> Tree:
         t.parent.append(up)
         t.end.append(i + 1)
         t.names.append(names)
-        t.doubted.append(tag not in ("html", "body") and tag not in ARTICLES and bool(names) and bool(BOILERPLATE.search(names)))
+        t.doubted.append(_doubt(names) if names and tag not in NEVER_DOUBTED else 0)
         # an article's own header holds its title
         out = tag in DROPPED and not (tag == "header" and open_.get("article"))
         t.dropped.append(out or (up >= 0 and t.dropped[up]))
@@ -211,28 +228,61 @@ def parse(page: str) -> Tree:
 
 
 def _drop_doubted(t: Tree) -> None:
-    """Leaves out the doubted elements that are short or mostly links, the inner ones first."""
+    """Leaves out the elements whose names say that they are another part of the page.
+
+    A doubtful one stays if it holds the container with the best paragraphs.
+    One named like another part stays if no paragraph stands outside such
+    parts, or if it is a frame around the page: with the best paragraphs and
+    the page's main element or title inside.
+    """
+    n = len(t.tag)
+    mass = _own_points(t)
+    frames = [i for i in range(n) if t.tag[i] in ("main", "h1") and not t.dropped[i]]
+
+    def best(without: list[bool]) -> int:
+        return max((i for i in mass if not without[i]), key=lambda i: (mass[i], -i), default=-1)
+
+    at = best(t.dropped)
+    if at < 0:
+        return
+
+    def spread(out: list[bool]) -> list[bool]:
+        for i in range(1, n):
+            out[i] = out[i] or out[t.parent[i]]
+        return out
+
+    def frame(i: int) -> bool:
+        return i <= at < t.end[i] and any(i < f < t.end[i] for f in frames)
+
+    out = spread([t.dropped[i] or (t.doubted[i] == 2 and not frame(i)) for i in range(n)])
+    inner = best(out)
+    if inner < 0:
+        out, inner = list(t.dropped), at
+    t.dropped = spread([out[i] or (t.doubted[i] == 1 and not i <= inner < t.end[i]) for i in range(n)])
+
+
+def _own_points(t: Tree) -> dict[int, float]:
+    """Points that containers get from paragraphs right below them, less those for text in links."""
     n = len(t.tag)
-    length, link, links = [0] * n, [0] * n, [0] * n
+    length, link, commas = [0] * n, [0] * n, [0] * n
     for i, text in t.flow:
         if text and not t.dropped[i]:
             length[i] += len(text.strip())
-    for i in range(n - 1, 0, -1):  # children come after their parents
+            commas[i] += text.count(",")
+    for i in range(n - 1, 0, -1):
         if t.tag[i] == "a":
-            link[i], links[i] = length[i], 1
-        if t.doubted[i] and not t.dropped[i]:
-            linked = link[i] > MOSTLY_LINKS * length[i]
-            if CONTENT.search(t.names[i]):
-                t.dropped[i] = linked and links[i] >= MENU_LINKS
-            else:
-                t.dropped[i] = linked or length[i] < SHORT_CHARS
-        if not t.dropped[i]:
+            link[i] = length[i]
+        if t.tag[i] not in BLOCKS:
             p = t.parent[i]
             length[p] += length[i]
             link[p] += link[i]
-            links[p] += links[i]
-    for i in range(1, n):
-        t.dropped[i] = t.dropped[i] or t.dropped[t.parent[i]]
+            commas[p] += commas[i]
+    mass: dict[int, float] = {}
+    for i in range(n):
+        if t.tag[i] in BLOCKS and t.tag[i] not in LABELS and length[i] and not t.dropped[i]:
+            holder = max(t.parent[i], 0) if t.tag[i] in PARAGRAPHS else i
+            mass[holder] = mass.get(holder, 0.0) + (commas[i] + length[i] / 100) * (1 - link[i] / length[i])
+    return mass
 
 
 def _scores(t: Tree) -> tuple[dict[int, float], list[int], list[int]]:
@@ -286,18 +336,35 @@ def _scores(t: Tree) -> tuple[dict[int, float], list[int], list[int]]:
     return {i: s * (1 - link[i] / length[i]) for i, s in points.items() if length[i] and not t.dropped[i]}, length, link
 
 
+def _without(t: Tree, i: int, gone: list[int]) -> list[tuple[int, int]]:
+    """The range of an element less those of some elements in it."""
+    out, at = [], i
+    for g in sorted(gone):
+        if g >= at:
+            out.append((at, g))
+            at = t.end[g]
+    return [*out, (at, t.end[i])]
+
+
 def _kept(t: Tree) -> list[tuple[int, int]]:
     """Ranges of elements whose text is the article."""
     scores, length, link = _scores(t)
     whole = [i for i in range(len(t.tag)) if t.tag[i] in ARTICLES and not t.dropped[i]]
     if not scores:
         return [(i, t.end[i]) for i in whole[:1] or [0]]
-    best = max(scores, key=lambda i: (scores[i], -i))
+    best = inner = max(scores, key=lambda i: (scores[i], -i))
     up = best
     while up >= 0:  # sections of one article belong together
         if t.tag[up] in ARTICLES:
             best = up
         up = t.parent[up]
+    if t.tag[best] in ARTICLES:  # these say themselves what belongs to them; other articles in it are other stories
+        if t.tag[best] == "main":
+            held = [i for i in whole if best < i < t.end[best] and t.tag[i] == "article"]
+            # without one around the best paragraphs, the first of those that score best
+            own = [i for i in held if i <= inner < t.end[i]] or sorted(held, key=lambda i: (-scores.get(i, 0.0), i))[:1]
+            return _without(t, best, [i for i in held if not any(i == o or o < i < t.end[o] or i < o < t.end[i] for o in own)])
+        return [(best, t.end[best])]
     if t.parent[best] < 0 or t.tag[best] == "body":
         return [(best, t.end[best])]
     least = max(SIBLING_LEAST, SIBLING_SHARE * scores.get(best, 0.0))
@@ -307,17 +374,16 @@ def _kept(t: Tree) -> list[tuple[int, int]]:
     while i < t.end[p]:
         children.append(i)
         i = t.end[i]
-    alone = t.tag[best] in ARTICLES  # these say themselves what belongs to them
     loose = sum(len(text.strip()) for i, text in t.flow if i == p and text)
     inline = [i for i in children if t.tag[i] not in BLOCKS and not t.dropped[i]]
     run, run_links = loose + sum(length[i] for i in inline), sum(link[i] for i in inline)
     out = []
-    if not alone and run and run_links <= SIBLING_LINKS * run:  # text that stands between the siblings
+    if run and run_links <= SIBLING_LINKS * run:  # text that stands between the siblings
         out += [(p, p + 1), *((i, t.end[i]) for i in inline)]
     for i in children:
         if i == best or (not t.dropped[i] and scores.get(i, 0.0) >= least):
             out.append((i, t.end[i]))
-        elif not alone and not t.dropped[i] and not t.doubted[i] and t.tag[i] in BLOCKS and length[i]:
+        elif not t.dropped[i] and not t.doubted[i] and t.tag[i] in BLOCKS and length[i]:
             if t.tag[i] == "h1" or link[i] <= SIBLING_LINKS * length[i]:
                 out.append((i, t.end[i]))
     return out
@@ -357,7 +423,10 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """One row per page: the columns of ``keep``, text and n_chars. Repeated rows stay; other columns aren't read."""
+    """One row per page: the columns of ``keep``, text and n_chars.
+
+    Repeated rows stay; an empty table gives none; other columns aren't read.
+    """
     rows = pages.select(*keep, html_col)
 
     def run(batches):

@@ -105,6 +105,41 @@ def test_text_beside_the_best_container_and_loose_text(page, text):
     assert main_text(page).split("\n") == [" ".join(t.split()) for t in text]
 
 
+@pytest.mark.parametrize("size", [10, 500, 5_000])
+@pytest.mark.parametrize(
+    "names",
+    ["comments", "post-comments", "comment-content", "comment-list", "cookie-notice", "notice", "sidebar", "page-footer", "site-footer",
+     "sidebar-left", "article-replies", "ad", "ad-box", "main-menu", "disqus_thread", "entry related-posts ads", "consent"],
+)
+@pytest.mark.parametrize("tag", ["article", "main", 'div class="content"'])
+def test_other_parts_inside_the_container(tag, names, size):
+    """Whatever their length, also beyond the article's own."""
+    other = f'<div class="{names}"><p>{("Well, said, all of it. " * 400)[:size]}</p><p>More, of, it.</p></div>'
+    page = f"<body><{tag}><h1>Title</h1><p>{LONG}</p>{other}<p>{LONG}</p></{tag.split()[0]}></body>"
+    assert main_text(page).split("\n") == ["Title", LONG.strip(), LONG.strip()]
+
+
+@pytest.mark.parametrize("names", ["related", "social-share", "newsletter", "widget"])
+def test_doubtful_parts_stay_out_of_an_article(names):
+    page = f'<article><h1>Title</h1><p>{LONG}</p><div class="{names}"><p>Other, words, of the site.</p></div><p>{LONG}</p></article>'
+    assert main_text(page).split("\n") == ["Title", LONG.strip(), LONG.strip()]
+
+
+@pytest.mark.parametrize("names", ["sidebar", "menu wrapper", "notice"])
+def test_frame_around_the_page(names):
+    page = f'<body><div class="{names}"><main><h1>Title</h1><p>{LONG}</p></main></div><p>small, print</p></body>'
+    assert main_text(page).split("\n") == ["Title", LONG.strip()]
+
+
+def test_teasers_are_other_stories():
+    teaser = f"<article><h2>Another</h2><p>{LONG[:150]}</p><a href=x>more</a></article>"
+    text = f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></article>"
+    for page in (teaser + text, text + teaser, f"<main>{teaser}{text}{teaser}</main>", f"<div>{text}{teaser}</div>"):
+        assert main_text(f"<body>{page}</body>").split("\n") == ["Title", LONG.strip(), LONG.strip()]
+    page = f"<main><h1>Title</h1><article><p>{LONG}</p></article>{teaser}<p>End.</p></main>"
+    assert main_text(page).split("\n") == ["Title", LONG.strip(), "End."]
+
+
 def plain(page):
     m = re.search(r"<article>(.*?)(</article>|$)", page, re.S)
     parts = re.split(r"<p>|</p>|<h1>|</h1>", m.group(1) if m else "")
