@@ -5,7 +5,9 @@ by the direction between two random ones, at the median, down to small leaves.
 Every vector of the table is routed to its leaf in each tree. A query walks all
 trees through one priority queue of open nodes, nearest split first, until the
 leaves it has reached hold enough sample points; all vectors of these leaves
-are then scored exactly, in double precision.
+are then scored exactly, in double precision. How many are enough is measured
+on the sample: points of it are searched for their exact neighbours there, so
+that clustered vectors need few leaves and unstructured ones many.
 
 Equal vectors are indexed once, with the few smallest ids that any answer may
 need, so that a frequent vector isn't a large leaf. Leaves are scored in blocks
@@ -19,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,11 +33,16 @@ SAMPLE_VECTORS = 1 << 15
 SAMPLE_NUMBERS = 1 << 24
 #: A tree splits its points until none of its leaves holds more than one in LEAVES, whatever the sample's size.
 LEAVES = 128
-#: A query opens leaves until they hold this multiple of the sample's points and so many more, counted in every tree.
-SEARCH_SHARE = 1.2
+#: A query opens leaves until they hold so many of the sample's points, counted in every tree, that this share of
+#: the nearest of FIT_QUERIES sample points was reached, and SEARCH_MORE more.
+REACHED = 0.97
+FIT_QUERIES = 256
 SEARCH_MORE = 128
-#: Vectors or queries of one block.
+#: Vectors or queries of one block, and pairs whose products are held at once.
 BLOCK_ROWS = 4_096
+PAIRS_AT_ONCE = 1 << 14
+#: Of a query's length: more than what rounding may move a score by.
+MARGIN = 1e-9
 SEED = 7
 
 
@@ -99,7 +107,7 @@ def grow(x: np.ndarray, rng: np.random.Generator) -> Tree:
     )
 
 
-def open_leaves(query: np.ndarray, forest: list[Tree], points: int) -> list[tuple[int, int]]:
+def open_leaves(query: np.ndarray, forest: list[Tree], points: float) -> list[tuple[int, int]]:
     """(tree, leaf) in the order in which one queue over all trees reaches them."""
     queue = [(0.0, t, 0 if len(tree.child) else -1) for t, tree in enumerate(forest)]
     out, seen = [], 0
@@ -116,6 +124,25 @@ def open_leaves(query: np.ndarray, forest: list[Tree], points: int) -> list[tupl
     return out
 
 
+def budget(x: np.ndarray, forest: list[Tree], k: int) -> int:
+    """Sample points that leaves must hold for REACHED of the k nearest of some sample points to be among them."""
+    leaf_of = [tree.route(x) for tree in forest]
+    k = min(k, len(x) - 1)
+    needed = []
+    for q in range(min(len(x), FIT_QUERIES) if k else 0):  # rows stand in the order of a hash
+        score = x @ x[q]
+        score[q] = -np.inf
+        near = np.argpartition(-score, k - 1)[:k]
+        seen, reached = 0, np.full(k, -1)
+        for t, leaf in open_leaves(x[q], forest, np.inf):
+            reached[(reached < 0) & (leaf_of[t][near] == leaf)] = seen + 1
+            if (reached >= 0).all():
+                break
+            seen += forest[t].leaf_points[leaf]
+        needed.append(reached)
+    return int(np.quantile(np.concatenate(needed), REACHED)) + SEARCH_MORE if needed else SEARCH_MORE
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """id and v of the vectors that take part: of the most frequent length, finite and not zero."""
     v = F.col(vector_col).cast("array<double>")
@@ -132,16 +159,39 @@ def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
     return few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
-def fit(vectors: DataFrame) -> list[Tree]:
-    """The forest, from a bounded sample of the distinct vectors."""
+def fit(vectors: DataFrame, k: int) -> tuple[list[Tree], int]:
+    """The forest and how many points a search has to reach, from a bounded sample of the distinct vectors."""
     head = vectors.select(F.size("v").alias("n")).first()
     if head is None:
-        return []
+        return [], 0
     rows = max(1, min(SAMPLE_VECTORS, SAMPLE_NUMBERS // head["n"]))
     sample = vectors.select("v", F.xxhash64("v").alias("h")).orderBy("h", "v").limit(rows).select("v").toArrow()
     x = unit(np.array(sample.column("v").combine_chunks().flatten().to_numpy()).reshape(-1, head["n"]))
     rng = np.random.default_rng(SEED)
-    return [grow(x, rng) for _ in range(TREES)]
+    forest = [grow(x, rng) for _ in range(TREES)]
+    return forest, budget(x, forest, k)
+
+
+def best_of_each(a: np.ndarray, b: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of a, row of b and cosine of the k best rows of b for each of a; equal ones by the smaller ``first``.
+
+    A product of matrices picks all rows that may be among the k best, with a
+    margin for its rounding, so that no tie is cut before the exact scores.
+    """
+    a_norm, b_norm = np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1))
+    rough = (a @ b.T) / b_norm
+    k = min(k, len(b))
+    least = np.partition(rough, len(b) - k, axis=1)[:, len(b) - k] - MARGIN * a_norm
+    row, column = np.nonzero(rough >= least[:, None])
+    exact = np.empty(len(row))
+    for at in range(0, len(row), PAIRS_AT_ONCE):
+        i, j = row[at : at + PAIRS_AT_ONCE], column[at : at + PAIRS_AT_ONCE]
+        # the same sum for a pair in whichever tree it meets
+        exact[at : at + PAIRS_AT_ONCE] = (a[i] * b[j]).sum(1) / (a_norm[i] * b_norm[j])
+    order = np.lexsort((first[column], -exact, row))
+    row, column, exact = row[order], column[order], exact[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], column[place < k], exact[place < k]
 
 
 def _matrix(column) -> np.ndarray:
@@ -185,10 +235,8 @@ def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec
     """
     rows = cut(usable(vectors, id_col, vector_col))
     distinct = cut(distinct_vectors(rows, k + 1))
-    trees = fit(distinct)
+    trees, points = fit(distinct, k)
     forest = Shared(vectors.sparkSession, trees)
-    sample = sum(trees[0].leaf_points) if trees else 0
-    points = round(SEARCH_SHARE * sample) + SEARCH_MORE
     queries = rows.where(is_query(F.col("id"))).distinct()
 
     placed = _place(forest, distinct, "ids", "ids array<long>", None)
@@ -210,20 +258,9 @@ def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec
         if not v.num_rows or not q.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64())), pa.array([], pa.float64())], names=names)
         a, b = _matrix(q.column("v").combine_chunks()), _matrix(v.column("v").combine_chunks())
-        a_norm, b_norm = np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1))
-        rough = (a @ b.T) / b_norm
-        m = min(k + 1, rough.shape[1])
-        best = np.argpartition(-rough, m - 1, axis=1)[:, :m]
-        # the same sum for a pair in whichever tree it meets
-        exact = (a[:, None, :] * b[best]).sum(2) / (a_norm[:, None] * b_norm[best])
-        return pa.table(
-            [
-                q.column("id").take(pa.array(np.repeat(np.arange(len(a)), m))),
-                v.column("ids").take(pa.array(best.ravel())),
-                pa.array(exact.ravel()),
-            ],
-            names=names,
-        )
+        ids = v.column("ids").combine_chunks()
+        row, column, exact = best_of_each(a, b, pa.compute.list_element(ids, 0).to_numpy(), k + 1)
+        return pa.table([q.column("id").take(pa.array(row)), ids.take(pa.array(column)), pa.array(exact)], names=names)
 
     met = (
         left.groupBy(*key)

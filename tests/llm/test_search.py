@@ -41,7 +41,7 @@ def test_recall_at_every_size(n):
     rng = np.random.default_rng(ann.SEED)
     forest = [ann.grow(x, rng) for _ in range(ann.TREES)]
     leaf_of = [tree.route(x) for tree in forest]
-    points = round(ann.SEARCH_SHARE * n) + ann.SEARCH_MORE
+    points = ann.budget(x, forest, 5)
     hit = total = 0
     for q in range(0, n, max(1, n // 100)):
         score = x @ x[q]
@@ -70,6 +70,57 @@ def test_recall_of_larger_tables(spark, n):
     assert hit / (5 * (n // 50)) >= 0.94
 
 
+def clustered(n, seed):
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(64, 64))[rng.integers(0, 64, n)] * 3 + rng.normal(size=(n, 64))
+
+
+def test_clustered_vectors_need_a_falling_share():
+    shares = []
+    for n in (500, 4_000, 16_000):
+        x = ann.unit(clustered(n, 1))
+        rng = np.random.default_rng(ann.SEED)
+        forest = [ann.grow(x, rng) for _ in range(ann.TREES)]
+        leaf_of = [tree.route(x) for tree in forest]
+        points = ann.budget(x, forest, 5)
+        hit = scored = 0
+        for q in range(0, n, n // 100):
+            score = x @ x[q]
+            score[q] = -9
+            reached = np.zeros(n, bool)
+            for t, leaf in ann.open_leaves(x[q], forest, points):
+                reached |= leaf_of[t] == leaf
+            hit += reached[np.argsort(-score)[:5]].mean()
+            scored += reached.mean()
+        assert hit / len(range(0, n, n // 100)) >= 0.94
+        shares.append(scored / len(range(0, n, n // 100)))
+    assert shares[2] < 0.2 and shares[2] < shares[1] < shares[0]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ties_among_scaled_vectors(spark, seed):
+    """Vectors of one direction and different lengths: the smallest ids win, in whichever blocks they are."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=16)
+    x = rng.normal(size=(1_500, 16))
+    same = rng.choice(1_500, 400, replace=False)
+    x[same] = base * 2.0 ** rng.integers(-20, 20, 400)[:, None]
+    query = int(same[0])
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(vectors, lambda i: i == query).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == sorted(set(same.tolist()) - {query})[:5]
+
+
+def test_best_of_each_keeps_ties():
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(size=(20, 8)), np.repeat(rng.normal(size=(40, 8)), 3, axis=0) * 2.0 ** rng.integers(-5, 5, 120)[:, None]
+    first = rng.permutation(120)
+    row, column, score = ann.best_of_each(a, b, first, 7)
+    for i in range(20):
+        exact = (a[i] * b).sum(1) / (np.sqrt((a[i] * a[i]).sum()) * np.sqrt((b * b).sum(1)))
+        assert column[row == i].tolist() == np.lexsort((first, -exact))[:7].tolist()
+
+
 def test_odd_vectors_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
