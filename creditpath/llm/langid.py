@@ -8,8 +8,16 @@ all 256 bytes. With the counts frozen, a text's code length is the sum over its
 bytes; the language with the shortest code is predicted.
 
 Counts cover the whole corpus. A model keeps the entries with at least
-1/ENTRIES of a language's bytes, hence ENTRIES of them an order at most; what
-the rest has counted is part of its context's escape.
+1/ENTRIES of a language's bytes, hence ENTRIES of them an order at most (fewer
+where languages are many, ALL_ENTRIES in all); what the rest has counted is
+part of its context's escape. Any number of languages is taken: what a task
+holds besides the model doesn't grow with it.
+
+The score tells two things: how much likelier the language is than the others,
+and whether the text is as cheap to code as texts of that language are. The
+latter is judged by the mean and spread of bits a byte over all that was
+learned of the language, with room for short texts, so that gibberish and
+languages never seen get a low score.
 """
 
 from __future__ import annotations
@@ -28,8 +36,12 @@ from creditpath.llm.grams import Cache, Counter, windows
 ORDER = 3
 #: Entries of one order and language are at most this many.
 ENTRIES = 1 << 15
-#: More languages than this are refused, as the model travels to every task.
-MAX_LANGUAGES = 1_000
+ALL_ENTRIES = 1 << 20
+#: Numbers that are held at once for the languages of some grams.
+HELD = 1 << 22
+#: A text is as good as rejected from so many spreads of one byte's bits over the mean on, plus so many spreads of a text's mean.
+OVER_MEAN, OVER_TEXT = 1.0, 4.0
+STEEPNESS = 10.0
 UNKNOWN = "und"
 
 PAD = 0
@@ -66,21 +78,21 @@ def count_grams(docs: DataFrame) -> DataFrame:
     """lang, gram and count over all texts with a language and a letter; counted in the tasks first."""
 
     def run(batches):
-        counters: dict[str, Counter] = {}
+        names: dict[str, int] = {}  # a language's number stands above the gram's bytes
+        counter = Counter(20)
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for a, b, texts in batch_slices(batch):
-                by_lang: dict[str, list[str]] = {}
-                for lang, text in zip(langs[a:b], texts):
-                    if has_letter(text):
-                        by_lang.setdefault(lang, []).append(text)
-                for lang, own in by_lang.items():
-                    counters.setdefault(lang, Counter(18)).add(letter_grams(own)[0])
-        for lang, counter in counters.items():
-            gram, n = counter.result()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n)], names=["lang", "gram", "n"]
-            )
+                use = [i for i, t in enumerate(texts) if has_letter(t)]
+                if use:
+                    gram, count = letter_grams([texts[i] for i in use])
+                    of = np.array([names.setdefault(langs[a + i], len(names)) for i in use], np.int64)
+                    counter.add(gram | np.repeat(of, count) << 8 * (ORDER + 1))
+        key, n = counter.result()
+        lang = pa.DictionaryArray.from_arrays(pa.array(key >> 8 * (ORDER + 1), pa.int32()), pa.array(list(names), pa.string()))
+        yield pa.RecordBatch.from_arrays(
+            [lang.cast(pa.string()), pa.array(key & _mask(ORDER + 1)), pa.array(n)], names=["lang", "gram", "n"]
+        )
 
     learned = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     partial = learned.mapInArrow(run, "lang string, gram long, n long")
@@ -88,7 +100,9 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
 
 class Trees:
-    """Frozen statistics of one language: sorted entries and contexts of each order."""
+    """Frozen statistics of one language: sorted entries and contexts of each order; mean and spread of a byte's bits."""
+
+    mean, spread = 0.0, 1.0
 
     def __init__(self, entries: dict[int, tuple[np.ndarray, np.ndarray]], contexts: dict[int, tuple[np.ndarray, np.ndarray]]):
         self.entries, self.contexts = entries, {}
@@ -141,7 +155,9 @@ def _mask(size: int) -> int:
 def learn(docs: DataFrame) -> dict[str, Trees]:
     """Trees by language from all rows of ``docs``; null texts and languages teach nothing."""
     grams = cut(count_grams(docs))
-    least = grams.groupBy("lang").agg((F.sum("n") / ENTRIES).alias("least"))
+    n_langs = grams.select("lang").distinct().count()
+    entries_each = max(1, min(ENTRIES, ALL_ENTRIES // max(1, n_langs)))
+    least = grams.groupBy("lang").agg((F.sum("n") / entries_each).alias("least"))
     orders = F.explode(F.array(*[F.struct(F.lit(k).alias("order"), F.lit(_mask(k + 1)).alias("mask")) for k in range(ORDER + 1)]))
     entries = (
         grams.select("lang", "gram", "n", orders.alias("o"))
@@ -156,42 +172,92 @@ def learn(docs: DataFrame) -> dict[str, Trees]:
         .where(F.col("n") >= F.col("least"))
         .select("lang", "order", "what", "gram", "n")
     )
-    if least.count() > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages")
-    got = kept.toArrow().to_pandas()  # at most 2 * (ORDER + 1) * ENTRIES rows a language
+    got = kept.toArrow()  # at most 2 * (ORDER + 1) * ALL_ENTRIES rows
+    names, lang = np.unique(got.column("lang").to_numpy().astype(str), return_inverse=True)
+    what, order, gram, n = (got.column(c).to_numpy().astype(np.int64) for c in ("what", "order", "gram", "n"))
+    part = (lang * 2 + what) * (ORDER + 1) + order
+    by = np.lexsort((gram, part))
+    gram, n, edges = gram[by], n[by], np.searchsorted(part[by], np.arange(len(names) * 2 * (ORDER + 1) + 1))
     model = {}
-    for lang, of in got.groupby("lang"):
-        parts: list[dict] = [{}, {}]
-        for what in (0, 1):
-            for order in range(ORDER + 1):
-                rows = of[(of.order == order) & (of.what == what)].sort_values("gram")
-                parts[what][order] = (rows.gram.to_numpy(np.int64), rows.n.to_numpy(np.int64))
+    for k, name in enumerate(names.tolist()):
+        at = [slice(*edges[(2 * k) * (ORDER + 1) + i : (2 * k) * (ORDER + 1) + i + 2]) for i in range(2 * (ORDER + 1))]
+        parts = [{i: (gram[at[w * (ORDER + 1) + i]], n[at[w * (ORDER + 1) + i]]) for i in range(ORDER + 1)} for w in (0, 1)]
         # contexts without an entry of their own code nothing
-        for order in range(ORDER + 1):
-            context, total = parts[1][order]
-            own = np.isin(context, parts[0][order][0] >> 8)
-            parts[1][order] = (context[own], total[own])
-        model[lang] = Trees(*parts)
+        for i in range(ORDER + 1):
+            context, total = parts[1][i]
+            own = np.isin(context, parts[0][i][0] >> 8)
+            parts[1][i] = (context[own], total[own])
+        model[name] = Trees(*parts)
+    _measure(grams, model)
     return model
 
 
+def _measure(grams: DataFrame, model: dict[str, Trees]) -> None:
+    """Mean and spread of the bits of a byte, over all grams of each language."""
+    if not model:
+        return
+    shared = Shared(grams.sparkSession, model)
+
+    def run(batches):
+        trees = shared.value
+        for batch in batches:
+            names, lang = np.unique(batch.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+            gram, n = batch.column("gram").to_numpy(), batch.column("n").to_numpy()
+            sums = np.zeros((3, len(names)))
+            for k, name in enumerate(names.tolist()):
+                own = lang == k
+                bits = -trees[name].log2(gram[own])
+                sums[:, k] = n[own].sum(), (n[own] * bits).sum(), (n[own] * bits * bits).sum()
+            yield pa.RecordBatch.from_arrays([pa.array(names.tolist()), *map(pa.array, sums)], names=["lang", "n", "bits", "squares"])
+
+    sums = grams.sortWithinPartitions("lang").mapInArrow(run, "lang string, n double, bits double, squares double")
+    for r in sums.groupBy("lang").agg(F.sum("n").alias("n"), F.sum("bits").alias("bits"), F.sum("squares").alias("squares")).collect():
+        trees = model[r.lang]
+        trees.mean = r.bits / r.n
+        trees.spread = max(0.5, float(np.sqrt(max(0.0, r.squares / r.n - trees.mean**2))))
+
+
 def code_lengths(texts: list[str], model: dict[str, Trees], cache: Cache) -> Iterator[np.ndarray]:
     """Bits of each text in each language, in the model's order."""
+    for bits, _ in sized_code_lengths(texts, model, cache):
+        yield bits
+
+
+def sized_code_lengths(texts: list[str], model: dict[str, Trees], cache: Cache) -> Iterator[tuple[np.ndarray, int]]:
+    """Those bits, and the bytes that were coded."""
+    step = max(1, HELD // max(1, len(model)))
     for a, b in text_slices(texts):
         gram, count = letter_grams(texts[a:b])
         bits = np.zeros((b - a, len(model)))
-        some = np.flatnonzero(count)
-        if len(some):
-            begin = (np.cumsum(count) - count)[some]
-            bits[some] = -np.add.reduceat(cache(gram), begin, axis=0, dtype=np.float64)
-        yield from bits
+        of = np.repeat(np.arange(b - a), count)
+        for low in range(0, len(gram), step):
+            rows = of[low : low + step]
+            first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+            bits[rows[first]] -= np.add.reduceat(cache(gram[low : low + step]), first, axis=0, dtype=np.float64)
+        yield from zip(bits, count.tolist())
+
+
+def gram_cache(trees: dict[str, Trees]) -> Cache:
+    """Cache of all languages' values, with fewer slots the more languages there are."""
+    languages = list(trees.values())
+
+    def evaluate(grams: np.ndarray) -> np.ndarray:
+        return np.stack([t.log2(grams) for t in languages], 1)
+
+    return Cache(evaluate, len(languages), max(8, min(20, (2 * HELD // len(languages)).bit_length() - 1)))
+
+
+def fit(trees: Trees, bits: float, n: int) -> float:
+    """Near 1 for texts that cost what the language's own do, 0.5 at the limit, near 0 beyond."""
+    limit = trees.mean + trees.spread * (OVER_MEAN + OVER_TEXT / np.sqrt(n))
+    return float(1 / (1 + np.exp2(np.clip(STEEPNESS * (bits / n - limit) / trees.spread, -1000, 1000))))
 
 
 def identify(docs: DataFrame, model: dict[str, Trees], text_col: str = "text") -> DataFrame:
     """Adds lang_pred and score, replacing columns of these names; all other columns and rows stay.
 
     The score is the language's probability given the text, all languages
-    being equally likely before. A text that is null or has no letter, or any
+    being equally likely before, times how well the text fits it. A text that is null or has no letter, or any
     text if nothing was learned, is ``und`` with score 0. Equal code lengths go
     to the first language by name.
     """
@@ -201,15 +267,16 @@ def identify(docs: DataFrame, model: dict[str, Trees], text_col: str = "text") -
     def run(batches):
         trees = shared.value
         names = list(trees)
-        cache = Cache(lambda g: np.stack([t.log2(g) for t in trees.values()], 1), len(names)) if names else None
+        cache = gram_cache(trees) if names else None
         for batch in batches:
             best, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             for a, _, texts in batch_slices(batch, text_col):
                 known = [i for i, t in enumerate(texts) if names and has_letter(t)]
-                for i, bits in zip(known, code_lengths([texts[i] for i in known], trees, cache) if known else ()):
+                lengths = sized_code_lengths([texts[i] for i in known], trees, cache) if known else ()
+                for i, (bits, n) in zip(known, lengths):
                     k = int(bits.argmin())
                     best[a + i] = names[k]
-                    score[a + i] = 1 / np.exp2(np.maximum(bits[k] - bits, -1000.0)).sum()
+                    score[a + i] = fit(trees[names[k]], bits[k], n) / np.exp2(np.maximum(bits[k] - bits, -1000.0)).sum()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(best, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"]
             )

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from docs_fixture import make_docs  # noqa: F401
+from pyspark.sql import functions as F
 
 from creditpath.llm import ctw, grams, langid
 
@@ -231,3 +232,29 @@ def test_held_out_flag(spark, make_docs):
 
     for r in make_docs([(i, "") for i in range(50)]).select("doc_id", id_remainder("doc_id", 10).alias("m")).collect():
         assert r.m == zlib.crc32(str(r.doc_id).encode()) % 10
+
+
+def test_gibberish_gets_a_low_score(spark, make_docs):
+    """Texts of no learned language score low, those of a learned one high, held-out ones too."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = langid.learn(docs.where(~held_out))
+    scores = [r.score for r in langid.identify(docs.where(held_out & (F.length("text") >= 200)), model).collect()]
+    assert min(scores) > 0.5
+    rng = random.Random(3)
+    noise = ["".join(rng.choice("qwxzjkvbfgp") for _ in range(300)), " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(60)),
+             "Ж" * 30 + " щит и меч, который лежал на столе у окна " * 5]
+    found = langid.identify(make_docs(list(enumerate(noise))), model).collect()
+    assert all(r.score < 0.5 and r.lang_pred in model for r in found)
+
+
+def test_thousands_of_language_values(make_docs):
+    """A dirty lang column: every value is learned, and nothing is refused."""
+    rng = random.Random(4)
+    syllables = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(400)]
+    rows = [(i, " ".join("".join(rng.choices(syllables[i % 390 : i % 390 + 9], k=2)) for _ in range(12)), f"lang{i:04}") for i in range(2_500)]
+    model = langid.learn(make_docs(rows))
+    assert set(model) == {r[2] for r in rows}
+    some = make_docs(rows[::50])
+    found = langid.identify(some.drop("lang"), model).collect()
+    assert sum(r.lang_pred == f"lang{r.doc_id:04}" for r in found) >= 0.9 * len(found)
