@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,20 @@ class Shared:
         return pickle.loads(self.packed.value)
 
 
+def set_aside(df: DataFrame, names: set[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(df)`` with input columns that have one of these names renamed meanwhile, in whatever case they are written."""
+    taken = {c.lower() for c in df.columns} | names
+    away: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in names:
+            fresh = f"{c}_aside"
+            while fresh.lower() in taken:
+                fresh += "_"
+            taken.add(fresh.lower())
+            away[c] = fresh
+    return work(df.withColumnsRenamed(away)).withColumnsRenamed({v: k for k, v in away.items()}) if away else work(df)
+
+
 def id_remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus

@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditpath.llm.common import set_aside
+
 SPACES = " \t\n\x0b\f\r"
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -37,13 +39,22 @@ QUANTILES = 64
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
+#: Columns that are made on the way.
+MADE = {"__words", "__n_words", "__hashes", "__repeats", "__placed", "__lines"}
+
+
 def text_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds the five counts of COUNTS to every row; a null or empty text has zeros.
 
     Repeated words are found per row: three-word windows are hashed, and only
     where two hashes are equal are they sorted to mark the words they cover.
-    No row is exploded or shuffled, however long its text.
+    No row is exploded or shuffled, however long its text. Columns named like
+    a count are replaced; all others stay, whatever their names.
     """
+    return set_aside(docs, MADE, lambda own: _text_counts(own, text_col))
+
+
+def _text_counts(docs: DataFrame, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = docs.withColumn("__words", F.array_remove(F.split(text, SPACE_PATTERN), ""))
     out = out.withColumn("__n_words", F.size("__words").cast("long"))
@@ -222,7 +233,10 @@ def rejected_by(rules: list[Rule]) -> Column:
 def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Adds the counts, base_failed and kept to every row; columns of these names are replaced.
 
-    Without labels the list is empty and only the base rules reject.
+    Without labels the list is empty and only the base rules reject. A null or
+    empty text fails the base rules; repeated rows stay, each judged alike, and
+    so do rows with null ids; an empty table stays empty. Between conditions
+    that gain the same the first one tried is learned.
     """
     x, reject = labelled_statistics(docs, labels)
     rules = learn_rules(x, reject, list(statistics()))

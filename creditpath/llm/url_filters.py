@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditpath.llm.common import cut
+from creditpath.llm.common import cut, set_aside
 
 #: A cascade's bits travel inside the query; more than this many are refused.
 MAX_BITS = 1 << 26
@@ -141,8 +141,13 @@ def judge_urls(pages: DataFrame, rules=RULES, default: str = "allow", url_col: s
     The longest fitting rule wins; between equally long ones that with more
     host labels. A url that no rule fits gets ``default``. A null url, or one
     without ``://``, has an empty host and path and fits no rule. Repeated rows
-    stay; without rules or rows nothing is encoded.
+    stay; without rules or rows nothing is encoded. Columns named host, path,
+    rule or verdict are replaced; all others stay, whatever their names.
     """
+    return set_aside(pages, {"__keys", "__allow", "__block"}, lambda own: _judge_urls(own, rules, default, url_col))
+
+
+def _judge_urls(pages: DataFrame, rules, default: str, url_col: str) -> DataFrame:
     listed = {action: sorted({h + p for a, h, p in rules if a == action}) for action in ("allow", "block")}
     if both := set(listed["allow"]) & set(listed["block"]):
         raise ValueError(f"rules that allow and block: {sorted(both)}")

@@ -5,6 +5,7 @@ from docs_fixture import make_docs  # noqa: F401
 
 import __spark_entry__ as E
 import corpus_pipeline as P
+from creditpath.llm import ctw, quality, url_filters
 from creditpath.llm import queries as Q
 from oracle import compare, duck
 
@@ -70,3 +71,35 @@ def test_one_of_a_group_without_ids_stays(spark, make_docs):
     kept = P.keep_one_of_group(spark, make_docs(rows).drop("kept", "score", "__words", "_row", "root"), SF).collect()
     got = sorted((r.doc_id or 0, r.text) for r in kept)
     assert got in [sorted([(0, x), (0, other), (0, named), (3, named), (0, ""), (0, "")]) for x in (base, near)]
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_on_an_empty_table(spark, make_docs, k):
+    docs = make_docs([]).drop("kept", "score", "__words", "_row", "root")
+    out = P.STAGES[k][1](spark, docs, SF)
+    assert out.collect() == [] and (k == 4 or out.columns == docs.columns)
+
+
+def test_stages_on_null_and_repeated_rows(spark, make_docs):
+    long = " ".join(f"some plain words number {i} stand here" for i in range(20)) + " write to jane (at) river dot com now"
+    rows = [(1, long, "en"), (1, long, "en"), (None, long, "en"), (2, None, "en"), (3, "", "en"), (4, "12 34", "en")]
+    docs = make_docs(rows).drop("kept", "score", "__words", "_row", "root")
+    kept = P.keep_quality(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0) for r in kept) in ([], [0, 1, 1])
+    assert sorted((r.doc_id or 0) for r in P.keep_known_language(spark, docs, SF).collect()) == [0, 1, 1]
+    redacted = {(r.doc_id, r.text) for r in P.redact_personal_data(spark, docs, SF).collect()}
+    assert {(2, None), (3, ""), (4, "12 34")} < redacted and {len(t or "") for _, t in redacted} == {0, 5, len(long) - len("jane (at) river dot com") + 7}
+    pieces = P.pack_sequences(spark, docs, SF)
+    assert sorted(r.doc_id or 0 for r in pieces.where("start + length = doc_tokens").collect()) == [0, 1, 1, 2, 3, 4]
+
+
+def test_columns_of_clashing_names_stay(spark):
+    names = ["__words", "__HASHES", "__keys", "__allow", "_n", "__n_words", "__words_aside"]
+    docs = spark.createDataFrame([(1, "a b c " * 30, "http://x.net/es/", *names)], ["doc_id", "text", "url", *names])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for out in (
+        quality.judge_documents(docs, labels), url_filters.judge_urls(docs), ctw.score_documents(docs, docs.select("text")),
+    ):
+        (row,) = out.collect()
+        assert [row[n] for n in names] == names
+    assert row.n_tokens == 91
