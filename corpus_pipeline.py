@@ -18,7 +18,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the learned decision list keep."""
+    """Documents that the base rules and the learned decision list keep.
+
+    Null, empty and short texts fail the base rules and go; repeated rows and
+    those without an id are judged by their texts. No documents give none.
+    """
     judged = quality.judge_documents(docs.select(*COLUMNS), read_table(spark, sf_dir, "labels"))
     return judged.where(F.col("kept")).select(*COLUMNS)
 
@@ -31,7 +35,8 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents whose language is recognised; lang becomes the predicted one.
 
     The trees learn from the texts and languages of this stage's own input. A
-    text without a letter, or between languages, goes.
+    text without a letter, between languages, or unlike any of them goes;
+    without a language to learn from, all do. Repeated rows and null ids stay.
     """
     found = langid.identify(docs.select(*COLUMNS), langid.learn(docs.select("text", "lang")))
     kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
@@ -59,12 +64,20 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data in their texts replaced by its kind."""
+    """All documents, with personal data in their texts replaced by its kind.
+
+    Null texts stay null, empty ones empty; repeated rows and null ids stay; no
+    documents give none.
+    """
     return pii.redact_documents(docs.select(*COLUMNS)).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all remaining documents with their sequence and offset."""
+    """Pieces of all remaining documents with their sequence and offset.
+
+    A null or empty text is its end token alone; repeated rows and those
+    without an id are packed each; no documents give no pieces.
+    """
     return packing.pack(docs, RANKS)
 
 
