@@ -2,16 +2,22 @@
 
 Parquet tables have no MERGE. :func:`upsert` therefore computes the merged
 rows with a full outer join (source wins), writes them to a *new* folder below
-the table's own location, and then points the table at it with ``ALTER TABLE
-... SET LOCATION``: readers never see a half-written table and the files they
-read are not overwritten. The version before stays for them; older ones go. Catalogs that support ``MERGE INTO``
-(Delta, Iceberg) can use ``DataFrame.mergeInto`` instead (``method="merge"``).
+the table's own location, and commits that folder in a log beside it: entry
+``k + 1`` is made by a rename that fails if the entry is there, so of several
+writers that started from version ``k`` one commits, and the others merge again
+into the version they then find. The catalog is pointed at the last committed
+version with ``ALTER TABLE ... SET LOCATION``. Readers never see a half-written
+table; versions that they may still read stay for a retention time. Catalogs
+that support ``MERGE INTO`` (Delta, Iceberg) can use ``DataFrame.mergeInto``
+instead (``method="merge"``).
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,15 +96,78 @@ def table_location(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"]
 
 
-def _drop_old_versions(spark: SparkSession, root: str, keep: set[str]) -> None:
-    """Removes version folders other than those to keep."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith(VERSION[1:]) and name not in keep:
-            fs.delete(status.getPath(), True)
+LOG = "_commits"
+#: Seconds for which a version that was replaced, or never committed, stays.
+RETENTION_S = 3600.0
+#: Times that a merge is made anew because another writer was first.
+MAX_RETRIES = 20
+
+
+class VersionLog:
+    """Committed versions of a table, below its root folder: numbered files that name a version's folder."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.root = root.rstrip("/")
+        self.jvm = spark._jvm
+        self.conf = spark._jsc.hadoopConfiguration()
+        self.fs = self._path(self.root).getFileSystem(self.conf)
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(name)
+
+    def latest(self) -> tuple[int, str | None]:
+        """Number and folder of the last version; 0 and None before the first commit."""
+        folder = self._path(f"{self.root}/{LOG}")
+        if not self.fs.exists(folder):
+            return 0, None
+        numbers = [n for n in (x.getPath().getName() for x in self.fs.listStatus(folder)) if n.isdigit()]
+        return (int(max(numbers)), self._read(max(numbers))) if numbers else (0, None)
+
+    def _read(self, number: str) -> str:
+        stream = self.fs.open(self._path(f"{self.root}/{LOG}/{number}"))
+        try:
+            return f"{self.root}/{self.jvm.org.apache.commons.io.IOUtils.toString(stream, 'UTF-8')}"
+        finally:
+            stream.close()
+
+    def commit(self, number: int, version: str) -> bool:
+        """Makes entry ``number``; False if another writer has made it."""
+        draft = self._path(f"{self.root}/{LOG}/.{uuid.uuid4().hex}")
+        out = self.fs.create(draft)
+        out.write(bytearray(version.rpartition("/")[2].encode()))
+        out.close()
+        files = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(self.root).toUri(), self.conf)
+        options = self.jvm.org.apache.hadoop.fs.Options
+        rename = self.jvm.java.lang.reflect.Array.newInstance(options.Rename.NONE.getClass(), 1)
+        rename[0] = options.Rename.NONE  # never over an entry that is there
+        try:
+            files.rename(self.fs.makeQualified(draft), self.fs.makeQualified(self._path(f"{self.root}/{LOG}/{number:012}")), rename)
+            return True
+        except Py4JJavaError as e:
+            self.fs.delete(draft, False)
+            if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+                return False
+            raise
+
+    def clean(self, keep: int, retention_s: float) -> None:
+        """Removes folders of versions that no one of the last ``keep`` entries names and that are old enough."""
+        last = self.latest()[0]
+        named = {self._read(f"{n:012}") for n in range(max(1, last - keep + 1), last + 1)}
+        before = (time.time() - retention_s) * 1000
+        for status in self.fs.listStatus(self._path(self.root)):
+            name = status.getPath().getName()
+            if name.startswith(VERSION[1:]) and f"{self.root}/{name}" not in named and status.getModificationTime() <= before:
+                self.fs.delete(status.getPath(), True)
+
+
+def _publish(spark: SparkSession, table: str, log: VersionLog) -> None:
+    """Points the catalog at the last version; again, if one was committed meanwhile."""
+    while True:
+        number, version = log.latest()
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        if log.latest()[0] == number:
+            spark.catalog.refreshTable(table)
+            return
 
 
 def upsert(
@@ -108,12 +177,15 @@ def upsert(
     keys: list[str],
     method: str = "rewrite",
     prune: list[str] | None = None,
+    retention_s: float = RETENTION_S,
 ) -> DataFrame:
     """Update matching rows of ``table`` from ``source`` and insert the rest.
 
     ``prune`` names key columns: rows whose values there occur in the source,
     but which the source no longer has, are deleted (say, channels that a
-    refreshed model doesn't name any more).
+    refreshed model doesn't name any more). Writers may run side by side: each
+    one's rows are merged into what the one before has committed. The two last
+    versions stay, others for ``retention_s`` seconds.
     """
     # The source is read by the key check and by the merge: keep it for both
     # (upsert sources here are attribution rows, a few per channel and model).
@@ -135,20 +207,22 @@ def upsert(
             .merge()
         )
         return spark.table(table)
-    before = table_location(spark, table)
-    target = spark.table(table)
-    if prune:
-        target = target.join(source.select(*prune).distinct(), prune, "left_anti").select(*target.columns)
-    merged = merge_rows(target, source, keys)
-    root = before.split(VERSION)[0]
-    new = f"{root}{VERSION}{uuid.uuid4().hex[:12]}"
-    merged.write.mode("errorifexists").parquet(new)
-    if table_location(spark, table) != before:
-        raise RuntimeError(f"{table} was changed meanwhile; its rows were merged into {new} and not published")
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
-    spark.catalog.refreshTable(table)
-    _drop_old_versions(spark, root, {x.rpartition("/")[2] for x in (before, new)})
-    return spark.table(table)
+    root = table_location(spark, table).split(VERSION)[0]
+    log = VersionLog(spark, root)
+    columns = spark.table(table).columns
+    for _ in range(MAX_RETRIES):
+        number, version = log.latest()
+        # the log, not the catalog, says what the last version is
+        target = spark.read.parquet(version or root).select(*columns)
+        if prune:
+            target = target.join(source.select(*prune).distinct(), prune, "left_anti").select(*columns)
+        new = f"{root}{VERSION}{uuid.uuid4().hex[:12]}"
+        merge_rows(target, source, keys).write.mode("errorifexists").parquet(new)
+        if log.commit(number + 1, new):
+            _publish(spark, table, log)
+            log.clean(2, retention_s)
+            return spark.table(table)
+    raise RuntimeError(f"other writers were first {MAX_RETRIES} times; nothing was changed in {table}")
 
 
 def upsert_into_new_table(
