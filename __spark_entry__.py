@@ -20,6 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from creditpath.config import shared_dir  # noqa: E402
 from creditpath.functions.paths import register_sql_functions, terminal_state  # noqa: E402
 from creditpath.operators import transitions as TR  # noqa: E402
+from creditpath.operators.markov import simple_path_bounds  # noqa: E402
 from creditpath.plans.attribution import AttributionPlan  # noqa: E402
 from creditpath.sources import catalog as C  # noqa: E402
 from creditpath.sources.events import read_events, touches_from_events  # noqa: E402
@@ -195,6 +196,11 @@ def q_conversion_prob_simple_path(spark, sf):
     return _r(_plan(spark, sf).conversion_probability("simple_path"), "conversion_probability")
 
 
+def q_simple_path_bounds(spark, sf):
+    """Both bounds of the simple-path probability when walks under one in fifty aren't followed."""
+    return _r(simple_path_bounds(_plan(spark, sf).matrix, floor=0.02), "lower_bound", "upper_bound")
+
+
 def q_conversion_prob_memo_walk(spark, sf):
     return _r(_plan(spark, sf).conversion_probability("memo_walk"), "conversion_probability")
 
@@ -334,6 +340,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conversion_prob_absorbing": q_conversion_prob_absorbing,
     "conversion_prob_many_channels": q_conversion_prob_many_channels,
     "conversion_prob_simple_path": q_conversion_prob_simple_path,
+    "simple_path_bounds": q_simple_path_bounds,
     "conversion_prob_memo_walk": q_conversion_prob_memo_walk,
     "removal_effect": q_removal_effect,
     "removal_effect_simple_path": q_removal_effect_simple_path,
@@ -471,6 +478,15 @@ walks(removed_channel, state, visited, mass) AS (
       ON g.removed_channel IS NOT DISTINCT FROM w.removed_channel AND g.start_state = w.state
     WHERE w.state NOT IN ('Conversion', 'Null') AND NOT list_contains(w.visited, g.end_state)
 ),
+merged(removed_channel, state, visited, mass) AS (
+    SELECT removed_channel, 'Start', ['Start'], CAST(1.0 AS DOUBLE) FROM scen
+    UNION ALL
+    SELECT m.removed_channel, g.end_state, list_sort(list_append(m.visited, g.end_state)), sum(m.mass * g.transition_probability)
+    FROM merged m JOIN graph g
+      ON g.removed_channel IS NOT DISTINCT FROM m.removed_channel AND g.start_state = m.state
+    WHERE m.state <> 'Conversion' AND m.mass >= 0.02 AND g.end_state <> 'Null' AND NOT list_contains(m.visited, g.end_state)
+    GROUP BY ALL
+),
 simple_path AS (
     SELECT s.removed_channel,
            coalesce(sum(w.mass) FILTER (WHERE w.state = 'Conversion'), 0) AS conversion_probability
@@ -705,6 +721,13 @@ _ORACLES = {
         SELECT removed_channel, round(conversion_probability, 9) AS conversion_probability
         FROM simple_path
     """,
+    "simple_path_bounds": """
+        SELECT s.removed_channel,
+               round(coalesce(sum(mass) FILTER (WHERE state = 'Conversion'), 0), 9) AS lower_bound,
+               round(least(1, coalesce(sum(mass) FILTER (WHERE state = 'Conversion' OR mass < 0.02), 0)), 9) AS upper_bound
+        FROM scen s LEFT JOIN merged m ON m.removed_channel IS NOT DISTINCT FROM s.removed_channel
+        GROUP BY s.removed_channel
+    """,
     "conversion_prob_memo_walk": """
         SELECT removed_channel, round(conversion_probability, 9) AS conversion_probability
         FROM memo_walk

@@ -13,6 +13,7 @@ Conversion probability from ``Start`` has three policies:
     sum over walks that never repeat a state. Level-by-level frontier join;
     walks that share (visited set, current state) are merged each level, yet
     the frontier is exponential in the number of channels: for few channels.
+    :func:`simple_path_bounds` takes any number of them, for two bounds.
 ``memo_walk``
     a depth-first sum that keeps a state's value once it is left, with the
     next states visited in descending name order (values depend on it).
@@ -253,6 +254,52 @@ def simple_path_probability(matrix: DataFrame, checkpoint_every: int = 8) -> Dat
     )
 
 
+LOWER, UPPER = "lower_bound", "upper_bound"
+
+
+def simple_path_bounds(matrix: DataFrame, floor: float = 1e-4) -> DataFrame:
+    """``removed_channel, lower_bound, upper_bound`` of the simple-path probability, for every scenario.
+
+    Walks that share visited states and the current one are merged; what is
+    then less likely than ``floor`` isn't followed any further, and its mass,
+    the most that it could still have added, goes to the upper bound alone. A
+    level has at most 1 / ``floor`` such rows a scenario, however many channels
+    there are. With a floor of 0 both bounds are the probability.
+    """
+    if not 0 <= floor <= 1:
+        raise ValueError("the floor is a probability")
+    graph = scenario_graph(matrix)
+    checkpoint_root(graph.sparkSession)
+    edges = graph.where(F.col("end_state") != NULL_STATE).select(
+        F.coalesce(REMOVED, F.lit("")).alias("_r"), F.col("start_state").alias("state"),
+        F.col("end_state").alias("_e"), F.col("transition_probability").alias("_p"),
+    ).checkpoint()
+    scen = graph.select(REMOVED).distinct().withColumn("_r", F.coalesce(REMOVED, F.lit(""))).checkpoint()
+    none = F.array().cast("array<string>")
+    moving = scen.select("_r", F.lit(START_STATE).alias("state"), F.array(F.lit(START_STATE)).alias("visited"), F.lit(1.0).alias("mass"))
+    ended = scen.select("_r", F.lit(0.0).alias(LOWER), F.lit(0.0).alias("_cut"))
+    while True:
+        stepped = moving.join(edges, ["_r", "state"]).where(~F.array_contains("visited", F.col("_e"))).select(
+            "_r", F.col("_e").alias("state"),
+            F.when(F.col("_e") == CONVERSION_STATE, none)
+            .otherwise(F.array_sort(F.concat("visited", F.array("_e")))).alias("visited"),
+            (F.col("mass") * F.col("_p")).alias("mass"),
+        )
+        level = stepped.groupBy("_r", "state", "visited").agg(F.sum("mass").alias("mass")).checkpoint()
+        converted = F.col("state") == CONVERSION_STATE
+        small = ~converted & (F.col("mass") < floor)
+        now = level.groupBy("_r").agg(
+            F.sum(F.when(converted, F.col("mass")).otherwise(0.0)).alias(LOWER),
+            F.sum(F.when(small, F.col("mass")).otherwise(0.0)).alias("_cut"),
+        )
+        ended = ended.unionByName(now).groupBy("_r").agg(F.sum(LOWER).alias(LOWER), F.sum("_cut").alias("_cut")).checkpoint()
+        moving = level.where(~converted & ~small)
+        if moving.isEmpty():
+            break
+    upper = F.least(F.lit(1.0), F.col(LOWER) + F.col("_cut")).alias(UPPER)
+    return scen.join(ended, "_r").select(REMOVED, LOWER, upper)
+
+
 def conversion_probability(matrix: DataFrame, policy: str = "absorbing") -> DataFrame:
     if policy == "absorbing":
         return absorbing_probability(matrix)
