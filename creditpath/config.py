@@ -84,7 +84,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             # a machine-local folder would not survive the loss of this host
             raise RuntimeError(
                 "set spark.checkpoint.dir to a shared folder (HDFS, object store) "
