@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CONVERSION_STATE, NULL_STATE, START_STATE, checkpoint_root
@@ -102,16 +102,15 @@ def full_and_each(chain: np.ndarray, names: np.ndarray, with_full: bool) -> Iter
         yield from each_left_out(chain, names)
 
 
-def numbered_edges(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Channels with their numbers, and edges as numbers; -1 is Start, -2 Conversion, -3 what leads nowhere.
+def numbered_edges(matrix: DataFrame) -> tuple[DataFrame, int, DataFrame]:
+    """Channels with their numbers, how many there are, and edges as numbers; -1 is Start, -2 Conversion, -3 what leads nowhere.
 
-    Channels are numbered in the order of their names, by one task that sees
-    the names alone. An edge into a state that no edge leaves is one into Null.
+    Channels are numbered in the order of their names; the names alone pass
+    through the driver. An edge into a state that no edge leaves is one into Null.
     """
-    names = matrix.where(F.col("start_state") != START_STATE).select(F.col("start_state").alias("channel")).distinct()
-    names = names.where(~F.col("channel").isin(CONVERSION_STATE, NULL_STATE))
-    numbered = names.select("channel", (F.row_number().over(Window.orderBy("channel")) - 1).cast("long").alias("number"))
-    numbered = numbered.checkpoint()
+    names = matrix.where(~F.col("start_state").isin(START_STATE, CONVERSION_STATE, NULL_STATE)).select("start_state").distinct()
+    channels = sorted(r.start_state for r in names.collect())
+    numbered = matrix.sparkSession.createDataFrame(list(zip(channels, range(len(channels)))), "channel string, number long")
 
     def number(df: DataFrame, state: str, out: str):
         of = numbered.select(F.col("channel").alias(state), F.col("number").alias("_n"))
@@ -123,7 +122,7 @@ def numbered_edges(matrix: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = matrix.where(~F.col("start_state").isin(CONVERSION_STATE, NULL_STATE)).select(
         "start_state", "end_state", F.col("transition_probability").alias("p")
     )
-    return numbered, number(number(edges, "start_state", "i"), "end_state", "j").select("i", "j", "p")
+    return numbered, len(channels), number(number(edges, "start_state", "i"), "end_state", "j").select("i", "j", "p")
 
 
 def dense(edges: pa.Table, states: np.ndarray, columns: np.ndarray) -> np.ndarray:
@@ -223,20 +222,27 @@ def _compact(batches):
             yield pa.RecordBatch.from_pydict(panel_row(row["node"], panel, states, columns[use], data))
 
 
-def finish(panels: DataFrame) -> DataFrame:
-    """number and probability of every channel of every chain."""
+def finish(panels: DataFrame, several: bool) -> DataFrame:
+    """number and probability of every channel of every chain; a chain may have several panels."""
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["panel"] if r["panel"] >= 0 else 1 << 62)
-        parts = [unpacked(r) for r in rows]
+    def solve(rows: list[dict]) -> dict[str, pa.Array]:
+        parts = [unpacked(r) for r in sorted(rows, key=lambda r: r["panel"] if r["panel"] >= 0 else 1 << 62)]
         columns, chain = parts[0][1], np.concatenate([p[2] for p in parts])
         if parts[-1][0][-1] != -1:
             chain = np.concatenate([chain, np.zeros((1, chain.shape[1]))])  # nothing leaves Start
         np.fill_diagonal(chain[:, : len(columns)], 0)
         found = list(full_and_each(chain, columns, rows[0]["node"] & (rows[0]["node"] - 1) == 0))
-        return pa.table({"number": pa.array([c for c, _ in found], pa.int64()), "p": pa.array([p for _, p in found], pa.float64())})
+        return {"number": pa.array([c for c, _ in found], pa.int64()), "p": pa.array([p for _, p in found], pa.float64())}
 
-    return panels.groupBy("node").applyInArrow(run, "number long, p double")
+    def each(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_pydict(solve([row]))
+
+    schema = "number long, p double"
+    if not several:
+        return panels.mapInArrow(each, schema)
+    return panels.groupBy("node").applyInArrow(lambda table: pa.table(solve(table.to_pylist())), schema)
 
 
 def absorbing_probability(matrix: DataFrame, removed: str, probability: str) -> DataFrame:
@@ -247,8 +253,7 @@ def absorbing_probability(matrix: DataFrame, removed: str, probability: str) ->
     """
     checkpoint_root(matrix.sparkSession)
     matrix = matrix.select("start_state", "end_state", "transition_probability").checkpoint()
-    numbered, edges = numbered_edges(matrix)
-    n = numbered.count()
+    numbered, n, edges = numbered_edges(matrix)
     panels = to_panels(edges, n)
     sizes = {1: -(-n // PANEL)}
     while n > LOCAL_STATES and max(sizes.values()) * PANEL > LOCAL_STATES:
@@ -257,5 +262,5 @@ def absorbing_probability(matrix: DataFrame, removed: str, probability: str) ->
         halves, kept = halve(panels.where(F.col("node").isin(list(large))), large)
         panels = small.unionByName(halves)
         sizes = {k: s for k, s in sizes.items() if k not in large} | kept
-    found = finish(panels)
+    found = finish(panels, n > LOCAL_STATES)
     return found.join(numbered, "number", "left").select(F.col("channel").alias(removed), F.col("p").alias(probability))
