@@ -40,7 +40,7 @@ ALL_ENTRIES = 1 << 20
 #: Numbers that are held at once for the languages of some grams.
 HELD = 1 << 22
 #: A text is as good as rejected from so many spreads of one byte's bits over the mean on, plus so many spreads of a text's mean.
-OVER_MEAN, OVER_TEXT = 1.0, 4.0
+OVER_MEAN, OVER_TEXT = 1.2, 4.0
 STEEPNESS = 10.0
 UNKNOWN = "und"
 
