@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from creditpath.operators.sequence import bucket_of, ordered_scan, quantile_bounds
+from creditpath.operators.sequence import bucket_of, cut_points, hot_groups, is_hot, ordered_scan
 
 
 def _reference(df, group, order, carry, rank_value):
@@ -138,12 +138,53 @@ def test_hot_key_is_split_and_exact(spark):
                      F.row_number().over(w).cast("long").alias("seq"))
     assert _same(out.select(ref.columns), ref)
     # the windows' keys: (uid, bucket) spreads the hot rows about evenly
-    bounds = quantile_bounds(hot, "ts", n)
-    sizes = [r["count"] for r in hot.where("uid = 'hot'").groupBy(bucket_of(F.col("ts"), bounds)).count().collect()]
+    hashes, held, total = hot_groups(hot, ["uid"], n)
+    mine = hot.where(is_hot(["uid"], hashes))
+    assert total == hot.count() and held == mine.count() and [r.uid for r in mine.select("uid").distinct().collect()] == ["hot"]
+    bounds = cut_points(mine, ["ts", "event_id"], n, held)
+    sizes = [r["count"] for r in mine.groupBy(bucket_of(F.struct("ts", "event_id"), bounds)).count().collect()]
     assert len(sizes) == n
     assert max(sizes) <= 2 * sum(sizes) / n
 
 
+def test_hot_group_of_one_timestamp_is_dealt_out(spark):
+    """Half of the rows are one group's, all at one time: they are cut by the event id; ranks stay shared."""
+    ev = spark.read.parquet(f"{SF0001}/events.parquet").where("event_id % 7 > 0")
+    same = F.to_timestamp(F.lit("2024-01-05 10:00:00")).cast("timestamp_ntz")
+    tied = ev.select(
+        F.when(F.col("event_id") % 2 == 0, "hot").otherwise(F.col("user_id").cast("string")).alias("uid"),
+        F.when(F.col("event_id") % 2 == 0, same).otherwise(F.col("ts")).alias("ts"), "event_id", "event_type",
+    )
+    hashes, held, _ = hot_groups(tied, ["uid"], 16)
+    bounds = cut_points(tied.where(is_hot(["uid"], hashes)), ["ts", "event_id"], 8, held)
+    sizes = [r["count"] for r in tied.where("uid = 'hot'").groupBy(bucket_of(F.struct("ts", "event_id"), bounds)).count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * sum(sizes) / 8
+    out = ordered_scan(tied, ["uid"], ["ts", "event_id"], ["event_type"], seq_col="seq", dense_rank_col="dr",
+                       rank_value="ts", num_partitions=16)
+    ref = _reference(tied, ["uid"], ["ts", "event_id"], ["event_type"], "ts")
+    assert _same(out.select(ref.columns), ref)
+
+
+@pytest.mark.parametrize("kind", ["binary", "date", "double", "decimal(12,3)", "timestamp"])
+def test_cut_points_of_every_type(spark, kind):
+    df = spark.range(2000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("n"), "id")
+    value = {"binary": F.col("n").cast("string").cast("binary"), "date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("n").cast("int")),
+             "timestamp": F.timestamp_seconds(F.col("n") * 3600)}.get(kind, (F.col("n") / 8).cast(kind))
+    df = df.withColumn("t", value).drop("n")
+    out = ordered_scan(df, ["g"], ["t", "id"], ["id"], seq_col="seq", dense_rank_col="dr", rank_value="t", num_partitions=6)
+    ref = _reference(df, ["g"], ["t", "id"], ["id"], "t")
+    assert _same(out.select(ref.columns), ref)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan  # both groups are hot
+
+
+def test_cold_groups_run_one_plain_window(spark):
+    ev = spark.read.parquet(f"{SF0001}/events.parquet")
+    out = ordered_scan(ev, ["user_id"], ["ts", "event_id"], ["event_type"], seq_col="seq", num_partitions=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_plan_shuffles_rows_once_and_keeps_nothing(spark):
     ev = spark.read.parquet(f"{SF0001}/events.parquet")
     out = ordered_scan(ev, ["user_id"], ["ts", "event_id"], ["event_type"], seq_col="seq")
