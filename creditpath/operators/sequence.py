@@ -54,29 +54,36 @@ def is_hot(group: Sequence[str], hot: list[int]) -> Column:
     return F.xxhash64(*group).isin(hot)
 
 
-def cut_points(rows: DataFrame, order: Sequence[str], buckets: int, n: float) -> list[Column]:
-    """At most ``buckets - 1`` ascending order keys that cut the ``n`` rows into about equal parts."""
+def quantile_cuts(rows: DataFrame, order: Sequence[str], buckets: int, n: float) -> dict[int, Column]:
+    """Ascending order keys that cut the ``n`` rows into about ``buckets`` equal parts, by their (first) place in 1 .. buckets - 1."""
     if buckets < 2:
-        return []
+        return {}
     types = dict(rows.dtypes)
     keys = rows.select(*order)
     drawn = keys.sample(min(1.0, buckets * DRAWN / max(n, 1)), seed=7) if n > buckets * DRAWN else keys
     # as text, which every type below gives back exactly and without the driver's time zone
     text = [(F.base64(c) if types[c] == "binary" else F.col(c).cast("string")).alias(f"_{i}") for i, c in enumerate(order)]
     sample = drawn.orderBy(*order).select(*text).collect()  # about DRAWN rows for each bucket
-    chosen = dict.fromkeys(tuple(sample[k * len(sample) // buckets]) for k in range(1, buckets)) if sample else {}
-    return [
-        F.struct(*[(F.unbase64(F.lit(v)) if types[c] == "binary" else F.lit(v).cast(types[c])).alias(c) for c, v in zip(order, key)])
-        for key in chosen
-    ]
+    first: dict[tuple, int] = {}
+    for k in range(1, buckets if sample else 0):
+        first.setdefault(tuple(sample[k * len(sample) // buckets]), k)
+    return {
+        k: F.struct(*[(F.unbase64(F.lit(v)) if types[c] == "binary" else F.lit(v).cast(types[c])).alias(c) for c, v in zip(order, key)])
+        for key, k in first.items()
+    }
+
+
+def cut_points(rows: DataFrame, order: Sequence[str], buckets: int, n: float) -> list[Column]:
+    """At most ``buckets - 1`` ascending order keys that cut the ``n`` rows into about equal parts."""
+    return list(quantile_cuts(rows, order, buckets, n).values())
 
 
-def bucket_of(value: Column, bounds: list[Column]) -> Column:
-    """Number of bounds that are not above the value, by halving."""
+def bucket_of(value: Column, bounds: list[Column], places: Sequence[int] | None = None) -> Column:
+    """Number of bounds that are not above the value, by halving; or, with ``places``, the place of the last of these, else 0."""
 
     def between(low: int, high: int) -> Column:
         if low == high:
-            return F.lit(low)
+            return F.lit(low if places is None or low == 0 else places[low - 1])
         middle = (low + high) // 2
         return F.when(value >= bounds[middle], between(middle + 1, high)).otherwise(between(low, middle))
 
