@@ -26,8 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditpath.config import default_partitions
 from creditpath.llm.common import batch_slices, cut
 from creditpath.llm.components import components
+from creditpath.operators.sequence import hot_groups, is_hot
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -304,6 +306,24 @@ def link_large_buckets(rows: DataFrame) -> DataFrame:
     return pairs.groupBy("path", "i", "j").applyInArrow(run, _LINKS)
 
 
+def _with_sizes(rows: DataFrame) -> DataFrame:
+    """Rows of paths that several sets share, with the number n of these.
+
+    Rows of frequent paths, which a sketch of the whole table finds, are dealt
+    over tasks by their keys, each of which meets a copy of the path's size.
+    """
+    counts = rows.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    tasks = default_partitions(rows.sparkSession)
+    hot, _, _ = hot_groups(rows, ["path"], 4 * tasks)  # those that hold a quarter of a task's share
+    if not hot:
+        return rows.join(counts, "path")
+    frequent = is_hot(["path"], hot)
+    own = F.when(frequent, F.pmod(F.xxhash64("key"), F.lit(tasks)).cast("int")).otherwise(0)
+    copies = F.when(frequent, F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
+    spread = counts.select("path", "n", F.explode(copies).alias("_part"))
+    return rows.withColumn("_part", own).join(spread, ["path", "_part"]).drop("_part")
+
+
 def candidate_links(sets: DataFrame) -> DataFrame:
     """Links (a, b) whose components hold every pair of sets that met in a bucket and looks alike.
 
@@ -318,8 +338,7 @@ def candidate_links(sets: DataFrame) -> DataFrame:
     links = []
     for level in range(LEVELS):
         rows = cut(rows)
-        counts = rows.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-        met = cut(rows.join(counts, "path"))
+        met = cut(_with_sizes(rows))
         small = met.where(F.col("n") <= BUCKET_SETS).join(describe, "key").select("path", "key", "sketch", "size")
         links.append(cut(link_small_buckets(small).distinct()))
         large = met.where(F.col("n") > BUCKET_SETS)
