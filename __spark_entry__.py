@@ -8,6 +8,7 @@ both sides; arrays are shown as text so both engines print them alike.
 
 from __future__ import annotations
 
+import datetime
 import os
 import sys
 from collections.abc import Callable
@@ -23,6 +24,8 @@ from creditpath.operators import transitions as TR  # noqa: E402
 from creditpath.operators.markov import simple_path_bounds  # noqa: E402
 from creditpath.plans.attribution import AttributionPlan  # noqa: E402
 from creditpath.sources import catalog as C  # noqa: E402
+from creditpath.sources import layout as LY  # noqa: E402
+from creditpath.sources import validated as VW  # noqa: E402
 from creditpath.sources.events import read_events, touches_from_events  # noqa: E402
 from creditpath.streaming import ingest as S  # noqa: E402
 
@@ -274,6 +277,37 @@ def q_clustered_journey(spark, sf):
     return C.write_clustered(spark, _plan(spark, sf).user_journey, ["uid", "seq"], name="gold_user_journey")
 
 
+def q_zorder_journey(spark, sf):
+    """The journeys in files along a Z-order curve over uid and channel, read back."""
+    out = shared_dir(spark, "zorder_journey")
+    rows = _plan(spark, sf).user_journey.checkpoint()
+    LY.z_ordered(rows, ["uid", "channel"], 16).write.parquet(out)
+    return spark.read.parquet(out)
+
+
+def q_optimized_events(spark, sf):
+    """Events of the middle half of the user ids in one week, from those files of an optimized table that may hold them."""
+    table = f"events_{shared_dir(spark, 'x').rpartition('-')[2]}"
+    path = shared_dir(spark, table)
+    C.save_once(read_events(spark, sf).select("event_id", "user_id", "ts", "event_type"), table, path=path)
+    keys = ["user_id", "ts"]
+    rows = LY.optimize_table(spark, table, keys, max(1, LY.folder_bytes(spark, path) // 24))
+    least, most = rows.agg(F.min("user_id"), F.max("user_id")).first()
+    quarter = ((most or 0) - (least or 0)) // 4
+    users = ((least or 0) + quarter, (most or 0) - quarter)
+    week = datetime.datetime(2024, 1, 8), datetime.datetime(2024, 1, 14, 23, 59, 59, 999999)
+    return LY.read_files(rows, LY.file_ranges(rows, keys), {"user_id": users, "ts": week})
+
+
+def q_validated_write(spark, sf):
+    """Rows of either side of one validated write, with the counts that the write itself took."""
+    out = VW.write_validated(_dirty_plan(spark, sf).raw_touches.drop("prev_touch"), shared_dir(spark, "validated"), max_rejected=0.9)
+    counted = F.create_map(*[x for r, n in out.reasons.items() for x in (F.lit(r), F.lit(n).cast("long"))])
+    n_good = F.lit(out.n_rows - sum(out.reasons.values())).cast("long")
+    good = out.good.withColumn("reject_reason", F.lit(None).cast("string")).withColumn("n_alike", n_good)
+    return good.unionByName(out.rejected.withColumn("n_alike", counted[F.col("reject_reason")]))
+
+
 def _plain_touches(spark, sf):
     return _plan(spark, sf).touches.select("uid", "channel", "time", "conversion")
 
@@ -351,6 +385,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attribution_pivot": q_attribution_pivot,
     "attribution_upsert": q_attribution_upsert,
     "clustered_journey": q_clustered_journey,
+    "zorder_journey": q_zorder_journey,
+    "optimized_events": q_optimized_events,
+    "validated_write": q_validated_write,
     "stream_ingest": q_stream_ingest,
     "header_stream": q_header_stream,
     "mixed_headers": q_mixed_headers,
@@ -784,6 +821,17 @@ _ORACLES = {
         SELECT attribution_model, channel, round(attribution_percent, 9) FROM markov
     """,
     "clustered_journey": "SELECT * FROM user_journey",
+    "zorder_journey": "SELECT * FROM user_journey",
+    "optimized_events": """
+        SELECT event_id, user_id, ts, event_type
+        FROM events, (SELECT min(user_id) AS least, max(user_id) AS most FROM events) AS ids
+        WHERE user_id BETWEEN least + (most - least) // 4 AND most - (most - least) // 4
+          AND ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'
+    """,
+    "validated_write": f"""
+        SELECT uid, channel, time, conversion, event_id, reject_reason, count(*) OVER (PARTITION BY reject_reason) AS n_alike
+        FROM ({_DIRTY} SELECT * FROM judged)
+    """,
     "stream_ingest": "SELECT uid, channel, time, conversion FROM touches",
     "header_stream": "SELECT uid, channel, time, conversion FROM touches",
     "mixed_headers": "SELECT uid, channel, time, conversion FROM touches",

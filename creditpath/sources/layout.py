@@ -63,32 +63,36 @@ def file_ranges(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _between(column: Column, low, high) -> Column:
-    tests = ([column >= F.lit(low)] if low is not None else []) + ([column <= F.lit(high)] if high is not None else [])
+def _literal(value, kind: str) -> Column:
+    """A bound; a naive datetime for a column without a time zone keeps its wall clock."""
+    return F.lit(str(value)).cast(kind) if kind == "timestamp_ntz" else F.lit(value)
+
+
+def _between(column: Column, bounds: tuple, kind: str) -> Column:
+    low, high = bounds
+    tests = [] if low is None else [column >= _literal(low, kind)]
+    tests += [] if high is None else [column <= _literal(high, kind)]
     return reduce(lambda a, b: a & b, tests, column.isNotNull())
 
 
 def files_for(ranges: DataFrame, wanted: dict[str, tuple]) -> list[str]:
     """Files that may hold rows with every wanted key between its bounds; a bound that is None is open."""
+    kinds = dict(ranges.dtypes)
     meets = F.lit(True)
     for k, (low, high) in wanted.items():
-        meets = meets & F.col(f"least_{k}").isNotNull()
-        if low is not None:
-            meets = meets & (F.col(f"most_{k}") >= F.lit(low))
-        if high is not None:
-            meets = meets & (F.col(f"least_{k}") <= F.lit(high))
+        least, most = f"least_{k}", f"most_{k}"
+        meets = meets & _between(F.col(most), (low, None), kinds[most]) & _between(F.col(least), (None, high), kinds[least])
     # a name for each file, as in the listing that Spark's reader makes on the driver
     return [r.file for r in ranges.where(meets).select("file").orderBy("file").collect()]
 
 
 def read_files(df: DataFrame, ranges: DataFrame, wanted: dict[str, tuple]) -> DataFrame:
     """Rows of ``df``, a table read from Parquet files, with every wanted key between its bounds, from the files that may hold them."""
-    spark = df.sparkSession
     found = files_for(ranges, wanted)
     if not found:
         return df.limit(0)
-    rows = spark.read.schema(df.schema).parquet(*found)
-    return rows.where(reduce(lambda a, b: a & b, [_between(F.col(k), *bounds) for k, bounds in wanted.items()]))
+    rows, kinds = df.sparkSession.read.schema(df.schema).parquet(*found), dict(df.dtypes)
+    return rows.where(reduce(lambda a, b: a & b, [_between(F.col(k), bounds, kinds[k]) for k, bounds in wanted.items()]))
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
