@@ -123,6 +123,15 @@ class VersionLog:
         numbers = [n for n in (x.getPath().getName() for x in self.fs.listStatus(folder)) if n.isdigit()]
         return (int(max(numbers)), self._read(max(numbers))) if numbers else (0, None)
 
+    def has(self, number: int) -> bool:
+        return self.fs.exists(self._path(f"{self.root}/{LOG}/{number:012}"))
+
+    def folders(self) -> list[str]:
+        """Folders of all entries, in their order."""
+        log = self._path(f"{self.root}/{LOG}")
+        names = [x.getPath().getName() for x in self.fs.listStatus(log)] if self.fs.exists(log) else []
+        return [self._read(n) for n in sorted(names) if n.isdigit()]
+
     def _read(self, number: str) -> str:
         stream = self.fs.open(self._path(f"{self.root}/{LOG}/{number}"))
         try:

@@ -10,14 +10,17 @@ checkpoint this gives each row once.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..config import shared_dir
 from ..functions.typing import type_touch_columns
+from ..sources.catalog import VERSION, VersionLog
 from ..sources.files import CORRUPT, SOURCE_FILE, read_touch_csv, text_lines, touches_by_header
 
 BATCH_ID = "batch_id"
@@ -53,6 +56,36 @@ def parquet_batch_writer(path: str, quarantine: str | None = None) -> Callable[[
     return write
 
 
+def committed_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: batch ``k`` is staged in a folder of its own, then committed as entry ``k + 1`` of a log.
+
+    Its good rows and its quarantined lines become visible together, and only
+    whole, to :func:`read_committed`. An attempt that fails leaves nothing
+    visible; a batch that is replayed after its commit is not written again.
+    A path belongs to one stream checkpoint.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        log = VersionLog(batch.sparkSession, path)
+        if log.has(batch_id + 1):
+            return
+        staged = f"{path.rstrip('/')}{VERSION}batch-{batch_id}-{uuid.uuid4().hex[:12]}"
+        good, bad = _parted(batch)
+        good.write.parquet(f"{staged}/data")
+        if bad is not None:
+            bad.write.parquet(f"{staged}/quarantine")
+        if not log.commit(batch_id + 1, staged):  # another attempt was first
+            log.fs.delete(log._path(staged), True)
+
+    return write
+
+
+def read_committed(spark: SparkSession, path: str, schema: StructType, part: str = "data") -> DataFrame:
+    """Rows of all batches committed so far; ``part`` is ``data`` or ``quarantine`` (of rows in the given schema)."""
+    folders = [f"{folder}/{part}" for folder in VersionLog(spark, path).folders()]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 def jdbc_batch_writer(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: batch ``k`` goes to a table of its own, ``<table>_batch_k``, overwritten.
 
