@@ -1,5 +1,6 @@
 """Language identification and context-tree weighting against direct computations."""
 
+import functools
 import math
 import random
 import zlib
@@ -177,6 +178,86 @@ def test_pruned_trees_still_code_every_context(make_docs, monkeypatch):
         assert (10 ** model.log10(codes)).sum() == pytest.approx(1.0)
 
 
+def plain_trees(texts):
+    """log10 probability of a byte after its context, by counts of every context and recursion over all of them."""
+    counts, longer = defaultdict(lambda: [0, 0]), defaultdict(set)
+    for t in texts:
+        data = bytes([ctw.PAD]) * ctw.DEPTH + ctw.BLANK.join([*ctw.words_of(t), ctw.END])
+        for i in range(ctw.DEPTH, len(data)):
+            for bit in range(8):
+                prefix = 1 << bit | data[i] >> (8 - bit)
+                for d in range(ctw.DEPTH + 1):
+                    counts[data[i - d : i], prefix][data[i] >> (7 - bit) & 1] += 1
+                    if d < ctw.DEPTH:
+                        longer[data[i - d : i], prefix].add(data[i - d - 1 : i])
+
+    def log_kt(a, b):
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    @functools.cache
+    def weighted(context, prefix):
+        own = log_kt(*counts[context, prefix])
+        if len(context) == ctw.DEPTH:
+            return own
+        return math.log(0.5) + np.logaddexp(own, sum(weighted(c, prefix) for c in sorted(longer[context, prefix])))
+
+    def one(path, prefix, d):
+        context = path[len(path) - d :]
+        a, b = counts[context, prefix]
+        own = (b + 0.5) / (a + b + 1)
+        if d == ctw.DEPTH or (path[len(path) - d - 1 :], prefix) not in counts:
+            return own
+        stop = math.exp(math.log(0.5) + log_kt(a, b) - weighted(context, prefix))
+        return stop * own + (1 - stop) * one(path, prefix, d + 1)
+
+    def log10(path, byte):
+        out = 0.0
+        for bit in range(8):
+            prefix = 1 << bit | byte >> (8 - bit)
+            p = one(path, prefix, 0) if (b"", prefix) in counts else 0.5
+            out += math.log10(p if byte >> (7 - bit) & 1 else 1 - p)
+        return out
+
+    return log10
+
+
+def rare_texts():
+    random.seed(9)
+    common = ["the cat sat on the mat " * 60] * 5
+    return common + [" ".join("".join(random.choices("abcdeé", k=random.randint(1, 7))) for _ in range(25)) for _ in range(12)] + [None, ""]
+
+
+@pytest.mark.parametrize("nodes", [16, 200, 1 << 40])
+def test_rare_contexts_stay_in_the_tree(make_docs, monkeypatch, nodes):
+    """Contexts seen once count like all others, in however many parts the tree is weighed."""
+    monkeypatch.setattr(ctw, "NODES", nodes)
+    texts = rare_texts()
+    model, plain = ctw.learn(make_docs(list(enumerate(texts)))), plain_trees(texts)
+    probes = [ctw.BLANK.join([*ctw.words_of(t), ctw.END]) for t in [*texts[4:], "never seen Ünd 123", "eé the"]]
+    probes = sorted({(bytes([ctw.PAD]) * ctw.DEPTH + p)[i : i + ctw.DEPTH + 1] for p in probes for i in range(len(p))})
+    got = model.log10(np.array([int.from_bytes(p, "big") for p in probes]))
+    assert got == pytest.approx([plain(p[:-1], p[-1]) for p in probes], rel=1e-9)
+    assert (len(model.bounds) > 10) == (nodes == 16) and (len(model.bounds) == 0) == (nodes == 1 << 40)
+
+
+@pytest.mark.parametrize("held", [0, 40, 1 << 21])
+def test_scores_use_the_whole_tree(make_docs, monkeypatch, held):
+    """Whether a gram's probability is at hand or looked up, seen or not: a text's score is the sum over its bytes."""
+    monkeypatch.setattr(ctw, "NODES", 64)
+    monkeypatch.setattr(ctw, "GRAMS", held)
+    texts = rare_texts()
+    rows = [*enumerate(texts), (50, "unseen words 99 " * 30), (51, texts[7]), (51, texts[7])]
+    docs = make_docs(rows)
+    got = ctw.score_documents(docs, docs.where("doc_id < 50")).collect()
+    plain = plain_trees(texts)
+
+    def score(text):
+        data = bytes([ctw.PAD]) * ctw.DEPTH + ctw.BLANK.join([*ctw.words_of(text), ctw.END])
+        return sum(plain(data[i - ctw.DEPTH : i], data[i]) for i in range(ctw.DEPTH, len(data)))
+
+    assert sorted((r.doc_id, round(r.score, 3)) for r in got) == sorted((i, pytest.approx(score(t), abs=2e-3)) for i, t in rows)
+
+
 def plain_base(rows, learned):
     bag = Counter()
     for t in learned:
