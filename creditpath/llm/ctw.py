@@ -40,7 +40,7 @@ from creditpath.llm.grams import Cache, Counter, windows
 #: Bytes of context.
 DEPTH = 5
 #: Distinct grams, the deepest nodes, whose trees one task weighs: about this many.
-NODES = 1 << 17
+NODES = 1 << 15
 #: Grams that travel to every task with their probabilities: at most this many.
 GRAMS = 1 << 21
 #: Words with at least 1/WORDS of the training tokens travel to every task: at most WORDS of them.
@@ -378,6 +378,7 @@ class Model:
                 # the learned grams come first
                 if part is None:
                     part = Part(*_gathered(seen), bounds).finish(top.value)
+                    seen.clear()
                 key, which = np.unique(asked.column("key").to_numpy(), return_inverse=True)
                 row, to = np.unique(asked.column("row").to_numpy(), return_inverse=True)
                 score = np.bincount(to, part.log10(key)[which] * asked.column("n").to_numpy(), len(row))
@@ -403,13 +404,17 @@ def part_of(key: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def part_bounds(grams: DataFrame) -> np.ndarray:
-    """Contexts at which parts of about NODES grams begin, but the first."""
+    """Contexts at which parts of about NODES grams begin, but the first.
+
+    They stand at even steps among some 100 keys a part, taken by hash; where
+    they stand decides how even the parts are and nothing else.
+    """
     parts = -(-grams.count() // NODES)
     if parts < 2:
         return np.zeros(0, np.int64)
-    shares = [k / parts for k in range(1, parts)]
-    keys = np.array(grams.agg(F.percentile_approx("key", shares, max(10_000, 20 * parts))).first()[0], np.int64)
-    contexts = np.unique(keys >> 8)
+    some = grams.where(F.pmod(F.xxhash64("key"), F.lit(max(1, NODES // 100))) == 0).select("key").toArrow()
+    keys = np.sort(some["key"].to_numpy())
+    contexts = np.unique(keys[np.arange(1, parts) * len(keys) // parts] >> 8) if len(keys) else keys
     return contexts[contexts > 0]
 
 
